@@ -12,6 +12,7 @@ from tributary.plans.marts import (
     write_funnel_steps,
     write_funnel_summary,
 )
+from tributary.plans.model_checks import model_checks
 from tributary.plans.sessions import build_sessions
 from tributary.plans.summary import funnel_summary
 
@@ -21,6 +22,7 @@ __all__ = [
     "flatten_events",
     "funnel_steps",
     "funnel_summary",
+    "model_checks",
     "publish_view",
     "read_mart",
     "write_funnel_steps",

@@ -3,7 +3,7 @@
 from tributary.sources.activity import to_event_records
 from tributary.sources.catalog import Relation, relations_by_pattern, relations_by_prefix
 from tributary.sources.events import EVENT_SCHEMA, read_event_tables, read_events
-from tributary.sources.scratch import scratch_path
+from tributary.sources.scratch import scratch_path, stored
 from tributary.sources.seeds import read_seed
 
 __all__ = [
@@ -15,5 +15,6 @@ __all__ = [
     "relations_by_pattern",
     "relations_by_prefix",
     "scratch_path",
+    "stored",
     "to_event_records",
 ]

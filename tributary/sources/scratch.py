@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -22,3 +22,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError(f"set {_SETTING} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="run-")
     return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` from a table written to scratch space.
+
+    For a result that several later queries read: it is computed once, survives the
+    loss of executors, and each reader takes only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
