@@ -1,6 +1,6 @@
 """Data-quality checks.
 
-Each check returns ``Violations``: the rows that break a rule, and the metric that
+Each check returns violations: the rows that break a rule, and the metric that
 counts them. ``run_checks`` turns a list of named checks into one result table.
 """
 
@@ -32,10 +32,11 @@ from tributary.checks.rows import (
     not_null,
 )
 from tributary.checks.sequences import mutually_exclusive_ranges, sequential_values
-from tributary.checks.violations import Violations
+from tributary.checks.violations import RowViolations, Violations
 
 __all__ = [
     "Check",
+    "RowViolations",
     "Violations",
     "accepted_range",
     "accepted_values",

@@ -4,73 +4,69 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.checks.violations import Violations
+from tributary.checks.violations import RowViolations, Violations
+from tributary.functions._args import sql_text
 
 
 @dataclass(frozen=True)
 class Check:
-    """A named check with the conditions on its number of failures."""
+    """A named check with the conditions on its number of failures.
+
+    With severity "warn" the check never fails. ``metric`` replaces the metric of
+    the violations.
+    """
 
     name: str
-    violations: Violations
+    violations: Violations | RowViolations
     error_if: str = "!= 0"
     warn_if: str = "!= 0"
     severity: str = "error"
     metric: str | None = None
 
+    def outcome(self, failures: str) -> str:
+        """SQL text of the result row, given the SQL text of the number of failures."""
+        failed = f"when {failures} {self.error_if} then 'fail'" if self.severity == "error" else ""
+        status = f"case {failed} when {failures} {self.warn_if} then 'warn' else 'pass' end"
+        return f"named_struct('check', {sql_text(self.name)}, 'failures', {failures}, 'status', {status})"
 
-def _is_row_rule(check: Check) -> bool:
-    return check.violations.broken is not None and check.metric in (None, "count(*)")
 
-
-def _row_rule_counts(checks: list[Check]) -> DataFrame:
-    """Failures of all row rules on one table, counted in a single pass over it."""
+def _row_rule_results(checks: list[Check]) -> DataFrame:
+    """Results of all row rules on one table, from a single pass over it."""
     counts = [
-        F.struct(F.lit(check.name).alias("check"), F.count_if(check.violations.broken).alias("failures"))
-        for check in checks
+        F.count_if(check.violations.broken).alias(f"failures_{i}") for i, check in enumerate(checks)
     ]
-    totals = checks[0].violations.table.agg(F.array(*counts).alias("counts"))
-    return totals.select(F.inline("counts"))
+    results = ", ".join(check.outcome(f"failures_{i}") for i, check in enumerate(checks))
+    return checks[0].violations.table.agg(*counts).selectExpr(f"inline(array({results}))")
 
 
-def _count(check: Check) -> DataFrame:
-    metric = F.expr(check.metric or check.violations.metric)
-    failures = F.coalesce(metric.cast("bigint"), F.lit(0).cast("bigint"))
-    return check.violations.rows.agg(failures.alias("failures")).select(
-        F.lit(check.name).alias("check"), "failures"
+def _result(check: Check) -> DataFrame:
+    metric = check.metric or check.violations.metric
+    counted = check.violations.rows.agg(
+        F.expr(f"coalesce(cast({metric} as bigint), 0) as failures")
     )
+    return counted.selectExpr(f"inline(array({check.outcome('failures')}))")
 
 
 def run_checks(checks: Sequence[Check]) -> DataFrame:
     """``(check, failures, status)`` for every check; status is pass, warn or fail.
 
     Rules about single rows of the same DataFrame share one scan however many
-    there are; every other check is one aggregation. All of it is one Spark job
-    whose result has a row for each check.
+    there are; every other check is one aggregation. The result has a row for
+    each check.
     """
     if not checks:
         raise ValueError("there are no checks to run")
     row_rules: dict[int, list[Check]] = {}
-    parts = []
+    results = []
     for check in checks:
-        if _is_row_rule(check):
+        if isinstance(check.violations, RowViolations) and not check.metric:
             row_rules.setdefault(id(check.violations.table), []).append(check)
         else:
-            parts.append(_count(check))
-    parts += [_row_rule_counts(group) for group in row_rules.values()]
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.union(part)
-
-    name = F.col("check")
-    status = F.lit("pass")
-    for check in checks:
-        verdict = F.when(F.expr(f"failures {check.warn_if}"), "warn").otherwise("pass")
-        if check.severity == "error":
-            verdict = F.when(F.expr(f"failures {check.error_if}"), "fail").otherwise(verdict)
-        status = F.when(name == check.name, verdict).otherwise(status)
-    return counts.select("check", "failures", status.alias("status"))
+            results.append(_result(check))
+    results += [_row_rule_results(group) for group in row_rules.values()]
+    return reduce(DataFrame.union, results)

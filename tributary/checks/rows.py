@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.checks.violations import Violations
+from tributary.checks.violations import RowViolations, Violations, subset
 from tributary.functions._args import as_column, as_value
 from tributary.operators.columns import quoted
 
 
-def _row_rule(df: DataFrame, broken: Column, where: str | None) -> Violations:
-    if where:
-        broken = F.expr(where) & broken
-    return Violations(df.where(broken), table=df, broken=broken)
+def _row_rule(df: DataFrame, broken: Column, where: str | None, *shown: Column) -> RowViolations:
+    return RowViolations(df, F.expr(where) & broken if where else broken, shown)
 
 
-def not_null(df: DataFrame, column: str, where: str | None = None) -> Violations:
+def not_null(df: DataFrame, column: str, where: str | None = None) -> RowViolations:
     """The value is NULL."""
     return _row_rule(df, as_column(column).isNull(), where)
 
@@ -28,7 +26,7 @@ def accepted_range(
     max_value=None,
     inclusive: bool = True,
     where: str | None = None,
-) -> Violations:
+) -> RowViolations:
     """The value lies outside the range; a bound left out is open."""
     value, broken = as_column(column), F.lit(False)
     if min_value is not None:
@@ -42,25 +40,24 @@ def accepted_range(
 
 def expression_is_true(
     df: DataFrame, expression: str, column: str | None = None, where: str | None = None
-) -> Violations:
+) -> RowViolations:
     """The SQL condition is false; with ``column`` the condition continues that column's name."""
     condition = f"{column} {expression}" if column else expression
     return _row_rule(df, ~F.expr(condition), where)
 
 
-def assert_equal(df: DataFrame, actual: str, expected: str, where: str | None = None) -> Violations:
+def assert_equal(df: DataFrame, actual: str, expected: str, where: str | None = None) -> RowViolations:
     """Two columns of a row differ."""
     return _row_rule(df, as_column(actual) != as_column(expected), where)
 
 
 def not_empty_string(
     df: DataFrame, column: str, trim_whitespace: bool = True, where: str | None = None
-) -> Violations:
+) -> RowViolations:
     """The text is empty, by default after trimming spaces; the rows show the text only."""
     text = F.col(quoted(column))
     text = F.trim(text) if trim_whitespace else text
-    found = _row_rule(df, text == "", where)
-    return Violations(found.rows.select(text.alias(column)), table=df, broken=found.broken)
+    return _row_rule(df, text == "", where, text.alias(column))
 
 
 def funnel_order(facts: DataFrame, where: str | None = None) -> Violations:
@@ -74,8 +71,9 @@ def funnel_order(facts: DataFrame, where: str | None = None) -> Violations:
         "purchase_without_payment": "had_purchase and not had_add_payment_info",
         "negative_revenue_on_purchase": "had_purchase and session_revenue < 0",
     }
-    broken = F.array_compact(
-        F.array(*[F.when(F.expr(rule), F.lit(name)) for name, rule in rules.items()])
+    broken = ", ".join(f"if({rule}, '{name}', null)" for name, rule in rules.items())
+    return Violations(
+        subset(facts, where).selectExpr(
+            "session_id", f"explode(array_compact(array({broken}))) as violation_type"
+        )
     )
-    checked = facts.where(where) if where else facts
-    return Violations(checked.select("session_id", F.explode(broken).alias("violation_type")))

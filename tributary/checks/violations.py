@@ -7,16 +7,29 @@ from pyspark.sql import Column, DataFrame
 
 @dataclass(frozen=True)
 class Violations:
-    """Rows that break a rule.
+    """The rows that break a rule, and the metric that counts them."""
 
-    A rule about single rows also names the checked ``table`` and the ``broken``
-    condition, so that a report can count many such rules in one pass over a table.
+    rows: DataFrame
+    metric: str = "count(*)"
+
+
+@dataclass(frozen=True)
+class RowViolations:
+    """The same for a rule about single rows.
+
+    It keeps the checked table and the condition apart, so that a report can count
+    many such rules in one pass over the table.
     """
 
-    rows: DataFrame
+    table: DataFrame
+    broken: Column
+    shown: tuple[Column, ...] = ()
     metric: str = "count(*)"
-    table: DataFrame | None = None
-    broken: Column | None = None
+
+    @property
+    def rows(self) -> DataFrame:
+        found = self.table.where(self.broken)
+        return found.select(*self.shown) if self.shown else found
 
 
 def subset(df: DataFrame, where: str | None) -> DataFrame:

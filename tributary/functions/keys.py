@@ -33,12 +33,5 @@ def timestamp_text(moment: ColumnOrExpr) -> Column:
     Spark's own cast drops single trailing zeros, so its text would give other
     keys than a warehouse that shortens the fraction three digits at a time.
     """
-    moment = as_column(moment)
-    micros = F.pmod(F.unix_micros(moment), F.lit(1_000_000))
-    millis = (micros / F.lit(1000)).cast("int").cast("string")
-    fraction = (
-        F.when(micros == 0, F.lit(""))
-        .when(micros % 1000 == 0, F.concat(F.lit("."), F.lpad(millis, 3, "0")))
-        .otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
-    )
-    return F.concat(F.substring(moment.cast("string"), 1, 19), fraction, F.lit("+00"))
+    digits = F.date_format(as_column(moment), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return F.concat(F.regexp_replace(digits, r"\.000000$|000$", ""), F.lit("+00"))

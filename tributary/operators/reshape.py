@@ -8,14 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType
 
+from tributary.functions._args import sql_text
 from tributary.functions.text import slugify
 from tributary.operators.columns import quoted
 
 
-def _sql_text(value) -> str:
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def pivot(
     column: str,
     values: Iterable,
@@ -39,7 +36,7 @@ def pivot(
     aggregates = []
     for value in values:
         case = (
-            f"case when {column} {cmp} {_sql_text(value)}"
+            f"case when {column} {cmp} {sql_text(value)}"
             f" then {then_value} else {else_value} end"
         )
         aggregate = F.expr(f"{agg}({'distinct ' if distinct else ''}{case})")

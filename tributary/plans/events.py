@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tributary.functions import surrogate_key, timestamp_text
 
@@ -11,15 +10,15 @@ from tributary.functions import surrogate_key, timestamp_text
 TEST_MEDIUM = "(not set)"
 
 
-def event_param(key: str, member: str) -> Column:
-    """Value of a parameter in the nested ``event_params`` list, NULL if it is missing.
+def event_param(key: str, member: str) -> str:
+    """SQL text for the value of a parameter in ``event_params``, NULL if it is missing.
 
     Looking up the position among the keys stays inside generated code and reads
     only the needed members of the nested records; ``get`` gives NULL for the
     position before the first, which stands for a missing key.
     """
-    position = F.array_position(F.col("event_params.key"), F.lit(key))
-    return F.get(F.col(f"event_params.value.{member}"), (position - 1).cast("int"))
+    position = f"array_position(event_params.key, '{key}')"
+    return f"get(event_params.value.{member}, cast({position} - 1 as int))"
 
 
 def flatten_events(records: DataFrame) -> DataFrame:
@@ -28,28 +27,28 @@ def flatten_events(records: DataFrame) -> DataFrame:
     Test traffic, events with an unknown medium and events without a user are dropped.
     """
     real = records.where(
-        (F.col("traffic_source.medium") != TEST_MEDIUM) & F.col("user_pseudo_id").isNotNull()
+        f"traffic_source.medium <> '{TEST_MEDIUM}' and user_pseudo_id is not null"
     )
-    flat = real.select(
-        F.to_date("event_date", "yyyyMMdd").alias("event_date"),
-        F.timestamp_micros("event_timestamp").alias("event_timestamp"),
+    flat = real.selectExpr(
+        "to_date(event_date, 'yyyyMMdd') as event_date",
+        "timestamp_micros(event_timestamp) as event_timestamp",
         "event_name",
         "user_pseudo_id",
-        event_param("ga_session_id", "int_value").alias("ga_session_id"),
-        event_param("session_engaged", "string_value").alias("session_engaged"),
-        event_param("page_title", "string_value").alias("page_title"),
-        event_param("page_location", "string_value").alias("page_location"),
-        F.col("traffic_source.medium").alias("traffic_medium"),
-        F.col("traffic_source.source").alias("traffic_source"),
-        F.col("traffic_source.name").alias("campaign_name"),
-        F.col("device.category").alias("device_category"),
-        F.col("device.operating_system").alias("operating_system"),
-        F.col("geo.country").alias("country"),
+        f"{event_param('ga_session_id', 'int_value')} as ga_session_id",
+        f"{event_param('session_engaged', 'string_value')} as session_engaged",
+        f"{event_param('page_title', 'string_value')} as page_title",
+        f"{event_param('page_location', 'string_value')} as page_location",
+        "traffic_source.medium as traffic_medium",
+        "traffic_source.source as traffic_source",
+        "traffic_source.name as campaign_name",
+        "device.category as device_category",
+        "device.operating_system as operating_system",
+        "geo.country as country",
         "ecommerce.transaction_id",
         "ecommerce.purchase_revenue",
         "ecommerce.tax_value",
         "ecommerce.shipping_value",
-        F.array_size("items").alias("item_count"),
+        "array_size(items) as item_count",
     )
     session = ["user_pseudo_id", "ga_session_id"]
     return flat.select(

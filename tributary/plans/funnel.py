@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions._args import ColumnOrExpr, as_column
+from tributary.functions._args import sql_list, sql_text
 from tributary.plans.stages import PROGRESS_FLAGS, STAGES, UNKNOWN_STAGE, had
 
 # Channels as (name, media, sources). The first channel that lists the
@@ -27,16 +27,15 @@ OTHER_CHANNEL = "Other"
 CHANNEL_NAMES = (*[name for name, _, _ in CHANNELS], OTHER_CHANNEL)
 
 
-def channel_group(medium: ColumnOrExpr, source: ColumnOrExpr) -> Column:
-    """Marketing channel of a medium and source."""
-    medium, source = F.lower(as_column(medium)), F.lower(as_column(source))
-    channel = F.lit(OTHER_CHANNEL)
-    for name, media, sources in reversed(CHANNELS):
-        listed = medium.isin(*media)
+def channel_group(medium: str, source: str) -> Column:
+    """Marketing channel of a medium and source, given as column names or SQL text."""
+    rules = []
+    for name, media, sources in CHANNELS:
+        listed = f"lower({medium}) in ({sql_list(media)})"
         if sources:
-            listed = listed | source.isin(*sources)
-        channel = F.when(listed, F.lit(name)).otherwise(channel)
-    return channel
+            listed += f" or lower({source}) in ({sql_list(sources)})"
+        rules.append(f"when {listed} then {sql_text(name)}")
+    return F.expr(f"case {' '.join(rules)} else {sql_text(OTHER_CHANNEL)} end")
 
 
 def funnel_steps(sessions: DataFrame, with_load_time: bool = False) -> DataFrame:
@@ -45,16 +44,15 @@ def funnel_steps(sessions: DataFrame, with_load_time: bool = False) -> DataFrame
     The deepest stage may lie below one that was skipped; the step flags only ask
     for a stage and the one right before it. All of it is a projection.
     """
-    deepest, name = F.lit(0), F.lit(UNKNOWN_STAGE)
-    for number, stage in enumerate(STAGES, start=1):
-        deepest = F.when(F.col(had(stage)), F.lit(number)).otherwise(deepest)
-        name = F.when(F.col(had(stage)), F.lit(stage)).otherwise(name)
+    upward = list(enumerate(STAGES, start=1))[::-1]
+    numbers = " ".join(f"when {had(stage)} then {number}" for number, stage in upward)
+    names = " ".join(f"when {had(stage)} then '{stage}'" for _, stage in upward)
     progressed = [
-        F.coalesce(F.col(had(stage)) & F.col(had(before)), F.lit(False)).alias(PROGRESS_FLAGS[stage])
+        f"coalesce({had(stage)} and {had(before)}, false) as {PROGRESS_FLAGS[stage]}"
         for before, stage in zip(STAGES, STAGES[1:], strict=False)
     ]
-    load_time = [F.current_timestamp().alias("loaded_at")] if with_load_time else []
-    return sessions.select(
+    channel = channel_group("attributed_medium", "attributed_source")
+    return sessions.withColumn("channel_group", channel).selectExpr(
         "session_id",
         "user_pseudo_id",
         "transaction_id",
@@ -65,16 +63,16 @@ def funnel_steps(sessions: DataFrame, with_load_time: bool = False) -> DataFrame
         "attributed_source",
         "attributed_medium",
         "attributed_campaign",
-        channel_group("attributed_medium", "attributed_source").alias("channel_group"),
+        "channel_group",
         "device_category",
         "country",
-        deepest.alias("max_funnel_stage"),
-        name.alias("deepest_stage_name"),
+        f"case {numbers} else 0 end as max_funnel_stage",
+        f"case {names} else '{UNKNOWN_STAGE}' end as deepest_stage_name",
         *[had(stage) for stage in STAGES],
         "session_revenue",
         "is_engaged_session",
         "total_events",
-        F.col(had("purchase")).alias("is_converted"),
+        f"{had('purchase')} as is_converted",
         *progressed,
-        *load_time,
+        *(["current_timestamp() as loaded_at"] if with_load_time else []),
     )

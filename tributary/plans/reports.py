@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import exact_sum, safe_divide
+from tributary.functions._args import sql_text
 from tributary.plans.stages import STAGE_COUNTS, STEP_RATES
 from tributary.plans.summary import DIMENSIONS
 
@@ -102,20 +103,14 @@ def kpis(summary: DataFrame) -> DataFrame:
 
 def stage_dropoff(summary: DataFrame) -> DataFrame:
     """``(position, stage, sessions, pct_of_first)`` for the stages shown."""
-    totals = summary.agg(*[F.sum(name).alias(name) for name in FUNNEL_LABELS.values()])
     first = next(iter(FUNNEL_LABELS.values()))
-    stages = F.array(
-        *[
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(label).alias("stage"),
-                F.col(name).alias("sessions"),
-                (safe_divide(name, first) * 100).alias("pct_of_first"),
-            )
-            for position, (label, name) in enumerate(FUNNEL_LABELS.items(), start=1)
-        ]
+    stages = ", ".join(
+        f"named_struct('position', {position}, 'stage', {sql_text(label)}, 'sessions', {name},"
+        f" 'pct_of_first', try_divide({name}, {first}) * 100)"
+        for position, (label, name) in enumerate(FUNNEL_LABELS.items(), start=1)
     )
-    return totals.select(F.inline(stages))
+    totals = summary.agg(*[F.expr(f"sum({name}) as {name}") for name in FUNNEL_LABELS.values()])
+    return totals.selectExpr(f"inline(array({stages}))")
 
 
 def daily_conversion(summary: DataFrame) -> DataFrame:
@@ -148,19 +143,13 @@ def step_rates(summary: DataFrame) -> DataFrame:
 
     Rows without a rate do not count; a rate below 60 % is marked.
     """
-    means = summary.agg(*[(F.avg(name) * 100).alias(name) for name in STEP_LABELS.values()])
-    steps = F.array(
-        *[
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(label).alias("step"),
-                F.bround(F.col(name), 1).alias("rate_pct"),
-                F.coalesce(F.col(name) < LOW_RATE, F.lit(False)).alias("is_low"),
-            )
-            for position, (label, name) in enumerate(STEP_LABELS.items(), start=1)
-        ]
+    steps = ", ".join(
+        f"named_struct('position', {position}, 'step', {sql_text(label)},"
+        f" 'rate_pct', bround({name}, 1), 'is_low', coalesce({name} < {LOW_RATE}, false))"
+        for position, (label, name) in enumerate(STEP_LABELS.items(), start=1)
     )
-    return means.select(F.inline(steps))
+    means = summary.agg(*[F.expr(f"avg({name}) * 100 as {name}") for name in STEP_LABELS.values()])
+    return means.selectExpr(f"inline(array({steps}))")
 
 
 def channel_table(summary: DataFrame) -> DataFrame:

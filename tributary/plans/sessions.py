@@ -35,39 +35,32 @@ def build_sessions(events: DataFrame) -> DataFrame:
     Partial results are built before the shuffle, so a user who owns a third of
     all events sends one row from each input task.
     """
-    bit = F.lit(0)
-    for number, stage in enumerate(STAGES):
-        bit = F.when(F.col("event_name") == stage, F.lit(1 << number)).otherwise(bit)
+    bits = " ".join(f"when '{stage}' then {1 << i}" for i, stage in enumerate(STAGES))
     rolled_up = events.groupBy("user_pseudo_id", "ga_session_id").agg(
-        F.min(F.struct("event_timestamp", *FIRST_TOUCH)).alias("first"),
-        F.min("event_timestamp").alias("session_start_at"),
-        F.max("event_timestamp").alias("session_end_at"),
-        F.bit_or(bit).alias("stages"),
+        F.expr(f"min(struct(event_timestamp, {', '.join(FIRST_TOUCH)})) as first"),
+        F.expr("min(event_timestamp) as session_start_at"),
+        F.expr("max(event_timestamp) as session_end_at"),
+        F.expr(f"bit_or(case event_name {bits} else 0 end) as stages"),
         exact_sum("purchase_revenue").alias("revenue"),
-        F.max("transaction_id").alias("transaction_id"),
-        F.bool_or(F.col("session_engaged") == "1").alias("engaged"),
-        F.count(F.lit(1)).alias("total_events"),
+        F.expr("max(transaction_id) as transaction_id"),
+        F.expr("bool_or(session_engaged = '1') as engaged"),
+        F.expr("count(*) as total_events"),
     )
-    return rolled_up.select(
-        surrogate_key(["user_pseudo_id", "ga_session_id"]).alias("session_id"),
+    touch = [f"first.{source} as {name}" for source, name in FIRST_TOUCH.items()]
+    flags = [f"stages & {1 << i} <> 0 as {had(stage)}" for i, stage in enumerate(STAGES)]
+    return rolled_up.withColumn(
+        "session_id", surrogate_key(["user_pseudo_id", "ga_session_id"])
+    ).selectExpr(
+        "session_id",
         "user_pseudo_id",
-        F.col("first.event_date").alias("session_date"),
+        touch[0],
         "session_start_at",
         "session_end_at",
-        F.timestamp_diff(
-            "SECOND", F.col("session_start_at"), F.col("session_end_at")
-        ).alias("session_duration_seconds"),
-        *[
-            F.col(f"first.{source}").alias(name)
-            for source, name in FIRST_TOUCH.items()
-            if source != "event_date"
-        ],
-        *[
-            ((F.col("stages").bitwiseAND(1 << number)) != 0).alias(had(stage))
-            for number, stage in enumerate(STAGES)
-        ],
-        F.coalesce("revenue", F.lit(0.0)).alias("session_revenue"),
+        "timestampdiff(SECOND, session_start_at, session_end_at) as session_duration_seconds",
+        *touch[1:],
+        *flags,
+        "coalesce(revenue, 0D) as session_revenue",
         "transaction_id",
-        F.coalesce("engaged", F.lit(False)).alias("is_engaged_session"),
+        "coalesce(engaged, false) as is_engaged_session",
         "total_events",
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions import exact_sum, safe_divide
+from tributary.functions import exact_sum
 from tributary.plans.stages import STAGE_COUNTS, STEP_RATES, had
 
 DIMENSIONS = (
@@ -26,20 +26,20 @@ def funnel_summary(facts: DataFrame) -> DataFrame:
     computed from its finished counts. A rate over nothing is NULL.
     """
     counted = facts.groupBy(*DIMENSIONS).agg(
-        F.count(F.lit(1)).alias("total_sessions"),
-        *[F.count_if(had(stage)).alias(name) for stage, name in STAGE_COUNTS.items()],
+        F.expr("count(*) as total_sessions"),
+        *[F.expr(f"count_if({had(stage)}) as {name}") for stage, name in STAGE_COUNTS.items()],
         exact_sum("session_revenue").alias("total_revenue"),
-        F.count_if("is_engaged_session").alias("engaged_sessions"),
-        F.avg("session_duration_seconds").alias("avg_session_duration_seconds"),
+        F.expr("count_if(is_engaged_session) as engaged_sessions"),
+        F.expr("avg(session_duration_seconds) as avg_session_duration_seconds"),
     )
-    return counted.select(
+    return counted.selectExpr(
         *DIMENSIONS,
         "total_sessions",
         *STAGE_COUNTS.values(),
-        *[safe_divide(reached, before).alias(name) for name, reached, before in STEP_RATES],
+        *[f"try_divide({reached}, {before}) as {name}" for name, reached, before in STEP_RATES],
         "total_revenue",
-        safe_divide("total_revenue", "sessions_with_purchase").alias("avg_order_value"),
+        "try_divide(total_revenue, sessions_with_purchase) as avg_order_value",
         "engaged_sessions",
-        safe_divide("engaged_sessions", "total_sessions").alias("engagement_rate"),
+        "try_divide(engaged_sessions, total_sessions) as engagement_rate",
         "avg_session_duration_seconds",
     )

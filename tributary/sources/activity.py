@@ -7,8 +7,9 @@ shuffle, no state, no randomness.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from tributary.functions._args import sql_list
 
 MEDIA = (
     "cpc", "cpm", "email", "organic", "referral", "(none)", "social", "(not set)", None, "widget",
@@ -23,77 +24,58 @@ TAX_RATE = 0.08
 NO_SESSION_K = 99
 
 
-def _pick(number: Column, choices: tuple[str | None, ...]) -> Column:
-    return F.element_at(
-        F.array(*[F.lit(choice).cast("string") for choice in choices]),
-        (number % F.lit(len(choices)) + F.lit(1)).cast("int"),
-    )
+def _pick(number: str, choices: tuple[str | None, ...]) -> str:
+    return f"element_at(array({sql_list(choices)}), cast({number} % {len(choices)} as int) + 1)"
 
 
-def _param(key: str, text: Column | None = None, number: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(key).alias("key"),
-        F.struct(
-            (F.lit(None) if text is None else text).cast("string").alias("string_value"),
-            (F.lit(None) if number is None else number).cast("bigint").alias("int_value"),
-        ).alias("value"),
-    )
+def _param(key: str, text: str = "cast(null as string)", number: str = "cast(null as bigint)") -> str:
+    value = f"named_struct('string_value', {text}, 'int_value', cast({number} as bigint))"
+    return f"named_struct('key', '{key}', 'value', {value})"
 
 
 def to_event_records(activity: DataFrame) -> DataFrame:
     """Records in the shape of ``EVENT_SCHEMA``; ``k`` below is the number held in ``props``."""
-    rows = activity.select(
+    rows = activity.selectExpr(
         "event_id",
         "user_id",
         "event_type",
         "value",
-        F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k"),
-        F.col("ts").cast("timestamp").alias("at"),
-    )
-    k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
-    even = k % 2 == 0
-    name = (
-        F.when(kind == "signup", "session_start")
-        .when(kind == "view", F.when(even, "page_view").otherwise("view_item"))
-        .when(kind == "click", F.when(even, "add_to_cart").otherwise("begin_checkout"))
-        .when(kind == "error", F.when(k % 3 == 0, "scroll").otherwise("add_payment_info"))
-        .otherwise(kind)
+        "cast(regexp_extract(props, '[0-9]+', 0) as int) as k",
+        "cast(ts as timestamp) as at",
     )
-    session = _param("ga_session_id", number=F.unix_date(F.col("at").cast("date")))
-    params = F.array_compact(
-        F.array(
-            F.when(k != NO_SESSION_K, session),
-            _param("session_engaged", text=F.when(even, "1").otherwise("0")),
-            _param("page_title", text=F.concat_ws(" ", kind, k)),
-            _param(
-                "page_location",
-                text=F.concat(F.lit("https://shop.example/"), kind, F.lit("?k="), k),
-            ),
-        )
+    name = """
+        case event_type
+            when 'signup' then 'session_start'
+            when 'view' then if(k % 2 = 0, 'page_view', 'view_item')
+            when 'click' then if(k % 2 = 0, 'add_to_cart', 'begin_checkout')
+            when 'error' then if(k % 3 = 0, 'scroll', 'add_payment_info')
+            else event_type
+        end
+    """
+    params = ", ".join(
+        [
+            _param("session_engaged", "if(k % 2 = 0, '1', '0')"),
+            _param("page_title", "concat_ws(' ', event_type, k)"),
+            _param("page_location", "concat('https://shop.example/', event_type, '?k=', k)"),
+        ]
     )
-    sold = kind == "purchase"
-    items = F.array_repeat(F.struct(k.cast("string").alias("item_id")), k % 4)
-    return rows.select(
-        F.date_format("at", "yyyyMMdd").alias("event_date"),
-        F.unix_micros("at").alias("event_timestamp"),
-        name.alias("event_name"),
-        user.cast("string").alias("user_pseudo_id"),
-        params.alias("event_params"),
-        F.struct(
-            _pick(k, MEDIA).alias("medium"),
-            _pick(user, SOURCES).alias("source"),
-            _pick(k, CAMPAIGNS).alias("name"),
-        ).alias("traffic_source"),
-        F.struct(
-            _pick(user, DEVICES).alias("category"),
-            _pick(user, SYSTEMS).alias("operating_system"),
-        ).alias("device"),
-        F.struct((user % COUNTRIES).cast("string").alias("country")).alias("geo"),
-        F.struct(
-            F.when(sold, F.col("event_id").cast("string")).alias("transaction_id"),
-            F.when(sold, F.col("value")).alias("purchase_revenue"),
-            F.when(sold, F.col("value") * TAX_RATE).alias("tax_value"),
-            F.when(sold, F.lit(SHIPPING)).alias("shipping_value"),
-        ).alias("ecommerce"),
-        F.when(sold | (name == "add_to_cart"), items).alias("items"),
+    session = _param("ga_session_id", number="unix_date(cast(at as date))")
+    sold = "event_type = 'purchase'"
+    return rows.selectExpr(
+        "date_format(at, 'yyyyMMdd') as event_date",
+        "unix_micros(at) as event_timestamp",
+        f"{name} as event_name",
+        "cast(user_id as string) as user_pseudo_id",
+        f"if(k <> {NO_SESSION_K}, array({session}, {params}), array({params})) as event_params",
+        f"""named_struct('medium', {_pick("k", MEDIA)}, 'source', {_pick("user_id", SOURCES)},
+            'name', {_pick("k", CAMPAIGNS)}) as traffic_source""",
+        f"""named_struct('category', {_pick("user_id", DEVICES)},
+            'operating_system', {_pick("user_id", SYSTEMS)}) as device""",
+        f"named_struct('country', cast(user_id % {COUNTRIES} as string)) as geo",
+        f"""named_struct('transaction_id', if({sold}, cast(event_id as string), null),
+            'purchase_revenue', if({sold}, value, null),
+            'tax_value', if({sold}, value * {TAX_RATE}D, null),
+            'shipping_value', if({sold}, {SHIPPING}D, null)) as ecommerce""",
+        f"""if({sold} or (event_type = 'click' and k % 2 = 0),
+            array_repeat(named_struct('item_id', cast(k as string)), k % 4), null) as items""",
     )

@@ -32,14 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def portable(df: DataFrame) -> DataFrame:
     """Dates and times as text and decimals as doubles, which all engines print alike."""
-    columns = []
+    printed = {}
     for field in df.schema:
-        column = F.col(f"`{field.name}`")
+        name = f"`{field.name}`"
         if isinstance(field.dataType, DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
+            printed[field.name] = F.date_format(name, "yyyy-MM-dd")
         elif isinstance(field.dataType, TimestampType | TimestampNTZType):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            printed[field.name] = F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(field.dataType, DecimalType):
-            column = column.cast("double")
-        columns.append(column.alias(field.name))
-    return df.select(columns)
+            printed[field.name] = F.col(name).cast("double")
+    return df.withColumns(printed) if printed else df
