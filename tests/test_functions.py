@@ -1,0 +1,185 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tributary import functions as fn
+from tests.conftest import values
+
+
+def one(df, column):
+    return [row[0] for row in df.select(column).collect()]
+
+
+def test_surrogate_key_known_hashes(table):
+    # Hashes that keys must match.
+    df = table(
+        "id int, a string, b string, c string",
+        (1, "a", "b", "c"),
+        (2, "a", None, "c"),
+        (3, None, None, "c"),
+        (4, None, None, None),
+    ).orderBy("id")
+    assert one(df, fn.surrogate_key(["a"])) == [
+        "0cc175b9c0f1b6a831c399e269772661",
+        "0cc175b9c0f1b6a831c399e269772661",
+        "f14cc5cdce0420f4a5a6b6d9d7b85f39",
+        "f14cc5cdce0420f4a5a6b6d9d7b85f39",
+    ]
+    assert one(df, fn.surrogate_key(["a", "b", "c"])) == [
+        "7b193b3d33184464106f41ddf733783b",
+        "4f32a73dc87b7bbb7a654d8898d58c7e",
+        "d9c538b129f1a3ad6ecfe55345c32a05",
+        "2fa5491950d66d153d23cfbcfea4e164",
+    ]
+
+
+def test_surrogate_key_null_and_empty(table):
+    df = table("a string", (None,), ("",))
+    null_key, empty_key = one(df, fn.surrogate_key(["a"]))
+    assert null_key != empty_key
+    null_key, empty_key = one(df, fn.surrogate_key(["a"], nulls_as_empty=True))
+    assert null_key == empty_key
+    with pytest.raises(TypeError):
+        fn.surrogate_key("a")
+
+
+def test_timestamp_text_shortens_by_three_digits(table):
+    df = table("us bigint", (0,), (1_500_000,), (1_000_100,), (1_001_000,))
+    texts = one(df, fn.timestamp_text(F.timestamp_micros("us")))
+    assert texts == [
+        "1970-01-01 00:00:00+00",
+        "1970-01-01 00:00:01.500+00",
+        "1970-01-01 00:00:01.000100+00",
+        "1970-01-01 00:00:01.001+00",
+    ]
+
+
+def test_safe_divide(table):
+    # Fixed values: (numerator, denominator, quotient).
+    df = table(
+        "n int, d int, expected double",
+        (6, 0, None), (10, 5, 2.0), (None, None, None), (None, 0, None), (17, None, None),
+        (0, None, None), (None, 9, None), (0, 5, 0.0),
+    )
+    assert all(row[0] == row[1] for row in df.select(fn.safe_divide("n", "d"), "expected").collect())
+    expressions = table(
+        "a int, b int, d int, expected double",
+        (0, 5, 9, 0.0), (2, 3, 0, None), (0, 0, 0, None), (3, 4, None, None), (None, 6, 14, None),
+        (2, 5, 2, 5.0),
+    )
+    pairs = expressions.select(fn.safe_divide("a * b", "d"), "expected").collect()
+    assert all(row[0] == row[1] for row in pairs)
+    below = table(
+        "n int, d int, e int, expected double",
+        (None, 0, 4, None), (6, 3, 2, 1.0), (0, 2, 6, 0.0), (0, None, 8, None), (5, None, 2, None),
+        (4, 0, 4, None),
+    )
+    pairs = below.select(fn.safe_divide("n", "d * e"), "expected").collect()
+    assert all(row[0] == row[1] for row in pairs)
+
+
+def test_safe_add_and_subtract(table):
+    df = table("a int, b int, c int", (1, 2, 3), (1, None, 3), (None, None, 2), (None, None, None))
+    assert one(df, fn.safe_add(["a", "b", "c"])) == [6, 4, 2, 0]
+    df = table("a int, b int, c int", (3, 2, 1), (4, None, 3), (None, None, 2), (None, None, None))
+    assert one(df, fn.safe_subtract(["a", "b", "c"])) == [0, 1, -2, 0]
+    with pytest.raises(TypeError):
+        fn.safe_add("a")
+
+
+def test_width_bucket(table):
+    # Fixed values: (amount, bucket) for four buckets from 200,000 to 600,000.
+    cases = [
+        (190000.0, 0), (290000.0, 1), (320000.0, 2), (399999.99, 2), (400000.0, 3),
+        (470000.0, 3), (510000.0, 4), (610000.0, 5), (700000.0, 5), (50000.0, 0), (600000.0, 5),
+    ]
+    df = table("amount double, bucket int", *cases)
+    rows = df.select(fn.width_bucket("amount", 200000, 600000, 4), "bucket").collect()
+    assert all(row[0] == row[1] for row in rows)
+
+
+def test_haversine_known_distance(table):
+    # Paris to Amsterdam.
+    df = table(
+        "a double, b double, c double, d double", (48.864716, 2.349014, 52.379189, 4.899431)
+    )
+    assert round(one(df, fn.haversine_distance("a", "b", "c", "d"))[0]) == 267
+    assert round(one(df, fn.haversine_distance("a", "b", "c", "d", unit="km"))[0]) == 430
+    antipodes = one(df, fn.haversine_distance("0D", "0D", "0D", "180D"))[0]
+    assert math.isclose(antipodes, math.pi * 3961)
+    with pytest.raises(ValueError):
+        fn.haversine_distance("a", "b", "c", "d", unit="m")
+
+
+def test_url_parts(table):
+    # Addresses with host and path.
+    query = "utm_source=google&utm_medium=cpc&utm_campaign=spring-summer"
+    post = "2018/01/tips-tricks-how-run-half-marathon-first-time/"
+    cases = [
+        (f"www.google.co.uk?{query}", "www.google.co.uk", ""),
+        (f"http://witanddelight.com/{post}", "witanddelight.com", post),
+        (f"http://witanddelight.com/{post}?{query}", "witanddelight.com", post),
+        ("https://www.nytimes.com/2018/01/01/blog", "www.nytimes.com", "2018/01/01/blog"),
+        ("docs.nytimes.com/2021/01/01/index.js?a=b", "docs.nytimes.com", "2021/01/01/index.js"),
+        ("https://m.facebook.com/", "m.facebook.com", ""),
+        ("https://m.facebook.com/#top", "m.facebook.com", "#top"),
+        ("localhost", "localhost", "localhost"),
+    ]
+    df = table("url string, host string, path string", *cases)
+    for row in df.select("*", fn.url_host("url").alias("h"), fn.url_path("url").alias("p")).collect():
+        assert (row.h, row.p) == (row.host, row.path), row.url
+    app = table("url string", ("android-app://m.facebook.com/",), (None,))
+    assert one(app, fn.url_host("url")) == ["m.facebook.com", None]
+
+
+def test_url_parameter(table):
+    df = table(
+        "url string",
+        ("http://drewbanin.com/milky?utm_medium=organic",),
+        ("http://drewbanin.com/milky?utm_medium=organic&utm_source=github",),
+        ("http://drewbanin.com/milky?utm_source=",),
+    )
+    assert one(df, fn.url_parameter("url", "utm_medium")) == ["organic", "organic", None]
+    assert one(df, fn.url_parameter("url", "utm_source")) == [None, "github", None]
+
+
+def test_slug(table):
+    # Fixed values: (text, slug).
+    cases = [
+        ("", ""), (None, ""), ("!Hell0 world-hi", "hell0_world_hi"),
+        ("0Hell0 world-hi", "_0hell0_world_hi"), ("blue's", "blues"), ("a - b", "a_b"),
+    ]
+    df = table("t string, expected string", *cases)
+    assert all(row[0] == row[1] for row in df.select(fn.slug("t"), "expected").collect())
+    assert all(fn.slugify(text) == expected for text, expected in cases)
+
+
+@pytest.mark.parametrize(
+    ("part", "start", "end", "expected"),
+    [
+        ("month", "2024-01-31", "2024-02-01", 1),
+        ("month", "2024-01-01", "2024-01-31", 0),
+        ("quarter", "2023-12-31", "2024-04-01", 2),
+        ("year", "2023-12-31", "2024-01-01", 1),
+        ("day", "2024-01-31", "2024-02-02", 2),
+        ("week", "2024-01-06", "2024-01-07", 1),
+        ("week", "2024-01-07", "2024-01-13", 0),
+        ("hour", "2024-01-01 00:59:59", "2024-01-01 01:00:00", 1),
+        ("minute", "2024-01-01 00:00:59", "2024-01-01 00:01:00", 1),
+        ("second", "1969-12-31 23:59:59.5", "1970-01-01 00:00:00", 1),
+        ("day", "2024-02-02", "2024-01-31", -2),
+    ],
+)
+def test_intervals_between(spark, part, start, end, expected):
+    count = fn.intervals_between(
+        F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp"), part
+    )
+    assert spark.range(1).select(count).head()[0] == expected
+
+
+def test_exact_sum_ignores_order(table):
+    df = table("v double", *[(0.1,)] * 10, (None,))
+    assert values(df.agg(fn.exact_sum("v"))) == [(1.0,)]

@@ -332,9 +332,8 @@ def slug_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def number_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = op.single_value(table(spark, sf_dir, "orders").agg(F.max("o_orderkey")))
-    shipped = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("generated_number")
-    )
+    lines = table(spark, sf_dir, "lineitem")
+    shipped = lines.select(F.col("l_orderkey").alias("generated_number")).distinct()
     return op.generate_series(spark, last).join(shipped, "generated_number", "left_anti")
 
 
