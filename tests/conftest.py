@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         conf={
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
             "spark.checkpoint.dir": str(folder / "scratch"),
         },
