@@ -33,5 +33,7 @@ def timestamp_text(moment: ColumnOrExpr) -> Column:
     Spark's own cast drops single trailing zeros, so its text would give other
     keys than a warehouse that shortens the fraction three digits at a time.
     """
-    digits = F.date_format(as_column(moment), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return F.concat(F.regexp_replace(digits, r"\.000000$|000$", ""), F.lit("+00"))
+    text = as_column(moment).cast("string")
+    length = F.length(text)
+    padded = F.when(length == 19, 19).when(length <= 23, 23).otherwise(26)
+    return F.concat(F.rpad(text, padded, "0"), F.lit("+00"))

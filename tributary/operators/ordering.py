@@ -72,6 +72,7 @@ def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
         "__chunk", F.explode(F.sequence(F.lit(1).cast("bigint"), chunk_count))
     )
     size = F.least(F.lit(_CHUNK).cast("bigint"), n - (F.col("__chunk") - 1) * F.lit(_CHUNK))
-    spread = chunks.withColumn("__size", size).drop(copies, "__chunk").hint("rebalance")
+    sized = chunks.withColumn("__size", size).drop(copies)
+    spread = sized.hint("rebalance", *sized.columns).drop("__chunk")
     one_each = F.sequence(F.lit(1).cast("bigint"), F.col("__size"))
     return spread.withColumn("__copy", F.explode(one_each)).drop("__copy", "__size")
