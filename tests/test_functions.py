@@ -138,9 +138,9 @@ def test_url_parts(table):
 def test_url_parameter(table):
     df = table(
         "url string",
-        ("http://drewbanin.com/milky?utm_medium=organic",),
-        ("http://drewbanin.com/milky?utm_medium=organic&utm_source=github",),
-        ("http://drewbanin.com/milky?utm_source=",),
+        ("http://shop.example/page?utm_medium=organic",),
+        ("http://shop.example/page?utm_medium=organic&utm_source=github",),
+        ("http://shop.example/page?utm_source=",),
     )
     assert one(df, fn.url_parameter("url", "utm_medium")) == ["organic", "organic", None]
     assert one(df, fn.url_parameter("url", "utm_source")) == [None, "github", None]

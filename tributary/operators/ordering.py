@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.operators.columns import quoted
+
 _CHUNK = 10_000
 
 
@@ -49,10 +51,9 @@ def neighbours(
         (first if previous else last).alias("__open"),
     )
     unsettled = looked_up.where(F.col("__edge") | keep(F.col("__near")))
-    # Edge rows share one group; rows already settled stay in groups of their own slice.
-    across = Window.partitionBy(
-        F.when(F.col("__edge"), F.lit(-1)).otherwise(F.col("__slice"))
-    ).orderBy(*keys)
+    # Edge rows share one group; rows already settled only need to be spread evenly.
+    spread = F.when(~F.col("__edge"), F.xxhash64(*keys))
+    across = Window.partitionBy("__edge", spread).orderBy(*keys)
     settled = unsettled.select(
         *df.columns,
         F.when(F.col("__open"), beside(across)).otherwise(F.col("__near")).alias("neighbour"),
@@ -73,6 +74,6 @@ def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     )
     size = F.least(F.lit(_CHUNK).cast("bigint"), n - (F.col("__chunk") - 1) * F.lit(_CHUNK))
     sized = chunks.withColumn("__size", size).drop(copies)
-    spread = sized.hint("rebalance", *sized.columns).drop("__chunk")
+    spread = sized.hint("rebalance", *[F.col(quoted(name)) for name in sized.columns])
     one_each = F.sequence(F.lit(1).cast("bigint"), F.col("__size"))
-    return spread.withColumn("__copy", F.explode(one_each)).drop("__copy", "__size")
+    return spread.withColumn("__copy", F.explode(one_each)).drop("__copy", "__chunk", "__size")

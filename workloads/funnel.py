@@ -109,17 +109,21 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.summary(spark, sf_dir)
 
 
+_BROKEN = (
+    ("checkout_without_cart", "had_begin_checkout AND NOT had_add_to_cart"),
+    ("payment_without_checkout", "had_add_payment_info AND NOT had_begin_checkout"),
+    ("purchase_without_payment", "had_purchase AND NOT had_add_payment_info"),
+    ("negative_revenue_on_purchase", "had_purchase AND session_revenue < 0"),
+)
+
+
 @query(
     "funnel_order_violations",
-    f"""{FACTS_SQL}
-    SELECT session_id, 'checkout_without_cart' AS violation_type FROM facts
-    WHERE had_begin_checkout AND NOT had_add_to_cart
-    UNION ALL SELECT session_id, 'payment_without_checkout' FROM facts
-    WHERE had_add_payment_info AND NOT had_begin_checkout
-    UNION ALL SELECT session_id, 'purchase_without_payment' FROM facts
-    WHERE had_purchase AND NOT had_add_payment_info
-    UNION ALL SELECT session_id, 'negative_revenue_on_purchase' FROM facts
-    WHERE had_purchase AND session_revenue < 0""",
+    FACTS_SQL
+    + " UNION ALL ".join(
+        f" SELECT session_id, '{name}' AS violation_type FROM facts WHERE {broken}"
+        for name, broken in _BROKEN
+    ),
 )
 def funnel_order_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel_order(models.facts(spark, sf_dir)).rows

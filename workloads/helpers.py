@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary import functions as fn
 from tributary import operators as op
+from tributary.functions.keys import NULL_TEXT
 from tributary.sources import read_seed, relations_by_pattern, relations_by_prefix, scratch_path
 from workloads.registry import query, table
 
@@ -207,8 +208,8 @@ def group_by_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "surrogate_keys",
-    """SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR) || '-' || coalesce(
-        CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, '_dbt_utils_surrogate_key_null_'
+    f"""SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR) || '-' || coalesce(
+        CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, '{NULL_TEXT}'
       ) || '-' || o_orderpriority) AS order_sk,
       md5(coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, '')) AS status_sk
     FROM orders""",

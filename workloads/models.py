@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tributary.functions.keys import NULL_TEXT
 from tributary.plans import build_sessions, flatten_events, funnel_steps, funnel_summary
+from tributary.plans.funnel import CHANNELS, OTHER_CHANNEL
+from tributary.plans.stages import STAGES
 from tributary.sources import to_event_records
 from workloads.registry import table
 
@@ -29,13 +32,6 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel_summary(facts(spark, sf_dir))
 
 
-_NULL_KEY = "_dbt_utils_surrogate_key_null_"
-
-_STAGES = (
-    "session_start", "page_view", "view_item", "add_to_cart", "begin_checkout",
-    "add_payment_info", "purchase",
-)
-
 _EVENTS = f"""
 rec AS (
   SELECT *, regexp_extract(props, '[0-9]+')::INT AS k FROM events
@@ -75,12 +71,12 @@ raw AS (
 ),
 ev AS (
   SELECT
-    md5(user_pseudo_id || '-' || coalesce(CAST(ga_session_id AS VARCHAR), '{_NULL_KEY}') || '-'
+    md5(user_pseudo_id || '-' || coalesce(CAST(ga_session_id AS VARCHAR), '{NULL_TEXT}') || '-'
       || strftime(ts, '%Y-%m-%d %H:%M:%S')
       || CASE WHEN us % 1000000 = 0 THEN ''
               WHEN us % 1000 = 0 THEN strftime(ts, '.%g') ELSE strftime(ts, '.%f') END
       || '+00') AS event_id,
-    md5(user_pseudo_id || '-' || coalesce(CAST(ga_session_id AS VARCHAR), '{_NULL_KEY}'))
+    md5(user_pseudo_id || '-' || coalesce(CAST(ga_session_id AS VARCHAR), '{NULL_TEXT}'))
       AS session_id,
     *
   FROM raw
@@ -89,22 +85,17 @@ ev AS (
 
 _SESSIONS = f"""
 attribution AS (
-  SELECT DISTINCT session_id,
-    first_value(traffic_source) OVER w AS attributed_source,
-    first_value(traffic_medium) OVER w AS attributed_medium,
-    first_value(campaign_name) OVER w AS attributed_campaign,
-    first_value(device_category) OVER w AS device_category,
-    first_value(country) OVER w AS country,
-    first_value(event_date) OVER w AS session_date
-  FROM ev
-  WINDOW w AS (PARTITION BY session_id ORDER BY us, seq
-               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+  SELECT DISTINCT ON (session_id) session_id,
+    traffic_source AS attributed_source, traffic_medium AS attributed_medium,
+    campaign_name AS attributed_campaign, device_category, country,
+    event_date AS session_date
+  FROM ev ORDER BY session_id, us, seq
 ),
 rollup_ AS (
   SELECT session_id, user_pseudo_id,
     min(ts) AS session_start_at, max(ts) AS session_end_at,
     CAST((max(us) - min(us)) // 1000000 AS BIGINT) AS session_duration_seconds,
-    {", ".join(f"bool_or(event_name = '{s}') AS had_{s}" for s in _STAGES)},
+    {", ".join(f"bool_or(event_name = '{s}') AS had_{s}" for s in STAGES)},
     coalesce(CAST(sum(CAST(purchase_revenue AS DECIMAL(18,2))) AS DOUBLE), 0) AS session_revenue,
     max(transaction_id) AS transaction_id,
     bool_or(session_engaged = '1') AS is_engaged_session,
@@ -112,15 +103,10 @@ rollup_ AS (
   FROM ev GROUP BY session_id, user_pseudo_id
 ),
 sess AS (
-  SELECT r.session_id, r.user_pseudo_id, a.session_date, r.session_start_at, r.session_end_at,
-    r.session_duration_seconds, a.attributed_source, a.attributed_medium, a.attributed_campaign,
-    a.device_category, a.country,
-    {", ".join(f"r.had_{s}" for s in _STAGES)},
-    r.session_revenue, r.transaction_id, r.is_engaged_session, r.total_events
-  FROM rollup_ r LEFT JOIN attribution a ON r.session_id = a.session_id
+  SELECT * FROM rollup_ JOIN attribution USING (session_id)
 )"""
 
-_DEEPEST_FIRST = list(enumerate(_STAGES, start=1))[::-1]
+_DEEPEST_FIRST = list(enumerate(STAGES, start=1))[::-1]
 _STEPS = (
     ("page_view", "session_start", "page_view"),
     ("view_item", "page_view", "view_item"),
@@ -130,24 +116,16 @@ _STEPS = (
     ("purchase", "add_payment_info", "purchase"),
 )
 
+_CHANNEL_RULES = " ".join(
+    f"""WHEN list_contains({list(media)}, lower(attributed_medium))
+      OR list_contains({[*sources, ""]}, lower(attributed_source)) THEN '{name}'"""
+    for name, media, sources in CHANNELS
+)
+
 _FACTS = f"""
 facts AS (
   SELECT *,
-    CASE
-      WHEN lower(attributed_medium) IN ('cpc', 'ppc', 'paid', 'paidsearch') THEN 'Paid Search'
-      WHEN lower(attributed_medium) IN ('cpm', 'display', 'banner', 'paid_social')
-        OR lower(attributed_source) IN
-          ('facebook', 'instagram', 'twitter', 'linkedin', 'tiktok') THEN 'Paid Social'
-      WHEN lower(attributed_medium) = 'email' THEN 'Email'
-      WHEN lower(attributed_medium) IN ('organic', 'seo')
-        OR lower(attributed_source) IN ('google', 'bing', 'yahoo', 'duckduckgo')
-        THEN 'Organic Search'
-      WHEN lower(attributed_medium) IN ('referral', 'affiliate') THEN 'Referral'
-      WHEN lower(attributed_source) IN ('(direct)', 'direct')
-        OR lower(attributed_medium) IN ('(none)', 'none') THEN 'Direct'
-      WHEN lower(attributed_medium) IN ('social', 'social-network', 'sm') THEN 'Organic Social'
-      ELSE 'Other'
-    END AS channel_group,
+    CASE {_CHANNEL_RULES} ELSE '{OTHER_CHANNEL}' END AS channel_group,
     CASE {" ".join(f"WHEN had_{s} THEN {n}" for n, s in _DEEPEST_FIRST)} ELSE 0 END
       AS max_funnel_stage,
     CASE {" ".join(f"WHEN had_{s} THEN '{s}'" for _, s in _DEEPEST_FIRST)} ELSE 'unknown' END
