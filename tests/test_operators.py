@@ -193,3 +193,10 @@ def test_repeat_rows_in_chunks(table):
     df = table("k string, n bigint", ("a", 25_001), ("b", 1), ("c", 0), ("d", 10_000))
     counts = repeat_rows(df, "n").groupBy("k").count()
     assert values(counts) == [("a", 25_001), ("b", 1), ("d", 10_000)]
+
+
+def test_copies_of_one_row_are_written_by_several_tasks(table):
+    rows = repeat_rows(table("k string, n bigint", ("a", 1_000_000)), "n")
+    shares = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(row["count"] for row in shares) == 1_000_000
+    assert max(row["count"] for row in shares) < 500_000

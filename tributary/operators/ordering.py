@@ -64,16 +64,19 @@ def neighbours(
 def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     """Each row ``copies`` times, without that column.
 
-    Large counts are cut into chunks that are spread over the cluster before the
-    rows are written out, so one row standing for billions is no single task's work.
+    Large counts are cut into chunks that are spread over all cores before the rows
+    are written out, so one row standing for billions is no single task's work.
+    The number of partitions is given, because chunks are small in bytes and
+    adaptive execution would merge them again.
     """
-    n = F.col(copies)
-    chunk_count = F.ceil(n / F.lit(_CHUNK))
-    chunks = df.where(n > 0).withColumn(
-        "__chunk", F.explode(F.sequence(F.lit(1).cast("bigint"), chunk_count))
+    n, size = F.col(copies), F.lit(_CHUNK).cast("bigint")
+    numbered = df.where(n > 0).withColumn(
+        "__chunk", F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(n / size)))
     )
-    size = F.least(F.lit(_CHUNK).cast("bigint"), n - (F.col("__chunk") - 1) * F.lit(_CHUNK))
-    sized = chunks.withColumn("__size", size).drop(copies)
-    spread = sized.hint("rebalance", *[F.col(quoted(name)) for name in sized.columns])
+    chunks = numbered.withColumn("__size", F.least(size, n - (F.col("__chunk") - 1) * size))
+    everything = [F.col(quoted(name)) for name in chunks.columns]
+    spread = chunks.repartition(df.sparkSession.sparkContext.defaultParallelism, *everything)
     one_each = F.sequence(F.lit(1).cast("bigint"), F.col("__size"))
-    return spread.withColumn("__copy", F.explode(one_each)).drop("__copy", "__chunk", "__size")
+    return spread.withColumn("__copy", F.explode(one_each)).drop(
+        copies, "__chunk", "__size", "__copy"
+    )

@@ -9,6 +9,7 @@ from tributary.plans.funnel import channel_group, funnel_steps
 from tributary.plans.marts import (
     publish_view,
     read_mart,
+    refresh_marts,
     write_funnel_steps,
     write_funnel_summary,
 )
@@ -25,6 +26,7 @@ __all__ = [
     "model_checks",
     "publish_view",
     "read_mart",
+    "refresh_marts",
     "write_funnel_steps",
     "write_funnel_summary",
 ]

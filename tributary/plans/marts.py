@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tributary.plans.events import flatten_events
+from tributary.plans.funnel import funnel_steps
+from tributary.plans.sessions import build_sessions
+from tributary.plans.summary import funnel_summary
+
 DAY = "session_date"
 CLUSTERING = ("attributed_medium", "attributed_source", "device_category")
 
@@ -44,6 +49,16 @@ def write_funnel_summary(summary: DataFrame, target: str, as_table: bool = False
     _write(summary, target, (), as_table)
 
 
+def refresh_marts(
+    records: DataFrame, steps_target: str, summary_target: str, as_table: bool = False
+) -> None:
+    """Rebuild both marts from event records; the summary is made from the stored facts."""
+    facts = funnel_steps(build_sessions(flatten_events(records)), with_load_time=True)
+    write_funnel_steps(facts, steps_target, as_table)
+    stored_facts = read_mart(records.sparkSession, steps_target, as_table)
+    write_funnel_summary(funnel_summary(stored_facts), summary_target, as_table)
+
+
 def read_mart(spark: SparkSession, source: str, as_table: bool = False) -> DataFrame:
     """A stored table; a filter on ``session_date`` reads only those days."""
     return spark.table(source) if as_table else spark.read.parquet(source)

@@ -6,16 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.checks import funnel_order
-from tributary.plans import (
-    flatten_events,
-    funnel_steps,
-    funnel_summary,
-    publish_view,
-    read_mart,
-    reports,
-    write_funnel_steps,
-    write_funnel_summary,
-)
+from tributary.plans import flatten_events, publish_view, read_mart, refresh_marts, reports
 from tributary.plans.sessions import FIRST_TOUCH
 from tributary.sources import read_events, scratch_path
 from workloads import models
@@ -138,6 +129,5 @@ def funnel_order_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def write_read_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps_path, summary_path = scratch_path(spark, "steps"), scratch_path(spark, "summary")
-    write_funnel_steps(funnel_steps(models.sessions(spark, sf_dir), with_load_time=True), steps_path)
-    write_funnel_summary(funnel_summary(read_mart(spark, steps_path)), summary_path)
+    refresh_marts(models.records(spark, sf_dir), steps_path, summary_path)
     return reports.load_summary(read_mart(spark, summary_path), "2024-01-10", "2024-01-19")
