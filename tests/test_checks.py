@@ -236,3 +236,11 @@ def test_report_reads_a_table_once_for_row_rules(spark):
     rules = [checks.not_null(df, "a"), checks.not_null(df, "b"), checks.accepted_range(df, "id", 0)]
     report = run_checks([Check(f"r{i}", rule) for i, rule in enumerate(rules)])
     assert report._jdf.queryExecution().executedPlan().toString().count("Range (0, 10") == 1
+
+
+def test_quoting(table):
+    df = table("`my col` int, v string", (1, "a"), (1, "b"), (2, "c"))
+    found = checks.unique_combination_of_columns(df, ["my col"], quote_columns=True)
+    assert values(found.rows) == [(1,)]
+    assert failures(checks.accepted_values(df, "v", ["lower('A')", "'b'", "'c'"], quote=False)) == 0
+    assert failures(checks.not_accepted_values(df, "v", ["upper('a')", "'c'"], quote=False)) == 1

@@ -183,3 +183,10 @@ def test_intervals_between(spark, part, start, end, expected):
 def test_exact_sum_ignores_order(table):
     df = table("v double", *[(0.1,)] * 10, (None,))
     assert values(df.agg(fn.exact_sum("v"))) == [(1.0,)]
+
+
+def test_exact_sum_of_values_without_fixed_point_form(table):
+    df = table("g int, v double", (1, 0.1), (1, float("nan")), (2, 0.2), (2, float("inf")), (3, 1e25), (4, None))
+    sums = dict(df.groupBy("g").agg(fn.exact_sum("v").alias("s")).collect())
+    assert math.isnan(sums[1])
+    assert (sums[2], sums[3], sums[4]) == (math.inf, 1e25, None)

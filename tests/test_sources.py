@@ -87,6 +87,9 @@ def test_catalog_lookup(spark):
     ]
     assert found[0].read(spark).count() == 1
     assert relations_by_pattern(spark, "nowhere", "%") == []
+    elsewhere = relations_by_prefix(spark, "shop_b", "data_", database="spark_catalog")
+    assert [relation.path for relation in elsewhere] == ["spark_catalog.shop_b.data_events_3"]
+    assert elsewhere[0].read(spark).count() == 1
     spark.range(2).createOrReplaceTempView("temp_rows_1")
     assert relations_by_prefix(spark, "", "temp_rows_") == [Relation("", "temp_rows_1", "view")]
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 import duckdb
 import pytest
 
 from workloads import ORACLE, QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",

@@ -140,7 +140,8 @@ def equal_rowcount(
     Every group is listed; the metric adds up the differences. A group found on
     one side only has no difference and passes, unless ``strict``.
     """
-    counts = _one_sided_as_zero(_paired_counts(subset(df, where), compare, group_by_columns), strict)
+    pairs = _paired_counts(subset(df, where), compare, group_by_columns)
+    counts = _one_sided_as_zero(pairs, strict)
     rows = counts.withColumn("diff_count", F.abs(F.col("__n_a") - F.col("__n_b")))
     return Violations(
         rows.withColumnsRenamed({"__n_a": "count_a", "__n_b": "count_b"}),
@@ -160,7 +161,8 @@ def fewer_rows_than(
     The metric adds up the surplus, or 1 where the numbers are equal. A group found
     on one side only passes, unless ``strict``.
     """
-    counts = _one_sided_as_zero(_paired_counts(subset(df, where), compare, group_by_columns), strict)
+    pairs = _paired_counts(subset(df, where), compare, group_by_columns)
+    counts = _one_sided_as_zero(pairs, strict)
     ours, theirs = F.col("__n_a"), F.col("__n_b")
     delta = F.when(ours > theirs, ours - theirs).when(ours == theirs, 1).otherwise(0)
     rows = counts.withColumn("row_count_delta", delta.cast("bigint"))
@@ -194,7 +196,8 @@ def relationships_where(
         .groupBy("id")
         .agg(F.sum("__left").alias("__copies"), F.max("__right").alias("__known"))
     )
-    orphans = counts.where("__known = 0").select("id", F.lit(None).cast("string").alias("right_id"), "__copies")
+    missing = F.lit(None).cast("string").alias("right_id")
+    orphans = counts.where("__known = 0").select("id", missing, "__copies")
     return Violations(repeat_rows(orphans, "__copies"))
 
 

@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 from tributary.checks.violations import Violations, subset
 from tributary.functions._args import as_column, as_value
 from tributary.functions.dates import add_parts
+from tributary.operators.columns import quoted
 
 
 def _columns(names: Sequence[str]) -> list[Column]:
     return [as_column(name) for name in names]
 
 
+def _listed(values: Iterable, quote: bool) -> Column:
+    """Condition that ``value_field`` is in the list; unquoted values are SQL expressions."""
+    return F.col("value_field").isin([v if quote else F.expr(str(v)) for v in values])
+
+
 def at_least_one(
     df: DataFrame, column: str, group_by_columns: Sequence[str] = (), where: str | None = None
 ) -> Violations:
@@ -109,29 +115,32 @@ def unique(df: DataFrame, column: str, where: str | None = None) -> Violations:
 
 
 def unique_combination_of_columns(
-    df: DataFrame, columns: Sequence[str], where: str | None = None
+    df: DataFrame, columns: Sequence[str], quote_columns: bool = False, where: str | None = None
 ) -> Violations:
-    """A combination occurs more than once; NULL counts as a value."""
-    counts = subset(df, where).groupBy(*_columns(columns)).agg(F.count(F.lit(1)).alias("__n"))
+    """A combination occurs more than once; NULL counts as a value.
+
+    With ``quote_columns`` the columns are plain names, which may hold any character.
+    """
+    keys = [F.col(quoted(name)) for name in columns] if quote_columns else _columns(columns)
+    counts = subset(df, where).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     return Violations(counts.where("__n > 1").drop("__n"))
 
 
 def accepted_values(
-    df: DataFrame, column: str, values: Iterable, where: str | None = None
+    df: DataFrame, column: str, values: Iterable, quote: bool = True, where: str | None = None
 ) -> Violations:
     """A value is not in the list; one row for each such value, with its count."""
-    unexpected = ~F.col("value_field").isin(list(values))
     counts = (
         subset(df, where)
         .groupBy(as_column(column).alias("value_field"))
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
-    return Violations(counts.where(unexpected))
+    return Violations(counts.where(~_listed(values, quote)))
 
 
 def not_accepted_values(
-    df: DataFrame, column: str, values: Iterable, where: str | None = None
+    df: DataFrame, column: str, values: Iterable, quote: bool = True, where: str | None = None
 ) -> Violations:
     """A value is in the list of forbidden ones; one row for each such value."""
     found = subset(df, where).select(as_column(column).alias("value_field")).distinct()
-    return Violations(found.where(F.col("value_field").isin(list(values))))
+    return Violations(found.where(_listed(values, quote)))

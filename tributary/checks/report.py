@@ -32,7 +32,8 @@ class Check:
         """SQL text of the result row, given the SQL text of the number of failures."""
         failed = f"when {failures} {self.error_if} then 'fail'" if self.severity == "error" else ""
         status = f"case {failed} when {failures} {self.warn_if} then 'warn' else 'pass' end"
-        return f"named_struct('check', {sql_text(self.name)}, 'failures', {failures}, 'status', {status})"
+        name = sql_text(self.name)
+        return f"named_struct('check', {name}, 'failures', {failures}, 'status', {status})"
 
 
 def _row_rule_results(checks: list[Check]) -> DataFrame:

@@ -46,7 +46,9 @@ def expression_is_true(
     return _row_rule(df, ~F.expr(condition), where)
 
 
-def assert_equal(df: DataFrame, actual: str, expected: str, where: str | None = None) -> RowViolations:
+def assert_equal(
+    df: DataFrame, actual: str, expected: str, where: str | None = None
+) -> RowViolations:
     """Two columns of a row differ."""
     return _row_rule(df, as_column(actual) != as_column(expected), where)
 

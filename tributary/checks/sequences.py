@@ -61,12 +61,10 @@ def sequential_values(
         keep=lambda near: repeated | broken(F.col("__v"), near["value"]),
     )
     # The first copy follows the previous value, each further copy follows its equal.
-    copies = F.explode(
-        F.array(
-            F.struct(F.col("neighbour")["value"].alias("before"), F.lit(1).cast("bigint").alias("n")),
-            F.struct(F.col("__v").alias("before"), (F.col("__n") - 1).alias("n")),
-        )
-    )
+    copies = F.expr("""explode(array(
+        named_struct('before', neighbour.value, 'n', 1L),
+        named_struct('before', __v, 'n', __n - 1)
+    ))""")
     pairs = found.withColumn("__pair", copies).where(
         broken(F.col("__v"), F.col("__pair")["before"])
     )
@@ -131,16 +129,10 @@ def mutually_exclusive_ranges(
         keep=lambda near: (F.col("__n") > 1) | ~(length_ok & gap_ok(near["value"], near.isNull())),
     )
     # All copies but the last are followed by their equal.
-    copies = F.explode(
-        F.array(
-            F.struct(
-                F.col("neighbour")["value"].alias("next"),
-                F.col("neighbour").isNull().alias("is_last"),
-                F.lit(1).cast("bigint").alias("n"),
-            ),
-            F.struct(lower.alias("next"), F.lit(False).alias("is_last"), (F.col("__n") - 1).alias("n")),
-        )
-    )
+    copies = F.expr("""explode(array(
+        named_struct('next', neighbour.value, 'is_last', neighbour is null, 'n', 1L),
+        named_struct('next', lower_bound, 'is_last', false, 'n', __n - 1)
+    ))""")
     rows = found.withColumn("__pair", copies).select(
         *groups,
         "lower_bound",

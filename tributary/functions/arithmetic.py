@@ -51,6 +51,11 @@ def exact_sum(money: ColumnOrExpr) -> Column:
 
     Floating-point addition gives other last digits for every order in which
     partial sums meet, so a re-run task could change a report. Adding fixed-point
-    numbers is exact; only the final total becomes a double again.
+    numbers is exact; only the final total becomes a double again. Values that have
+    no fixed-point form (NaN, infinity, beyond 20 digits) are added as they are.
     """
-    return F.sum(as_column(money).cast(MONEY)).cast("double")
+    amount = as_column(money)
+    fixed = amount.try_cast(MONEY)
+    exact = F.sum(fixed).cast("double")
+    rest = F.sum(F.when(fixed.isNull(), amount))
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)

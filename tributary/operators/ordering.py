@@ -34,10 +34,11 @@ def neighbours(
     """
     keys = [*partition_by, *order_by]
     group = F.struct(F.lit(0).alias("one"), *[F.col(name) for name in partition_by])
+    row = F.struct(F.col(carry).alias("value"))
     shift = F.lag if previous else F.lead
 
     def beside(window) -> Column:
-        found = shift(F.struct(group.alias("grp"), F.struct(F.col(carry).alias("value")).alias("row"))).over(window)
+        found = shift(F.struct(group.alias("grp"), row.alias("row"))).over(window)
         return F.when(found["grp"].eqNullSafe(group), found["row"])
 
     sliced = df.repartitionByRange(*keys).withColumn("__slice", F.spark_partition_id())

@@ -49,6 +49,6 @@ def date_spine(
         raise ValueError(f"the end must lie at least one {part} after the start")
     whole_days = part in _CALENDAR_PARTS and isinstance(bounds.schema["start"].dataType, DateType)
     name = f"date_{part}"
-    moment = add_parts(part, F.col("id"), start)
-    spine = spark.range(periods).select(moment.cast("date" if whole_days else "timestamp").alias(name))
+    moment = add_parts(part, F.col("id"), start).cast("date" if whole_days else "timestamp")
+    spine = spark.range(periods).select(moment.alias(name))
     return spine.where(F.col(name) <= end)

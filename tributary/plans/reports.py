@@ -78,7 +78,9 @@ def filter_summary(
     return rows
 
 
-def load_summary(summary: DataFrame, start_date, end_date, channels: Sequence[str] = ()) -> DataFrame:
+def load_summary(
+    summary: DataFrame, start_date, end_date, channels: Sequence[str] = ()
+) -> DataFrame:
     """The columns reports need, of a date range and some channels, ordered by date."""
     rows = filter_summary(summary, start_date, end_date, channels)
     return rows.select(*REPORT_COLUMNS).orderBy("session_date")
@@ -90,7 +92,7 @@ def available_channels(summary: DataFrame) -> DataFrame:
 
 
 def kpis(summary: DataFrame) -> DataFrame:
-    """One row: sessions, purchases, conversion rate over all sessions, revenue, mean order value."""
+    """One row: sessions, purchases, overall conversion rate, revenue, mean order value."""
     totals = summary.agg(
         F.coalesce(F.sum("total_sessions"), F.lit(0)).alias("total_sessions"),
         F.coalesce(F.sum("sessions_with_purchase"), F.lit(0)).alias("total_purchases"),
@@ -125,8 +127,8 @@ def daily_conversion(summary: DataFrame) -> DataFrame:
 
 def revenue_by_channel(summary: DataFrame) -> DataFrame:
     """Revenue of each channel, smallest first."""
-    revenue = summary.groupBy("channel_group").agg(exact_sum("total_revenue").alias("total_revenue"))
-    return revenue.orderBy("total_revenue", "channel_group")
+    revenue = exact_sum("total_revenue").alias("total_revenue")
+    return summary.groupBy("channel_group").agg(revenue).orderBy("total_revenue", "channel_group")
 
 
 def sessions_trend(summary: DataFrame) -> DataFrame:
@@ -153,7 +155,7 @@ def step_rates(summary: DataFrame) -> DataFrame:
 
 
 def channel_table(summary: DataFrame) -> DataFrame:
-    """Sessions, purchases, mean conversion rate, mean order value, revenue; highest revenue first."""
+    """Sessions, purchases, mean rate, mean order value and revenue; highest revenue first."""
     table = summary.groupBy("channel_group").agg(
         F.sum("total_sessions").alias("sessions"),
         F.sum("sessions_with_purchase").alias("purchases"),

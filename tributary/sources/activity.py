@@ -28,8 +28,11 @@ def _pick(number: str, choices: tuple[str | None, ...]) -> str:
     return f"element_at(array({sql_list(choices)}), cast({number} % {len(choices)} as int) + 1)"
 
 
-def _param(key: str, text: str = "cast(null as string)", number: str = "cast(null as bigint)") -> str:
-    value = f"named_struct('string_value', {text}, 'int_value', cast({number} as bigint))"
+def _param(key: str, text: str = "null", number: str = "null") -> str:
+    value = (
+        f"named_struct('string_value', cast({text} as string),"
+        f" 'int_value', cast({number} as bigint))"
+    )
     return f"named_struct('key', '{key}', 'value', {value})"
 
 

@@ -16,13 +16,14 @@ class Relation(NamedTuple):
     schema: str
     name: str
     type: str
+    database: str | None = None
 
     @property
     def path(self) -> str:
-        return f"{self.schema}.{self.name}" if self.schema else self.name
+        return ".".join(part for part in (self.database, self.schema, self.name) if part)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        parts = [self.schema, self.name] if self.schema else [self.name]
+        parts = [part for part in (self.database, self.schema, self.name) if part]
         return spark.table(".".join(quoted(part) for part in parts))
 
 
@@ -33,28 +34,47 @@ def _ilike(text: str, pattern: str) -> bool:
 
 
 def relations_by_pattern(
-    spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = ""
+    spark: SparkSession,
+    schema_pattern: str,
+    table_pattern: str,
+    exclude: str = "",
+    database: str | None = None,
 ) -> list[Relation]:
     """Tables and views whose schema and name match LIKE patterns, letter case ignored.
 
-    Names matching ``exclude`` are left out. Temporary views belong to no schema
-    and are found with the empty schema pattern.
+    Names matching ``exclude`` are left out. ``database`` names a catalog to search
+    instead of the current one. Temporary views belong to no schema and are found
+    with the empty schema pattern.
     """
-    found = set()
     catalog = spark.catalog
-    schemas = [db.name for db in catalog.listDatabases() if _ilike(db.name, schema_pattern)]
-    for schema in schemas or [catalog.currentDatabase()]:
-        for table in catalog.listTables(schema):
-            owner = "" if table.isTemporary else schema
-            wanted = _ilike(owner, schema_pattern) and _ilike(table.name, table_pattern)
-            if wanted and not _ilike(table.name, exclude):
-                kind = "view" if table.isTemporary else (table.tableType or "").lower()
-                found.add(Relation(owner, table.name, _TABLE_TYPES.get(kind, kind)))
-    return sorted(found)
+    before = catalog.currentCatalog()
+    if database:
+        catalog.setCurrentCatalog(database)
+    try:
+        schemas = [db.name for db in catalog.listDatabases() if _ilike(db.name, schema_pattern)]
+        listed = [
+            ("" if table.isTemporary else schema, table)
+            for schema in schemas or [catalog.currentDatabase()]
+            for table in catalog.listTables(schema)
+        ]
+    finally:
+        if database:
+            catalog.setCurrentCatalog(before)
+    found = set()
+    for owner, table in listed:
+        wanted = _ilike(owner, schema_pattern) and _ilike(table.name, table_pattern)
+        if wanted and not _ilike(table.name, exclude):
+            kind = "view" if table.isTemporary else (table.tableType or "").lower()
+            found.add(Relation(owner, table.name, _TABLE_TYPES.get(kind, kind), database))
+    return sorted(found, key=lambda relation: relation.path)
 
 
 def relations_by_prefix(
-    spark: SparkSession, schema: str, prefix: str, exclude: str = ""
+    spark: SparkSession,
+    schema: str,
+    prefix: str,
+    exclude: str = "",
+    database: str | None = None,
 ) -> list[Relation]:
     """The same for names that begin with ``prefix``."""
-    return relations_by_pattern(spark, schema, prefix + "%", exclude)
+    return relations_by_pattern(spark, schema, prefix + "%", exclude, database)

@@ -228,9 +228,11 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT l_orderkey, l_linenumber,
       round(l_extendedprice / nullif(l_tax, 0), 6) AS price_per_tax,
       round(l_quantity * l_discount / nullif(l_tax * l_discount, 0), 6) AS ratio,
-      coalesce(nullif(l_linenumber, 1), 0) + coalesce(l_suppkey, 0) + coalesce(nullif(l_partkey, 2), 0)
+      coalesce(nullif(l_linenumber, 1), 0) + coalesce(l_suppkey, 0)
+        + coalesce(nullif(l_partkey, 2), 0)
         AS added,
-      coalesce(nullif(l_linenumber, 1), 0) - coalesce(l_suppkey, 0) - coalesce(nullif(l_partkey, 2), 0)
+      coalesce(nullif(l_linenumber, 1), 0) - coalesce(l_suppkey, 0)
+        - coalesce(nullif(l_partkey, 2), 0)
         AS subtracted
     FROM lineitem""",
 )

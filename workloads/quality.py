@@ -60,7 +60,8 @@ def chk_cardinality_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).rows
 
 
-_NATION_COUNTS = """WITH a AS (SELECT c_nationkey AS nation, count(*) AS n FROM customer GROUP BY 1),
+_NATION_COUNTS = """WITH
+    a AS (SELECT c_nationkey AS nation, count(*) AS n FROM customer GROUP BY 1),
     b AS (SELECT s_nationkey AS nation, count(*) AS n FROM supplier GROUP BY 1)"""
 
 
@@ -192,7 +193,9 @@ def chk_ranges_no_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "chk_ranges_repeated",
     "WITH "
-    + _ranges_sql("lineitem", "l_linenumber", "l_linenumber + l_suppkey % 4", "l_orderkey", "allowed"),
+    + _ranges_sql(
+        "lineitem", "l_linenumber", "l_linenumber + l_suppkey % 4", "l_orderkey", "allowed"
+    ),
 )
 def chk_ranges_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.mutually_exclusive_ranges(
