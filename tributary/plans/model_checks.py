@@ -25,9 +25,9 @@ def model_checks(
 ) -> list[Check]:
     """The rules declared for the four models, to pass to ``run_checks``.
 
-    Two of them are expected to find rows in real traffic: sessions without any
-    funnel event have stage 0, ``unknown``, and sessions do skip stages. Pass stored
-    sessions and summary, or every check computes them again.
+    Three of them are expected to find rows in real traffic: sessions without any
+    funnel event have stage 0 with the name ``unknown``, and sessions do skip stages.
+    Pass stored sessions and summary, or every check computes them again.
     """
     tables = {"events": events, "sessions": sessions, "steps": steps, "summary": summary}
     rules = [
