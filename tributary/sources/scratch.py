@@ -1,27 +1,31 @@
-"""A folder every executor can reach."""
+"""A folder every executor can reach, for tables that later steps read."""
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# Folders made so far, by the id of the application that made them.
+_made: dict[str, list[str]] = {}
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder named by ``spark.checkpoint.dir``.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, else one inside the warehouse.
 
-    Only a local session without that setting gets a temporary folder of this
-    machine; on a cluster the setting is required.
+    The warehouse is shared by the driver and all executors wherever tables can be
+    saved, so nothing ever goes to a folder of one machine.
     """
     root = spark.conf.get(_SETTING, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-")
-    return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below ``scratch_root``."""
+    path = f"{scratch_root(spark)}/{name}-{uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -33,3 +37,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes what this application has written below ``scratch_root``.
+
+    Results that still read those tables must have been saved or collected before.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        place = hadoop.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
