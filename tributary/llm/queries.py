@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import quality, simhash
+from tributary.llm import mixing, packing, personal, quality, simhash
 from tributary.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,27 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("print")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagger = personal.fit_tagger(personal.labelled_table(spark))
+    return personal.find_personal(read(spark, sf_dir, "documents"), tagger).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2("base", 256).alias("base_sha256"), "spans",
+    )
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.choose(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")
+    )
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), with_ids=False).select(
+        "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32",
+        "sequence_id", "offset",
+    )

@@ -224,6 +224,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, meet: int = MEET) -> Data
     """(a, b): links that join up all different prints within ``max_bits`` (at most 3) bits."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError("halves with one bit wiped out find at most three differing bits")
+    # Each print becomes 64 rows, so small partitions are not merged before that.
+    partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    prints = prints.repartition(partitions, "print")
     pair = "key bigint, print bigint"
     found = stored(_meet(batches(prints, _halves, pair), _wiped_of_halves, max_bits, meet), "links")
     near = found.where("not crowded").select("a", "b")

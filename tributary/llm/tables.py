@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tributary.sources.scratch import stored
 
-__all__ = ["batches", "pick", "read", "salt", "stored"]
+__all__ = ["batches", "pick", "read", "stored"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,15 +34,3 @@ def batches(
 
     return df.mapInArrow(run, schema)
 
-
-def salt(*parts: object) -> int:
-    """A number that depends on its arguments alone, alike on every machine."""
-    return crc32(repr(parts).encode())
-
-
-def null_safe(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Condition that joins equal values, nulls included."""
-    both = left[names[0]].eqNullSafe(right[names[0]])
-    for name in names[1:]:
-        both = both & left[name].eqNullSafe(right[name])
-    return both
