@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import mixing, packing, personal, quality, simhash
+from tributary.llm import mixing, packing, personal, quality, simhash, toxicity
 from tributary.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,16 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32",
         "sequence_id", "offset",
     )
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    scorer = toxicity.fit_scorer(docs, labels.where(~held_out))
+    return toxicity.score(docs, scorer).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
