@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import mixing, packing, personal, quality, simhash, toxicity
+from tributary.llm import (
+    mixing,
+    packing,
+    personal,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from tributary.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +80,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.token_counts(read(spark, sf_dir, "documents"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
