@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm import (
     mixing,
+    neighbours,
     packing,
     personal,
     quality,
@@ -86,3 +87,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.token_counts(read(spark, sf_dir, "documents"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
