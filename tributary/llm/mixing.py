@@ -37,7 +37,7 @@ MAX_TIMES = 3
 #: Widest budget that the dynamic programme fills; larger rests are first filled greedily.
 FIT_WIDTH = 1 << 16
 #: Documents of one source and length that are put in order by one task, about.
-SLICE_ROWS = 1000
+SLICE_ROWS = 250
 
 
 def targets(
@@ -217,6 +217,7 @@ def choose(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = 42)
             F.col("source").alias("c_source"),
             F.col("size").alias("c_size"),
             F.col("slice").alias("c_slice"),
+            "rows",
             F.greatest(
                 F.lit(0), F.least("rows", F.col("extra") - (F.col("until") - F.col("rows")))
             ).alias("quota"),
@@ -229,14 +230,19 @@ def choose(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = 42)
         & (split["size"] == cut["c_size"])
         & (split["slice"] == cut["c_slice"]),
     ).drop("c_source", "c_size", "c_slice")
+    # Only the slice in which the share of a length ends has to be put in order.
+    ends = (F.col("quota") > 0) & (F.col("quota") < F.col("rows"))
     place = Window.partitionBy("source", "size", "slice").orderBy("order", "doc_id", "hash")
-    split = split.withColumn("more", (F.row_number().over(place) <= F.col("quota")).cast("long"))
-    whole = rows.where(~partly).withColumn("more", (F.col("extra") > 0).cast("long"))
-    columns = ["doc_id", "hash", "size", "source_size", "target", "times"]
+    first = (F.row_number().over(place) <= F.col("quota")).cast("long")
+    columns = ["doc_id", "hash", "size", "source_size", "target", "full", "more"]
     return (
-        whole.unionByName(split.drop("quota"))
+        rows.where(~partly)
+        .withColumn("more", (F.col("extra") > 0).cast("long"))
+        .select(columns)
+        .union(split.where(~ends).withColumn("more", (F.col("quota") > 0).cast("long")).select(columns))
+        .union(split.where(ends).withColumn("more", first).select(columns))
         .withColumn("times", F.when(F.col("size") > 0, F.col("full") + F.col("more")).otherwise(0))
-        .select(*columns)
+        .drop("full", "more")
     )
 
 
