@@ -17,8 +17,10 @@ from tributary.llm import (
     simhash,
     token_counts,
     toxicity,
+    warc,
 )
 from tributary.llm.tables import read
+from tributary.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: SQL that gives the same rows, where SQL can.
@@ -101,3 +103,44 @@ def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _page(column: str):
+    return F.regexp_extract(column, r"^urn:page:(-?\d+)$", 1).try_cast("bigint")
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(warc.page_records(read(spark, sf_dir, "pages")), path)
+    stored = warc.read(spark, path).where("record_type = 'response'")
+    again = warc.read(spark, path, payload=False).where("record_type = 'revisit'")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return (
+        stored.withColumn("payload_bytes", F.octet_length("payload").cast("bigint"))
+        .withColumn("payload_digest", F.sha2("payload", 256))
+        .unionByName(
+            again.withColumn("payload_bytes", F.col("payload_length")).withColumn(
+                "payload_digest", F.substring_index("payload_digest", ":", -1)
+            )
+        )
+        .withColumn("page_id", _page("record_id"))
+        .withColumn("refers_to", _page("refers_to"))
+        .select(*columns)
+    )
+
+
+ORACLE["op10_warc"] = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+           min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+    FROM pages),
+q AS (
+    SELECT *, payload_bytes >= 100 AND first IS NOT NULL
+              AND page_id IS DISTINCT FROM first AS again
+    FROM p)
+SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to
+FROM q
+"""
