@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import quality, simhash
+from tributary.llm import mixing, packing, personal, quality, simhash
 from tributary.llm.tables import read, stored
 
 
@@ -24,9 +24,28 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts gives way to the names of its kinds."""
+    return personal.redact(docs, personal.fit_tagger(personal.labelled_table(spark)))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document stays as many times as the mixture takes it."""
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their token ids, sequences and places in these."""
+    packed = packing.pack(docs)
+    return packed.withColumn("piece", packed["piece"].cast("int"))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
+    ("pii", pii),
+    ("mixing", mix),
+    ("packing", pack),
 ]
 
 # No SQL can state the trained stages; tests/llm compares the pipeline with a plain version.
