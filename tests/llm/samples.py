@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+SF = "/root/testdata/sf0.001"
+
+
+def word(rng: random.Random) -> str:
+    return "".join(rng.choice("abcdefgéñ") for _ in range(rng.randint(1, 6)))
+
+
+def sentence(rng: random.Random, words: int) -> str:
+    return " ".join(word(rng) for _ in range(words))
+
+
+def edge_rows() -> list[tuple]:
+    """Nulls in every column, empty and very long texts, ties and repeated rows."""
+    rng = random.Random(5)
+    long = sentence(rng, 30_000)
+    plain = sentence(rng, 80)
+    return [
+        (1, None, "en", "a", None),
+        (2, "", "en", "a", 0),
+        (3, " \n\t ", None, None, 4),
+        (None, plain, "en", "b", 9),
+        (None, plain, "en", "b", 9),
+        (4, plain, "en", "b", 9),
+        (4, plain, "en", "b", 9),
+        (5, plain, "de", "c", 9),
+        (6, long, "en", "b", len(long)),
+        (7, "ein", "de", None, 3),
+        (8, "zwei wörter", "de", "a", 11),
+        (9, "x" * 50_000, "en", "c", 50_000),
+    ]
+
+
+@pytest.fixture
+def docs(spark):
+    """Builds a documents table; ``clash`` adds columns named like the operators' own."""
+
+    def build(rows, clash: bool = False):
+        df = spark.createDataFrame(rows, COLUMNS)
+        if clash:
+            for name in ("score", "key", "hash", "size", "shard", "print", "row", "id", "place",
+                         "n_words", "kept", "times", "rows", "a.b"):
+                df = df.withColumn(name, df["doc_id"])
+        return df
+
+    return build

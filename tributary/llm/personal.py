@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.llm.crf import KINDS, LABELS, Tagger, tokens, train
-from tributary.llm.tables import batches, pick
+from tributary.llm.tables import batches, each_row, pick
 
 Span = tuple[str, int, int]
 
@@ -320,4 +320,4 @@ def redact(docs: DataFrame, tagger: Tagger) -> DataFrame:
             columns[at] = pa.array(counts, columns[at].type)
         return pa.RecordBatch.from_arrays(columns, names)
 
-    return batches(docs, work, docs.schema)
+    return each_row(docs, work)

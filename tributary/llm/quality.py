@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.tables import batches, pick
+from tributary.llm.tables import batches, each_row, pick
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -296,4 +296,4 @@ def keep_good(docs: DataFrame, rules: Rules) -> DataFrame:
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         return part.filter(pa.array(~rules.rejects(_counts(part.column("text")))))
 
-    return batches(docs, work, docs.schema)
+    return each_row(docs, work)

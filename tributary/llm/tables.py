@@ -6,10 +6,11 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tributary.sources.scratch import stored
 
-__all__ = ["batches", "pick", "read", "stored"]
+__all__ = ["batches", "each_row", "pick", "read", "stored"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +23,9 @@ def pick(df: DataFrame, **types: str) -> DataFrame:
 
 
 def batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: str | StructType,
 ) -> DataFrame:
     """``work`` on each Arrow batch, a slice of a partition at a time."""
 
@@ -34,3 +37,21 @@ def batches(
 
     return df.mapInArrow(run, schema)
 
+
+
+def each_row(
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch]
+) -> DataFrame:
+    """``work`` on batches with all columns of ``df``, which must keep those columns.
+
+    Columns go by place in between, so names with dots or odd letters do no harm.
+    """
+    names = df.columns
+    numbered = [f"c{i}" for i in range(len(names))]
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        out = work(pa.RecordBatch.from_arrays(part.columns, names))
+        return pa.RecordBatch.from_arrays(out.columns, numbered)
+
+    plain = df.toDF(*numbered)
+    return batches(plain, run, plain.schema).toDF(*names)
