@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from tributary.session import build_session
+from tributary.sources import clear_scratch
 from workloads import QUERIES
 
 
@@ -18,6 +20,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [name for name in os.environ.get("BENCH_QUERIES", "").split(",") if name]
+    folder = tempfile.mkdtemp(prefix="bench-")  # this is one machine
     spark = build_session(
         "bench",
         master=f"local[{cpus}]",
@@ -26,6 +29,8 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
+            "spark.checkpoint.dir": f"{folder}/scratch",
+            "spark.sql.warehouse.dir": f"{folder}/warehouse",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -50,6 +55,7 @@ def main() -> None:
             }
         )
     )
+    clear_scratch(spark)
     spark.stop()
 
 

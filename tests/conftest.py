@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from tributary.session import build_session  # noqa: E402
+from tributary.sources import clear_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -27,6 +28,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

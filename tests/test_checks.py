@@ -80,6 +80,34 @@ def test_fewer_rows_than(table):
     assert failures(checks.fewer_rows_than(large.union(large), small)) == 5
 
 
+def test_equality_at_every_precision(table):
+    a = table("v double", (1.0000000001,), (1e30,))
+    b = table("v double", (1.0000000002,), (1e30,))
+    assert failures(checks.equality(a, b, precision=12)) == 2
+    assert failures(checks.equality(a, b, precision=9)) == 0
+    assert failures(checks.equality(a, b)) == 2
+    near = table("v double", (0.6,)), table("v double", (1.4,))
+    assert failures(checks.equality(*near, precision=0)) == 0
+    c, d = (table("v double", (v,)).selectExpr("cast(v as decimal(20,12)) as v") for v in (1.25, 1.250000001))
+    assert failures(checks.equality(c, d, precision=9)) == 2
+    assert failures(checks.equality(c, d, precision=8)) == 0
+    for precision in (-1, 39):
+        with pytest.raises(ValueError, match="precision"):
+            checks.equality(a, b, precision=precision)
+
+
+def test_columns_match_set_finds_what_is_missing_or_too_much(table):
+    found = checks.columns_match_set(table("a int, B int, c int", (1, 2, 3)), ["A", "b", "d"])
+    assert values(found.rows) == [(None, "d"), ("c", None)]
+
+
+def test_orphans_have_the_type_of_the_parent_column(table):
+    found = checks.relationships_where(
+        table("k string", ("7",)), "k", table("id bigint", (1,)), "id"
+    )
+    assert dict(found.rows.dtypes)["right_id"] == "bigint"
+
+
 def test_equality(table):
     a = table("col_a int, col_b int, col_c int", (1, 1, 3), (1, 2, 1), (2, 3, 3))
     b = table("col_a int, col_b int, col_c int", (1, 1, 2), (1, 2, 2), (2, 3, 2))

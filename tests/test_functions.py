@@ -182,11 +182,18 @@ def test_intervals_between(spark, part, start, end, expected):
 
 def test_exact_sum_ignores_order(table):
     df = table("v double", *[(0.1,)] * 10, (None,))
-    assert values(df.agg(fn.exact_sum("v"))) == [(1.0,)]
+    assert values(df.agg(fn.exact_sum("v", "decimal(29,9)"))) == [(1.0,)]
+    assert values(df.where("v is null").agg(fn.exact_sum("v", "decimal(29,9)"))) == [(None,)]
 
 
-def test_exact_sum_of_values_without_fixed_point_form(table):
-    df = table("g int, v double", (1, 0.1), (1, float("nan")), (2, 0.2), (2, float("inf")), (3, 1e25), (4, None))
-    sums = dict(df.groupBy("g").agg(fn.exact_sum("v").alias("s")).collect())
-    assert math.isnan(sums[1])
-    assert (sums[2], sums[3], sums[4]) == (math.inf, 1e25, None)
+@pytest.mark.parametrize("amount", [4e-10, 1e25, float("nan"), float("inf"), 0.1 + 0.2])
+def test_exact_sum_refuses_what_its_type_cannot_hold(table, amount):
+    df = table("v double", (1.5,), (amount,))
+    with pytest.raises(Exception, match=r"no exact decimal\(29,9\)"):
+        df.agg(fn.exact_sum("v", "decimal(29,9)")).collect()
+
+
+def test_plain_totals_keep_every_digit(table):
+    df = table("v double", *[(4e-10,)] * 1000)
+    assert df.agg(fn.total("v")).head()[0] == pytest.approx(4e-7)
+    assert df.agg(fn.total("v", "decimal(38,20)")).head()[0] == 4e-7

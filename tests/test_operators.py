@@ -140,15 +140,17 @@ def test_union_of_many_tables(spark):
 
 def test_column_values(table, spark):
     df = table("field string, side string", *[(c, "left") for c in "abcdef"], *[("g", "right")] * 5)
-    assert op.column_values(df, "field", order_by="field") == list("abcdefg")
-    assert op.column_values(df, "field", max_records=1) == ["g"]
-    assert op.column_values(df, "field", where="side = 'right'") == ["g"]
-    assert op.column_values(df, "field", where="side = 'up'", default=["z"]) == ["z"]
-    assert op.column_values("no_such_table", "field", default=["y", "z"]) == ["y", "z"]
+    assert op.column_values(df, "field", 7, order_by="field") == list("abcdefg")
+    assert op.column_values(df, "field", 1, max_records=1) == ["g"]
+    assert op.column_values(df, "field", 9, where="side = 'right'") == ["g"]
+    assert op.column_values(df, "field", 9, where="side = 'up'", default=["z"]) == ["z"]
+    assert op.column_values("no_such_table", "field", 9, default=["y", "z"]) == ["y", "z"]
     with pytest.raises(ValueError):
-        op.column_values("no_such_table", "field")
+        op.column_values("no_such_table", "field", 9)
     with pytest.raises(op.results.ResultTooLarge):
         op.column_values(df, "field", max_rows=3)
+    braces = op.column_values(df, "concat(field, '{x}')", 9, where="field <> '{x}' and side = 'right'")
+    assert braces == ["g{x}"]
 
 
 def test_single_value(table, spark):
@@ -161,7 +163,7 @@ def test_single_value(table, spark):
 
 def test_results_as_dict(table):
     df = table("col_1 int, col_2 string, col_3 boolean", (1, "a", True), (2, "b", False), (3, "c", None))
-    assert op.results_as_dict(df.orderBy("col_1")) == {
+    assert op.results_as_dict(df.orderBy("col_1"), max_rows=3) == {
         "col_1": (1, 2, 3), "col_2": ("a", "b", "c"), "col_3": (True, False, None),
     }
     with pytest.raises(op.results.ResultTooLarge):

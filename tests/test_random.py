@@ -98,10 +98,11 @@ def test_sessions_do_not_depend_on_the_order_of_events(spark):
                 revenue=rng.choice([None, 0.1, 0.2, 19.99]),
             )
         )
-    once = build_sessions(flatten_events(spark.createDataFrame(rows, EVENT_SCHEMA)))
+    money = "decimal(29,9)"
+    once = build_sessions(flatten_events(spark.createDataFrame(rows, EVENT_SCHEMA)), money)
     rng.shuffle(rows)
     again = build_sessions(
-        flatten_events(spark.createDataFrame(rows, EVENT_SCHEMA).repartition(11))
+        flatten_events(spark.createDataFrame(rows, EVENT_SCHEMA).repartition(11)), money
     )
     assert values(once) == values(again)
     hot_session = once.where("user_pseudo_id = 'bot'").collect()

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import os
 from datetime import date, datetime
 
 import pytest
@@ -10,11 +11,15 @@ from tributary.plans import (
     flatten_events,
     publish_view,
     read_mart,
+    refresh_marts,
+    summary_schema,
     write_funnel_steps,
     write_funnel_summary,
 )
+from tributary.sources import scratch
 from tributary.sources import (
     Relation,
+    clear_scratch,
     read_event_tables,
     read_events,
     read_seed,
@@ -45,13 +50,13 @@ def test_scan_reads_only_the_days_asked_for(spark, three_days, tmp_path):
     scan = plan(week.select("event_name"))
     filters = scan.split("PartitionFilters: [")[1].split("]")[0]
     assert "event_date" in filters
-    assert read_events(spark, path).count() == 3
+    assert read_events(spark, path, "20200101", "20301231").count() == 3
 
 
 def test_scan_reads_only_needed_members(spark, three_days, tmp_path):
     path = str(tmp_path / "events")
     three_days.write.partitionBy("event_date").parquet(path)
-    scan = plan(flatten_events(read_events(spark, path)).select("ga_session_id"))
+    scan = plan(flatten_events(read_events(spark, path, "20201101", "20201130")).select("ga_session_id"))
     schema = scan.split("ReadSchema: ")[1]
     assert "int_value" in schema and "string_value" not in schema
     assert "medium" in schema and "campaign" not in schema and "ecommerce" not in schema
@@ -70,6 +75,36 @@ def test_daily_tables(spark, three_days):
         read_event_tables(spark, "days_db", start="20210101", end="20210102")
 
 
+def test_daily_tables_of_different_shape(spark, three_days):
+    """Records gain and lose members; only needed members are read all the same."""
+    spark.sql("create database if not exists drift_db")
+    shapes = {
+        1: three_days,
+        2: three_days.withColumn("traffic_source", F.col("traffic_source").withField("term", F.lit("x"))),
+        3: three_days.drop("geo").withColumn("device", F.col("device").dropFields("category")),
+    }
+    for i, shape in shapes.items():
+        shape.write.mode("overwrite").saveAsTable(f"drift_db.events_2020110{i}")
+    found = read_event_tables(spark, "drift_db", "20201101", "20201103")
+    assert found.schema.simpleString() == three_days.schema.simpleString()
+    flat = flatten_events(found)
+    assert flat.count() == 9
+    assert flat.where("device_category is null").count() >= 3
+    scans = plan(flat.select("ga_session_id")).split("ReadSchema: ")[1:]
+    assert len(scans) == 3
+    for scan in scans:
+        schema = scan.split("\n")[0]
+        assert "campaign" not in schema and "ecommerce" not in schema and "term" not in schema
+
+
+def test_refresh_of_an_empty_range(spark, three_days, tmp_path):
+    none = three_days.where("event_date > '20990101'")
+    refresh_marts(none, str(tmp_path / "steps"), str(tmp_path / "summary"))
+    summary = read_mart(spark, str(tmp_path / "summary"), schema=summary_schema(spark))
+    assert summary.count() == 0
+    assert len(summary.columns) == 26
+
+
 def test_catalog_lookup(spark):
     spark.sql("create database if not exists Shop_a")
     spark.sql("create database if not exists shop_b")
@@ -104,6 +139,27 @@ def test_seed_types_and_names(spark, tmp_path):
     assert read_seed(spark, str(path), quote_columns=True).columns[0] == "Date_Value"
 
 
+def test_seed_cells_with_quotes_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "seed.csv"
+    path.write_text('id,say\n1,"say ""hi"", you"\n2,"two\nlines"\n3,plain\n')
+    assert values(read_seed(spark, str(path))) == [
+        (1, 'say "hi", you'), (2, "two\nlines"), (3, "plain"),
+    ]
+
+
+def test_scratch_folder(spark, tmp_path):
+    df = stored(spark.range(3), "rows")
+    path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert os.path.isdir(path)
+    assert df.count() == 3
+    kept = dict(scratch._made)
+    scratch._made[spark.sparkContext.applicationId] = [path]
+    clear_scratch(spark)
+    assert not os.path.exists(path)
+    scratch._made.update(kept)
+
+
 def test_publish_view(spark):
     publish_view(spark.range(3), "three")
     assert spark.sql("select sum(id) from three").head()[0] == 3

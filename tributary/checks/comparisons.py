@@ -18,9 +18,6 @@ from tributary.functions._args import as_column
 from tributary.operators.columns import filtered_columns, quoted
 from tributary.operators.ordering import repeat_rows
 
-# Numbers are rounded as fixed-point values with nine digits after the point.
-_NUMERIC = "decimal(38,9)"
-
 
 def _stack(left: DataFrame, right: DataFrame) -> DataFrame:
     """Both tables, with ``__left`` = 1 for a row of the first and ``__right`` = 1 otherwise."""
@@ -34,8 +31,8 @@ def _comparable(df: DataFrame, names: Sequence[str], rounded: set[str], precisio
     columns = []
     for name in names:
         column = F.col(quoted(name))
-        if precision and name.lower() in rounded:
-            column = F.round(column.cast(_NUMERIC), precision)
+        if precision is not None and name.lower() in rounded:
+            column = F.round(column, precision)
         columns.append(column.alias(name))
     return columns
 
@@ -51,8 +48,11 @@ def equality(
     """Rows found in one table only, marked ``a_minus_b`` or ``b_minus_a``.
 
     Tables are compared as sets: how often a row occurs does not matter, and NULL
-    equals NULL. Floating-point and decimal columns can be rounded first.
+    equals NULL. Floating-point and decimal columns can first be rounded, in their own type,
+    to ``precision`` digits after the point.
     """
+    if precision is not None and not 0 <= precision <= 38:
+        raise ValueError(f"precision must be from 0 to 38, got {precision}")
     if compare_columns and exclude_columns:
         raise ValueError("give compare_columns or exclude_columns, not both")
     names = list(compare_columns or filtered_columns(df, exclude_columns or ()))
@@ -196,9 +196,9 @@ def relationships_where(
         .groupBy("id")
         .agg(F.sum("__left").alias("__copies"), F.max("__right").alias("__known"))
     )
-    missing = F.lit(None).cast("string").alias("right_id")
+    missing = F.lit(None).cast(parents.select(theirs).schema[0].dataType).alias("right_id")
     orphans = counts.where("__known = 0").select("id", missing, "__copies")
-    return Violations(repeat_rows(orphans, "__copies"))
+    return Violations(repeat_rows(orphans, "__copies"), counted=orphans)
 
 
 def columns_match_set(df: DataFrame, column_list: Iterable[str]) -> Violations:

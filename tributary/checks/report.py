@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.checks.violations import RowViolations, Violations
 from tributary.functions._args import sql_text
+from tributary.operators.reshape import union_all
 
 
 @dataclass(frozen=True)
@@ -46,8 +46,10 @@ def _row_rule_results(checks: list[Check]) -> DataFrame:
 
 
 def _result(check: Check) -> DataFrame:
-    metric = check.metric or check.violations.metric
-    counted = check.violations.rows.agg(
+    metric, rows = check.metric or check.violations.metric, check.violations.rows
+    if metric == "count(*)" and getattr(check.violations, "counted", None) is not None:
+        metric, rows = "sum(__copies)", check.violations.counted
+    counted = rows.agg(
         F.expr(f"coalesce(cast({metric} as bigint), 0) as failures")
     )
     return counted.selectExpr(f"inline(array({check.outcome('failures')}))")
@@ -70,4 +72,4 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
         else:
             results.append(_result(check))
     results += [_row_rule_results(group) for group in row_rules.values()]
-    return reduce(DataFrame.union, results)
+    return union_all(results)

@@ -74,7 +74,7 @@ def sequential_values(
         F.col("__pair")["before"].alias(previous_name),
         F.col("__pair")["n"].alias("__copies"),
     )
-    return Violations(repeat_rows(rows, "__copies"))
+    return Violations(repeat_rows(rows, "__copies"), counted=rows)
 
 
 def mutually_exclusive_ranges(
@@ -144,4 +144,4 @@ def mutually_exclusive_ranges(
         F.col("__pair")["n"].alias("__copies"),
     )
     broken = rows.where(~(F.col(length_name) & F.col(gap_name)))
-    return Violations(repeat_rows(broken, "__copies"))
+    return Violations(repeat_rows(broken, "__copies"), counted=broken)

@@ -7,10 +7,15 @@ from pyspark.sql import Column, DataFrame
 
 @dataclass(frozen=True)
 class Violations:
-    """The rows that break a rule, and the metric that counts them."""
+    """The rows that break a rule, and the metric that counts them.
+
+    ``counted`` has equal rows once, with their number in ``__copies``; where it is given,
+    rows are counted there and never written out only to be counted.
+    """
 
     rows: DataFrame
     metric: str = "count(*)"
+    counted: DataFrame | None = None
 
 
 @dataclass(frozen=True)

@@ -5,6 +5,7 @@ from tributary.functions.arithmetic import (
     safe_add,
     safe_divide,
     safe_subtract,
+    total,
     width_bucket,
 )
 from tributary.functions.dates import add_parts, intervals_between
@@ -26,6 +27,7 @@ __all__ = [
     "slugify",
     "surrogate_key",
     "timestamp_text",
+    "total",
     "url_host",
     "url_parameter",
     "url_path",

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from tributary.functions._args import ColumnOrExpr, as_column, as_value
 
-# Fixed-point form used to add up money: nine digits after the point.
-MONEY = "decimal(29,9)"
-
 
 def safe_divide(numerator: ColumnOrExpr, denominator: ColumnOrExpr) -> Column:
     """Quotient, or NULL where the denominator is zero or NULL."""
@@ -46,16 +43,21 @@ def width_bucket(expr: ColumnOrExpr, low, high, buckets) -> Column:
     )
 
 
-def exact_sum(money: ColumnOrExpr) -> Column:
+def exact_sum(money: ColumnOrExpr, as_type: str) -> Column:
     """Sum of a floating-point amount that does not depend on the order of the rows.
 
     Floating-point addition gives other last digits for every order in which
     partial sums meet, so a re-run task could change a report. Adding fixed-point
-    numbers is exact; only the final total becomes a double again. Values that have
-    no fixed-point form (NaN, infinity, beyond 20 digits) are added as they are.
+    numbers of the type ``as_type``, such as ``decimal(29,9)``, is exact; only the final
+    total becomes a double again. An amount that the type cannot hold without loss is an error.
     """
-    amount = as_column(money)
-    fixed = amount.try_cast(MONEY)
-    exact = F.sum(fixed).cast("double")
-    rest = F.sum(F.when(fixed.isNull(), amount))
-    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+    amount = as_column(money).cast("double")
+    fixed = amount.try_cast(as_type)
+    lost = amount.isNotNull() & ~fixed.cast("double").eqNullSafe(amount)
+    message = F.concat(F.lit(f"no exact {as_type}: "), amount.cast("string"))
+    return F.sum(F.when(lost, F.raise_error(message)).otherwise(fixed)).cast("double")
+
+
+def total(money: ColumnOrExpr, as_type: str | None = None) -> Column:
+    """The plain sum, or ``exact_sum`` if a fixed-point type is given."""
+    return exact_sum(money, as_type) if as_type else F.sum(as_column(money))

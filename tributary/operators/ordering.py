@@ -67,8 +67,8 @@ def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
 
     Large counts are cut into chunks that are spread over all cores before the rows
     are written out, so one row standing for billions is no single task's work.
-    The number of partitions is given, because chunks are small in bytes and
-    adaptive execution would merge them again.
+    The number of partitions, that of shuffles in this session, is given, because
+    chunks are small in bytes and adaptive execution would merge them again.
     """
     n, size = F.col(copies), F.lit(_CHUNK).cast("bigint")
     numbered = df.where(n > 0).withColumn(
@@ -76,7 +76,8 @@ def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     )
     chunks = numbered.withColumn("__size", F.least(size, n - (F.col("__chunk") - 1) * size))
     everything = [F.col(quoted(name)) for name in chunks.columns]
-    spread = chunks.repartition(df.sparkSession.sparkContext.defaultParallelism, *everything)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(partitions, *everything)
     one_each = F.sequence(F.lit(1).cast("bigint"), F.col("__size"))
     return spread.withColumn("__copy", F.explode(one_each)).drop(
         copies, "__chunk", "__size", "__copy"

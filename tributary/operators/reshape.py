@@ -80,7 +80,7 @@ def unpivot(
     )
 
 
-def _union_all(tables: list[DataFrame]) -> DataFrame:
+def union_all(tables: list[DataFrame]) -> DataFrame:
     """Union in pairs: plans of hundreds of tables stay shallow and are analysed quickly."""
     while len(tables) > 1:
         pairs = [tables[i : i + 2] for i in range(0, len(tables), 2)]
@@ -132,4 +132,4 @@ def union_relations(
             columns.append(column.cast(overrides.get(key, kind)).alias(name))
         rows = table.where(where) if where else table
         parts.append(rows.select(*columns))
-    return _union_all(parts)
+    return union_all(parts)

@@ -1,8 +1,8 @@
 """Small results brought to the driver.
 
-Each of these hands plain Python values to the caller. They are meant for results
-that fit a screen; one with more rows than ``max_rows`` raises an error and is
-never cut short. For anything larger use the DataFrame itself.
+Each of these hands plain Python values to the caller, who says how many rows the
+driver may get: more raise an error, and nothing is ever cut short. For anything larger
+use the DataFrame itself, or ``column_value_counts``.
 """
 
 from __future__ import annotations
@@ -11,8 +11,6 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-MAX_ROWS = 10_000
-
 
 class ResultTooLarge(ValueError):
     """A result meant for the driver has more rows than allowed there."""
@@ -31,7 +29,7 @@ def single_value(df: DataFrame, default: Any = None) -> Any:
     return default if row is None else row[0]
 
 
-def results_as_dict(df: DataFrame, max_rows: int = MAX_ROWS) -> dict[str, tuple]:
+def results_as_dict(df: DataFrame, max_rows: int) -> dict[str, tuple]:
     """Column name to the tuple of its values."""
     rows = _collect_all(df, max_rows)
     return {name: tuple(row[i] for row in rows) for i, name in enumerate(df.columns)}
@@ -49,6 +47,10 @@ def column_value_counts(
     ``order_by`` is SQL text evaluated on the groups. With ``max_records`` Spark
     runs a top-k and does not sort everything.
     """
+    # Braces of the given texts are not placeholders.
+    column, order_by, where = (
+        part and part.replace("{", "{{").replace("}", "}}") for part in (column, order_by, where)
+    )
     text = f"select {column} as value from {{relation}}"
     if where:
         text += f" where {where}"
@@ -61,11 +63,11 @@ def column_value_counts(
 def column_values(
     table: DataFrame | str,
     column: str,
+    max_rows: int,
     order_by: str = "count(*) desc",
     max_records: int | None = None,
     default: list | None = None,
     where: str | None = None,
-    max_rows: int = MAX_ROWS,
 ) -> list:
     """Those values as a Python list, for instance to name the columns of a pivot.
 

@@ -10,6 +10,7 @@ from tributary.plans.marts import (
     publish_view,
     read_mart,
     refresh_marts,
+    summary_schema,
     write_funnel_steps,
     write_funnel_summary,
 )
@@ -27,6 +28,7 @@ __all__ = [
     "publish_view",
     "read_mart",
     "refresh_marts",
+    "summary_schema",
     "write_funnel_steps",
     "write_funnel_summary",
 ]

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tributary.plans.events import flatten_events
 from tributary.plans.funnel import funnel_steps
 from tributary.plans.sessions import build_sessions
 from tributary.plans.summary import funnel_summary
+from tributary.sources.events import EVENT_SCHEMA
 
 DAY = "session_date"
 CLUSTERING = ("attributed_medium", "attributed_source", "device_category")
@@ -50,15 +52,38 @@ def write_funnel_summary(summary: DataFrame, target: str, as_table: bool = False
 
 
 def refresh_marts(
-    records: DataFrame, steps_target: str, summary_target: str, as_table: bool = False
+    records: DataFrame,
+    steps_target: str,
+    summary_target: str,
+    as_table: bool = False,
+    money_type: str | None = None,
 ) -> None:
-    """Rebuild both marts from event records; the summary is made from the stored facts."""
-    facts = funnel_steps(build_sessions(flatten_events(records)), with_load_time=True)
+    """Rebuild both marts from event records; the summary is made from the stored facts.
+
+    Records of an empty range give empty marts.
+    """
+    facts = funnel_steps(
+        build_sessions(flatten_events(records), money_type), with_load_time=True
+    )
     write_funnel_steps(facts, steps_target, as_table)
-    stored_facts = read_mart(records.sparkSession, steps_target, as_table)
-    write_funnel_summary(funnel_summary(stored_facts), summary_target, as_table)
+    stored_facts = read_mart(records.sparkSession, steps_target, as_table, facts.schema)
+    summary = funnel_summary(stored_facts, money_type)
+    write_funnel_summary(summary, summary_target, as_table)
+
+
+def summary_schema(spark: SparkSession) -> StructType:
+    """Columns of the stored summary, for reading one that may be empty."""
+    records = spark.createDataFrame([], EVENT_SCHEMA)
+    return funnel_summary(funnel_steps(build_sessions(flatten_events(records)))).schema
 
 
-def read_mart(spark: SparkSession, source: str, as_table: bool = False) -> DataFrame:
-    """A stored table; a filter on ``session_date`` reads only those days."""
-    return spark.table(source) if as_table else spark.read.parquet(source)
+def read_mart(
+    spark: SparkSession, source: str, as_table: bool = False, schema: StructType | None = None
+) -> DataFrame:
+    """A stored table; a filter on ``session_date`` reads only those days.
+
+    A path without rows has no files to tell its columns: pass their ``schema`` then.
+    """
+    if as_table:
+        return spark.table(source)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(source)

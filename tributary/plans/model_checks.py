@@ -19,6 +19,18 @@ NOT_NULL = {
     "summary": ("session_date", "channel_group", "total_sessions"),
 }
 
+# The columns that readers of the summary rely on.
+SUMMARY_COLUMNS = (
+    "session_date", "channel_group", "attributed_source", "attributed_medium",
+    "attributed_campaign", "device_category", "country", "total_sessions",
+    "sessions_with_page_view", "sessions_with_view_item", "sessions_with_add_to_cart",
+    "sessions_with_checkout", "sessions_with_payment", "sessions_with_purchase",
+    "rate_session_to_page_view", "rate_page_view_to_view_item",
+    "rate_view_item_to_add_to_cart", "rate_cart_to_checkout", "rate_checkout_to_payment",
+    "rate_payment_to_purchase", "overall_conversion_rate", "total_revenue", "avg_order_value",
+    "engaged_sessions", "engagement_rate", "avg_session_duration_seconds",
+)
+
 
 def model_checks(
     events: DataFrame, sessions: DataFrame, steps: DataFrame, summary: DataFrame
@@ -55,6 +67,6 @@ def model_checks(
         Check("funnel_order", checks.funnel_order(steps)),
         Check(
             "columns_match_set_summary",
-            checks.columns_match_set(summary, [name.upper() for name in summary.columns]),
+            checks.columns_match_set(summary, SUMMARY_COLUMNS),
         ),
     ]

@@ -2,7 +2,8 @@
 
 They are cheap: the summary is already aggregated, each report is one more small
 aggregation of it. Means of rates and order values are plain means over summary
-rows, not weighted by sessions, unless a report says otherwise.
+rows, not weighted by sessions, unless a report says otherwise. ``money_type`` names a
+fixed-point type in which revenue is added up exactly; without it doubles are added.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions import exact_sum, safe_divide
+from tributary.functions import safe_divide, total
 from tributary.functions._args import sql_text
 from tributary.plans.stages import STAGE_COUNTS, STEP_RATES
 from tributary.plans.summary import DIMENSIONS
@@ -91,12 +92,12 @@ def available_channels(summary: DataFrame) -> DataFrame:
     return summary.select("channel_group").distinct().orderBy("channel_group")
 
 
-def kpis(summary: DataFrame) -> DataFrame:
+def kpis(summary: DataFrame, money_type: str | None = None) -> DataFrame:
     """One row: sessions, purchases, overall conversion rate, revenue, mean order value."""
     totals = summary.agg(
         F.coalesce(F.sum("total_sessions"), F.lit(0)).alias("total_sessions"),
         F.coalesce(F.sum("sessions_with_purchase"), F.lit(0)).alias("total_purchases"),
-        F.coalesce(exact_sum("total_revenue"), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(total("total_revenue", money_type), F.lit(0.0)).alias("total_revenue"),
         F.avg("avg_order_value").alias("avg_order_value"),
     )
     rate = F.coalesce(safe_divide("total_purchases", "total_sessions"), F.lit(0.0))
@@ -125,9 +126,9 @@ def daily_conversion(summary: DataFrame) -> DataFrame:
     return daily.withColumn("conversion_rate_pct", F.bround(rate, 2)).orderBy("session_date")
 
 
-def revenue_by_channel(summary: DataFrame) -> DataFrame:
+def revenue_by_channel(summary: DataFrame, money_type: str | None = None) -> DataFrame:
     """Revenue of each channel, smallest first."""
-    revenue = exact_sum("total_revenue").alias("total_revenue")
+    revenue = total("total_revenue", money_type).alias("total_revenue")
     return summary.groupBy("channel_group").agg(revenue).orderBy("total_revenue", "channel_group")
 
 
@@ -154,22 +155,22 @@ def step_rates(summary: DataFrame) -> DataFrame:
     return means.selectExpr(f"inline(array({steps}))")
 
 
-def channel_table(summary: DataFrame) -> DataFrame:
+def channel_table(summary: DataFrame, money_type: str | None = None) -> DataFrame:
     """Sessions, purchases, mean rate, mean order value and revenue; highest revenue first."""
     table = summary.groupBy("channel_group").agg(
         F.sum("total_sessions").alias("sessions"),
         F.sum("sessions_with_purchase").alias("purchases"),
         F.avg("overall_conversion_rate").alias("avg_conversion_rate"),
         F.avg("avg_order_value").alias("avg_order_value"),
-        exact_sum("total_revenue").alias("revenue"),
+        total("total_revenue", money_type).alias("revenue"),
     )
     return table.orderBy(F.desc("revenue"), "channel_group")
 
 
-def channel_overview(facts: DataFrame) -> DataFrame:
+def channel_overview(facts: DataFrame, money_type: str | None = None) -> DataFrame:
     """Sessions, purchases and revenue of each channel, straight from the facts."""
     return facts.groupBy("channel_group").agg(
         F.count(F.lit(1)).alias("sessions"),
         F.count_if("is_converted").alias("purchases"),
-        exact_sum("session_revenue").alias("revenue"),
+        total("session_revenue", money_type).alias("revenue"),
     )

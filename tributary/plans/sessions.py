@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions import exact_sum, surrogate_key
+from tributary.functions import surrogate_key, total
 from tributary.plans.stages import STAGES, had
 
 # Event column of the earliest event -> session column.
@@ -19,7 +19,7 @@ FIRST_TOUCH = {
 }
 
 
-def build_sessions(events: DataFrame) -> DataFrame:
+def build_sessions(events: DataFrame, money_type: str | None = None) -> DataFrame:
     """One row for each session, with first-touch attribution, stage flags and revenue.
 
     Everything about a session comes from one aggregation and so from one shuffle:
@@ -33,7 +33,11 @@ def build_sessions(events: DataFrame) -> DataFrame:
       itself is hashed once for each session, not for each event.
 
     Partial results are built before the shuffle, so a user who owns a third of
-    all events sends one row from each input task.
+    all events sends one row from each input task. Text in the aggregation buffer makes
+    it a sort aggregation, which was still the fastest form measured.
+
+    ``money_type`` names a fixed-point type in which revenue is added up exactly
+    (see ``exact_sum``); without it doubles are added as they are.
     """
     bits = " ".join(f"when '{stage}' then {1 << i}" for i, stage in enumerate(STAGES))
     rolled_up = events.groupBy("user_pseudo_id", "ga_session_id").agg(
@@ -41,7 +45,7 @@ def build_sessions(events: DataFrame) -> DataFrame:
         F.expr("min(event_timestamp) as session_start_at"),
         F.expr("max(event_timestamp) as session_end_at"),
         F.expr(f"bit_or(case event_name {bits} else 0 end) as stages"),
-        exact_sum("purchase_revenue").alias("revenue"),
+        total("purchase_revenue", money_type).alias("revenue"),
         F.expr("max(transaction_id) as transaction_id"),
         F.expr("bool_or(session_engaged = '1') as engaged"),
         F.expr("count(*) as total_events"),

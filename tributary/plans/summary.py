@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions import exact_sum
+from tributary.functions import total
 from tributary.plans.stages import STAGE_COUNTS, STEP_RATES, had
 
 DIMENSIONS = (
@@ -19,16 +19,17 @@ DIMENSIONS = (
 )
 
 
-def funnel_summary(facts: DataFrame) -> DataFrame:
+def funnel_summary(facts: DataFrame, money_type: str | None = None) -> DataFrame:
     """Session counts, conversion rates, revenue and engagement by seven dimensions.
 
     One hash aggregation with partial results before the shuffle; the rates are
-    computed from its finished counts. A rate over nothing is NULL.
+    computed from its finished counts. A rate over nothing is NULL. ``money_type`` is as in
+    ``build_sessions``.
     """
     counted = facts.groupBy(*DIMENSIONS).agg(
         F.expr("count(*) as total_sessions"),
         *[F.expr(f"count_if({had(stage)}) as {name}") for stage, name in STAGE_COUNTS.items()],
-        exact_sum("session_revenue").alias("total_revenue"),
+        total("session_revenue", money_type).alias("total_revenue"),
         F.expr("count_if(is_engaged_session) as engaged_sessions"),
         F.expr("avg(session_duration_seconds) as avg_session_duration_seconds"),
     )

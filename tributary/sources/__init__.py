@@ -3,12 +3,13 @@
 from tributary.sources.activity import to_event_records
 from tributary.sources.catalog import Relation, relations_by_pattern, relations_by_prefix
 from tributary.sources.events import EVENT_SCHEMA, read_event_tables, read_events
-from tributary.sources.scratch import scratch_path, stored
+from tributary.sources.scratch import clear_scratch, scratch_path, stored
 from tributary.sources.seeds import read_seed
 
 __all__ = [
     "EVENT_SCHEMA",
     "Relation",
+    "clear_scratch",
     "read_event_tables",
     "read_events",
     "read_seed",

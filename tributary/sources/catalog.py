@@ -47,6 +47,8 @@ def relations_by_pattern(
     with the empty schema pattern.
     """
     catalog = spark.catalog
+    # The catalog knows "*" only, which also stands for the single letter of LIKE.
+    listed_as = re.sub(r"[%_]+", "*", table_pattern)
     before = catalog.currentCatalog()
     if database:
         catalog.setCurrentCatalog(database)
@@ -55,7 +57,7 @@ def relations_by_pattern(
         listed = [
             ("" if table.isTemporary else schema, table)
             for schema in schemas or [catalog.currentDatabase()]
-            for table in catalog.listTables(schema)
+            for table in catalog.listTables(schema, listed_as)
         ]
     finally:
         if database:

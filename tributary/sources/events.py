@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
-from tributary.operators.reshape import union_relations
+from tributary.operators.columns import quoted
+from tributary.operators.reshape import union_all
 from tributary.sources.catalog import relations_by_prefix
 
-# Default date range, both ends included.
-START_DATE = "20201101"
-END_DATE = "20210131"
-
 # Only the members that are read: Parquet then skips the rest of the wide records.
 EVENT_SCHEMA = """
     event_date string,
@@ -29,38 +27,70 @@ EVENT_SCHEMA = """
         shipping_value: double>,
     items array<struct<item_id: string>>
 """
-_EVENT_COLUMNS = (
-    "event_date", "event_timestamp", "event_name", "user_pseudo_id", "event_params",
-    "traffic_source", "device", "geo", "ecommerce", "items",
-)
 
 
-def read_events(
-    spark: SparkSession, path: str, start: str = START_DATE, end: str = END_DATE
-) -> DataFrame:
+def read_events(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
     """Event records of a date range from a Parquet folder partitioned by ``event_date``.
 
-    The range is a filter on the bare partition column, so other days are not listed
-    or read.
+    Days are written ``YYYYMMDD``, both ends belong to the range. It is a filter on the
+    bare partition column, so other days are not listed or read.
     """
     events = spark.read.schema(EVENT_SCHEMA).parquet(path)
     return events.where(F.col("event_date").between(start, end))
 
 
+def _conform(value: Column, has: DataType, wants: DataType) -> Column:
+    """``value`` with the members of ``wants``; NULL for those it lacks, the rest left out."""
+    if isinstance(wants, StructType) and isinstance(has, StructType):
+        present = {field.name.lower(): field for field in has}
+        members = [
+            _conform(
+                value[present[field.name.lower()].name],
+                present[field.name.lower()].dataType,
+                field.dataType,
+            )
+            if field.name.lower() in present
+            else F.lit(None).cast(field.dataType)
+            for field in wants
+        ]
+        named = F.struct(*[m.alias(f.name) for m, f in zip(members, wants, strict=True)])
+        return F.when(value.isNotNull(), named)
+    if isinstance(wants, ArrayType) and isinstance(has, ArrayType):
+        if has.elementType.simpleString() == wants.elementType.simpleString():
+            return value
+        return F.transform(value, lambda x: _conform(x, has.elementType, wants.elementType))
+    return value.cast(wants)
+
+
+def conform_events(events: DataFrame) -> DataFrame:
+    """The columns and members of ``EVENT_SCHEMA``, whatever else a day's records have."""
+    wants = StructType.fromDDL(EVENT_SCHEMA)
+    present = {field.name.lower(): field for field in events.schema}
+    columns = []
+    for field in wants:
+        own = present.get(field.name.lower())
+        value = (
+            F.lit(None).cast(field.dataType)
+            if own is None
+            else _conform(F.col(quoted(own.name)), own.dataType, field.dataType)
+        )
+        columns.append(value.alias(field.name))
+    return events.select(*columns)
+
+
 def read_event_tables(
-    spark: SparkSession,
-    schema: str,
-    prefix: str = "events_",
-    start: str = START_DATE,
-    end: str = END_DATE,
+    spark: SparkSession, schema: str, start: str, end: str, prefix: str = "events_"
 ) -> DataFrame:
-    """The same from daily catalog tables named prefix + ``YYYYMMDD``."""
-    days = {
-        relation.path: relation.read(spark)
+    """The same from daily catalog tables named prefix + ``YYYYMMDD``.
+
+    Records may gain or lose members from day to day.
+    """
+    days = [
+        conform_events(relation.read(spark))
         for relation in relations_by_prefix(spark, schema, prefix)
         if relation.name.lower().startswith(prefix.lower())
         and start <= relation.name[len(prefix) :] <= end
-    }
+    ]
     if not days:
         raise ValueError(f"no tables {prefix}* in {schema} between {start} and {end}")
-    return union_relations(days, include=_EVENT_COLUMNS, source_column_name=None)
+    return union_all(days)

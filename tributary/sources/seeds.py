@@ -7,7 +7,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-_OPTIONS = {"header": True, "nullValue": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False}
+# Quotes are doubled inside quoted cells, and these may hold line breaks.
+_OPTIONS = {
+    "header": True,
+    "nullValue": "",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False,
+    "escape": '"',
+    "multiLine": True,
+}
 
 
 def read_seed(

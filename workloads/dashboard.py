@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary.plans import reports
 from workloads import models
-from workloads.models import SUMMARY_SQL
+from workloads.models import MONEY, SUMMARY_SQL
 from workloads.registry import query
 
 _DAY = "CAST(session_date AS VARCHAR) AS session_date"
@@ -30,7 +30,7 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 )
 def dash_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = reports.load_summary(
-        models.summary(spark, sf_dir), "2024-01-05", "2024-01-20", reports.DEFAULT_CHANNELS
+        models.stored_summary(spark, sf_dir), "2024-01-05", "2024-01-20", reports.DEFAULT_CHANNELS
     )
     return reports.filter_summary(loaded, devices=["desktop", "mobile"])
 
@@ -47,9 +47,10 @@ def dash_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM summary""",
 )
 def dash_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(reports.kpis(models.summary(spark, sf_dir)), "avg_order_value")
+    return _rounded(reports.kpis(models.stored_summary(spark, sf_dir), MONEY), "avg_order_value")
 
 
+# Stage labels and their counts, in display order.
 _FUNNEL_ROWS = (
     ("Sessions", "total_sessions"),
     ("Viewed product", "sessions_with_view_item"),
@@ -72,7 +73,7 @@ _FUNNEL_ROWS = (
     ),
 )
 def dash_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.stage_dropoff(models.summary(spark, sf_dir))
+    return reports.stage_dropoff(models.stored_summary(spark, sf_dir))
 
 
 @query(
@@ -85,7 +86,7 @@ def dash_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM summary GROUP BY summary.session_date""",
 )
 def dash_daily_cvr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.daily_conversion(models.summary(spark, sf_dir))
+    return reports.daily_conversion(models.stored_summary(spark, sf_dir))
 
 
 @query(
@@ -94,7 +95,7 @@ def dash_daily_cvr(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT channel_group, {_MONEY} AS total_revenue FROM summary GROUP BY channel_group""",
 )
 def dash_revenue_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.revenue_by_channel(models.summary(spark, sf_dir))
+    return reports.revenue_by_channel(models.stored_summary(spark, sf_dir), MONEY)
 
 
 @query(
@@ -104,9 +105,10 @@ def dash_revenue_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM summary GROUP BY summary.session_date, channel_group""",
 )
 def dash_sessions_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.sessions_trend(models.summary(spark, sf_dir))
+    return reports.sessions_trend(models.stored_summary(spark, sf_dir))
 
 
+# Step labels and the rates shown under them, in display order.
 _STEP_ROWS = (
     ("View item", "rate_view_item_to_add_to_cart"),
     ("Add to cart", "rate_cart_to_checkout"),
@@ -128,7 +130,7 @@ _STEP_ROWS = (
     ),
 )
 def dash_step_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.step_rates(models.summary(spark, sf_dir))
+    return reports.step_rates(models.stored_summary(spark, sf_dir))
 
 
 @query(
@@ -142,10 +144,10 @@ def dash_step_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM summary GROUP BY channel_group""",
 )
 def dash_channel_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = reports.channel_table(models.summary(spark, sf_dir))
+    table = reports.channel_table(models.stored_summary(spark, sf_dir), MONEY)
     return _rounded(table, "avg_conversion_rate", "avg_order_value")
 
 
 @query("dash_channels", f"{SUMMARY_SQL} SELECT DISTINCT channel_group FROM summary")
 def dash_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.available_channels(models.summary(spark, sf_dir))
+    return reports.available_channels(models.stored_summary(spark, sf_dir))

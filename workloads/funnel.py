@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.checks import funnel_order
 from tributary.plans import flatten_events, publish_view, read_mart, refresh_marts, reports
 from tributary.plans.sessions import FIRST_TOUCH
-from tributary.sources import read_events, scratch_path
+from tributary.sources import read_event_tables, read_events, scratch_path
 from workloads import models
 from workloads.models import EVENTS_SQL, FACTS_SQL, SESSION_TIMES_SQL, SESSIONS_SQL, SUMMARY_SQL
 from workloads.registry import query
@@ -23,7 +25,7 @@ from workloads.registry import query
     FROM facts GROUP BY channel_group""",
 )
 def channel_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.channel_overview(models.facts(spark, sf_dir))
+    return reports.channel_overview(models.facts(spark, sf_dir), models.MONEY)
 
 
 @query(
@@ -56,6 +58,33 @@ def event_scan_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "event_scan_tables",
+    f"""{EVENTS_SQL}
+    SELECT CAST(event_date AS VARCHAR) AS event_date, traffic_medium, count(*) AS events,
+      count(transaction_id) AS transactions
+    FROM ev WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'
+    GROUP BY 1, 2""",
+)
+def event_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily tables of nine days, of which seven are read; records change their shape."""
+    schema = f"daily_{uuid4().hex}"
+    spark.sql(f"create database {schema} location '{scratch_path(spark, schema)}'")
+    records = models.records(spark, sf_dir)
+    for day in range(7, 16):
+        own = records.where(F.col("event_date") == f"202401{day:02d}")
+        if day == 10:  # one more member inside a record
+            term = F.col("traffic_source").withField("term", F.lit("x"))
+            own = own.withColumn("traffic_source", term)
+        if day == 11:  # a column less and one more
+            own = own.drop("geo").withColumn("stream_id", F.lit(1))
+        own.write.saveAsTable(f"{schema}.events_202401{day:02d}")
+    week = flatten_events(read_event_tables(spark, schema, "20240108", "20240114"))
+    return week.groupBy("event_date", "traffic_medium").agg(
+        F.count(F.lit(1)).alias("events"), F.count("transaction_id").alias("transactions")
+    )
+
+
 @query("sessions", f"{SESSIONS_SQL} SELECT * REPLACE ({SESSION_TIMES_SQL}) FROM sess")
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.sessions(spark, sf_dir)
@@ -129,5 +158,7 @@ def funnel_order_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def write_read_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps_path, summary_path = scratch_path(spark, "steps"), scratch_path(spark, "summary")
-    refresh_marts(models.records(spark, sf_dir), steps_path, summary_path)
+    refresh_marts(
+        models.records(spark, sf_dir), steps_path, summary_path, money_type=models.MONEY
+    )
     return reports.load_summary(read_mart(spark, summary_path), "2024-01-10", "2024-01-19")

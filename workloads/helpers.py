@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,7 +66,9 @@ def pivot_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def pivot_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    values = op.column_values(orders, "o_orderpriority", order_by="o_orderpriority", max_records=3)
+    values = op.column_values(
+        orders, "o_orderpriority", max_rows=3, order_by="o_orderpriority", max_records=3
+    )
     columns = op.pivot("o_orderpriority", values, quote_identifiers=False)
     return orders.groupBy("o_orderstatus").agg(*columns)
 
@@ -181,15 +185,12 @@ def filtered_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "nullcheck_docs",
-    """SELECT doc_id, n_chars, nullif(split_part(text, chr(10), 2), '') AS second_line,
-      nullif(split_part(text, chr(10), 6), '') AS sixth_line FROM documents""",
+    """SELECT doc_id, n_chars, nullif(line, '') AS line FROM (
+      SELECT doc_id, n_chars, unnest(string_split(text, chr(10))) AS line FROM documents)""",
 )
 def nullcheck_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        "n_chars",
-        F.split_part("text", F.lit("\n"), F.lit(2)).alias("second_line"),
-        F.split_part("text", F.lit("\n"), F.lit(6)).alias("sixth_line"),
+        "doc_id", "n_chars", F.explode(F.split("text", "\n")).alias("line")
     )
     return op.nullcheck_table(lines)
 
@@ -343,7 +344,8 @@ def number_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_dates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, object, object]:
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
     ends = op.results_as_dict(
-        orders.agg(F.min("day").alias("first"), F.date_add(F.max("day"), 1).alias("after"))
+        orders.agg(F.min("day").alias("first"), F.date_add(F.max("day"), 1).alias("after")),
+        max_rows=1,
     )
     return orders, ends["first"][0], ends["after"][0]
 
@@ -431,7 +433,7 @@ def results_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey")
     )
-    names = op.results_as_dict(nations.select("n_nationkey", "r_name"))
+    names = op.results_as_dict(nations.select("n_nationkey", "r_name"), max_rows=1000)
     pairs = zip(names["n_nationkey"], names["r_name"], strict=True)
     lookup = F.create_map(*[F.lit(value) for pair in pairs for value in pair])
     return table(spark, sf_dir, "customer").select(
@@ -477,12 +479,33 @@ def catalog_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "seed_load",
-    """SELECT c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_acctbal,
-      c_mktsegment FROM customer""",
+    """SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang,
+      CAST(n_chars AS VARCHAR) AS n_chars FROM documents""",
 )
 def seed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, commas and line breaks."""
     path = scratch_path(spark, "seed")
-    customers = table(spark, sf_dir, "customer")
-    renamed = customers.withColumnsRenamed({name: name.upper() for name in customers.columns})
-    renamed.write.option("header", True).csv(path)
-    return read_seed(spark, path, {"c_custkey": "bigint", "c_nationkey": "string"})
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    renamed = documents.toDF(*[name.upper() for name in documents.columns])
+    quotes = {"header": True, "quoteAll": True, "escape": '"'}
+    renamed.write.options(**quotes).csv(path)
+    types = {"doc_id": "bigint", "text": "string", "lang": "string", "n_chars": "string"}
+    return read_seed(spark, path, types)
+
+
+@query(
+    "catalog_tables",
+    """SELECT o_orderstatus AS status, count(*) AS orders FROM orders
+    WHERE o_orderstatus <> 'P' GROUP BY 1""",
+)
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of the catalog, found by schema and name patterns."""
+    schema = f"by_status_{uuid4().hex}"
+    spark.sql(f"create database {schema} location '{scratch_path(spark, schema)}'")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("status"))
+    for status in ("F", "O", "P"):
+        rows = orders.where(F.col("status") == status)
+        rows.write.saveAsTable(f"{schema}.orders_{status}")
+    found = relations_by_pattern(spark, f"{schema[:-1]}_", "ORDERS%", exclude="%_p")
+    unioned = op.union_relations({relation.path: relation.read(spark) for relation in found})
+    return unioned.groupBy("status").agg(F.count(F.lit(1)).alias("orders"))

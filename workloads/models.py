@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.functions.keys import NULL_TEXT
-from tributary.plans import build_sessions, flatten_events, funnel_steps, funnel_summary
-from tributary.plans.funnel import CHANNELS, OTHER_CHANNEL
-from tributary.plans.stages import STAGES
-from tributary.sources import to_event_records
+from tributary.plans import (
+    build_sessions,
+    flatten_events,
+    funnel_steps,
+    funnel_summary,
+    read_mart,
+    refresh_marts,
+)
+from tributary.sources import scratch_path, to_event_records
 from workloads.registry import table
 
+# Revenue is compared with SQL to the last digit, so it is added up exactly.
+MONEY = "decimal(29,9)"
+
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_event_records(table(spark, sf_dir, "events"))
@@ -21,7 +29,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_sessions(events(spark, sf_dir))
+    return build_sessions(events(spark, sf_dir), MONEY)
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +37,21 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return funnel_summary(facts(spark, sf_dir))
+    return funnel_summary(facts(spark, sf_dir), MONEY)
+
+
+# Summary marts by application and table folder.
+_marts: dict[tuple[str, str], str] = {}
+
+
+def stored_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary mart, refreshed once for each session and table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _marts:
+        steps, target = scratch_path(spark, "steps"), scratch_path(spark, "summary")
+        refresh_marts(records(spark, sf_dir), steps, target, money_type=MONEY)
+        _marts[key] = target
+    return read_mart(spark, _marts[key])
 
 
 _EVENTS = f"""
@@ -83,7 +105,7 @@ ev AS (
   WHERE traffic_medium <> '(not set)' AND user_pseudo_id IS NOT NULL
 )"""
 
-_SESSIONS = f"""
+_SESSIONS = """
 attribution AS (
   SELECT DISTINCT ON (session_id) session_id,
     traffic_source AS attributed_source, traffic_medium AS attributed_medium,
@@ -95,7 +117,13 @@ rollup_ AS (
   SELECT session_id, user_pseudo_id,
     min(ts) AS session_start_at, max(ts) AS session_end_at,
     CAST((max(us) - min(us)) // 1000000 AS BIGINT) AS session_duration_seconds,
-    {", ".join(f"bool_or(event_name = '{s}') AS had_{s}" for s in STAGES)},
+    bool_or(event_name = 'session_start') AS had_session_start,
+    bool_or(event_name = 'page_view') AS had_page_view,
+    bool_or(event_name = 'view_item') AS had_view_item,
+    bool_or(event_name = 'add_to_cart') AS had_add_to_cart,
+    bool_or(event_name = 'begin_checkout') AS had_begin_checkout,
+    bool_or(event_name = 'add_payment_info') AS had_add_payment_info,
+    bool_or(event_name = 'purchase') AS had_purchase,
     coalesce(CAST(sum(CAST(purchase_revenue AS DECIMAL(18,2))) AS DOUBLE), 0) AS session_revenue,
     max(transaction_id) AS transaction_id,
     bool_or(session_engaged = '1') AS is_engaged_session,
@@ -106,32 +134,38 @@ sess AS (
   SELECT * FROM rollup_ JOIN attribution USING (session_id)
 )"""
 
-_DEEPEST_FIRST = list(enumerate(STAGES, start=1))[::-1]
-_STEPS = (
-    ("page_view", "session_start", "page_view"),
-    ("view_item", "page_view", "view_item"),
-    ("add_to_cart", "view_item", "add_to_cart"),
-    ("begin_checkout", "add_to_cart", "checkout"),
-    ("add_payment_info", "begin_checkout", "payment"),
-    ("purchase", "add_payment_info", "purchase"),
-)
-
-_CHANNEL_RULES = " ".join(
-    f"""WHEN list_contains({list(media)}, lower(attributed_medium))
-      OR list_contains({[*sources, ""]}, lower(attributed_source)) THEN '{name}'"""
-    for name, media, sources in CHANNELS
-)
-
-_FACTS = f"""
+_FACTS = """
 facts AS (
   SELECT *,
-    CASE {_CHANNEL_RULES} ELSE '{OTHER_CHANNEL}' END AS channel_group,
-    CASE {" ".join(f"WHEN had_{s} THEN {n}" for n, s in _DEEPEST_FIRST)} ELSE 0 END
-      AS max_funnel_stage,
-    CASE {" ".join(f"WHEN had_{s} THEN '{s}'" for _, s in _DEEPEST_FIRST)} ELSE 'unknown' END
-      AS deepest_stage_name,
+    CASE
+      WHEN lower(attributed_medium) IN ('cpc', 'ppc', 'paid', 'paidsearch') THEN 'Paid Search'
+      WHEN lower(attributed_medium) IN ('cpm', 'display', 'banner', 'paid_social')
+        OR lower(attributed_source) IN ('facebook', 'instagram', 'twitter', 'linkedin', 'tiktok')
+        THEN 'Paid Social'
+      WHEN lower(attributed_medium) = 'email' THEN 'Email'
+      WHEN lower(attributed_medium) IN ('organic', 'seo')
+        OR lower(attributed_source) IN ('google', 'bing', 'yahoo', 'duckduckgo')
+        THEN 'Organic Search'
+      WHEN lower(attributed_medium) IN ('referral', 'affiliate') THEN 'Referral'
+      WHEN lower(attributed_medium) IN ('(none)', 'none')
+        OR lower(attributed_source) IN ('(direct)', 'direct') THEN 'Direct'
+      WHEN lower(attributed_medium) IN ('social', 'social-network', 'sm') THEN 'Organic Social'
+      ELSE 'Other'
+    END AS channel_group,
+    CASE WHEN had_purchase THEN 7 WHEN had_add_payment_info THEN 6 WHEN had_begin_checkout THEN 5
+      WHEN had_add_to_cart THEN 4 WHEN had_view_item THEN 3 WHEN had_page_view THEN 2
+      WHEN had_session_start THEN 1 ELSE 0 END AS max_funnel_stage,
+    CASE WHEN had_purchase THEN 'purchase' WHEN had_add_payment_info THEN 'add_payment_info'
+      WHEN had_begin_checkout THEN 'begin_checkout' WHEN had_add_to_cart THEN 'add_to_cart'
+      WHEN had_view_item THEN 'view_item' WHEN had_page_view THEN 'page_view'
+      WHEN had_session_start THEN 'session_start' ELSE 'unknown' END AS deepest_stage_name,
     had_purchase AS is_converted,
-    {", ".join(f"(had_{a} AND had_{b}) AS progressed_to_{n}" for a, b, n in _STEPS)}
+    (had_session_start AND had_page_view) AS progressed_to_page_view,
+    (had_page_view AND had_view_item) AS progressed_to_view_item,
+    (had_view_item AND had_add_to_cart) AS progressed_to_add_to_cart,
+    (had_add_to_cart AND had_begin_checkout) AS progressed_to_checkout,
+    (had_begin_checkout AND had_add_payment_info) AS progressed_to_payment,
+    (had_add_payment_info AND had_purchase) AS progressed_to_purchase
   FROM sess
 )"""
 

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary import checks
 from tributary.checks import run_checks
-from tributary.plans import build_sessions, funnel_steps, funnel_summary, model_checks
-from tributary.plans.funnel import CHANNEL_NAMES
-from tributary.plans.model_checks import NOT_NULL
-from tributary.plans.stages import STAGES
+from tributary.plans import funnel_steps, funnel_summary, model_checks
 from tributary.sources import stored
 from workloads import models
 from workloads.models import EVENTS_SQL, FACTS_SQL, SESSIONS_SQL, SUMMARY_SQL
@@ -94,36 +91,81 @@ def chk_fewer_rows_than(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.fewer_rows_than(*_by_nation(spark, sf_dir), ["nation"]).rows
 
 
-def _equality_sql(columns: str) -> str:
-    a = f"SELECT {columns} FROM lineitem WHERE l_returnflag = 'A'"
-    b = f"SELECT {columns} FROM lineitem WHERE l_returnflag = 'R'"
-    return f"""SELECT 'a_minus_b' AS which_diff, * FROM ({a} EXCEPT {b})
-    UNION ALL SELECT 'b_minus_a', * FROM ({b} EXCEPT {a})"""
+@query(
+    "chk_equal_rowcount_table",
+    """SELECT a AS count_a, b AS count_b, abs(a - b) AS diff_count FROM
+    (SELECT count(*) AS a FROM orders), (SELECT count(*) AS b FROM lineitem)""",
+)
+def chk_equal_rowcount_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, lines = (table(spark, sf_dir, name) for name in ("orders", "lineitem"))
+    return checks.equal_rowcount(orders, lines).rows
+
 
+@query(
+    "chk_fewer_rows_than_table",
+    """SELECT a AS count_our_model, b AS count_comparison_model,
+      CASE WHEN a > b THEN a - b WHEN a = b THEN 1 ELSE 0 END AS row_count_delta
+    FROM (SELECT count(*) AS a FROM lineitem), (SELECT count(*) AS b FROM orders)""",
+)
+def chk_fewer_rows_than_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, lines = (table(spark, sf_dir, name) for name in ("orders", "lineitem"))
+    return checks.fewer_rows_than(lines, orders).rows
 
-def _returned(spark: SparkSession, sf_dir: str, flag: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag)
+
+def _equality_sql(left: str, right: str) -> str:
+    return f"""SELECT 'a_minus_b' AS which_diff, * FROM ({left} EXCEPT {right})
+    UNION ALL SELECT 'b_minus_a', * FROM ({right} EXCEPT {left})"""
+
+
+def _ordered_and_shipped(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("orderkey"), F.col("o_orderstatus").alias("state"), "o_custkey"
+    )
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("orderkey"), F.col("l_linestatus").alias("state"), "l_suppkey"
+    )
+    return orders, lines
 
 
-@query("chk_equality", _equality_sql("l_suppkey, l_quantity"))
+@query(
+    "chk_equality",
+    _equality_sql(
+        "SELECT o_orderkey AS orderkey, o_orderstatus AS state FROM orders",
+        "SELECT l_orderkey AS orderkey, l_linestatus AS state FROM lineitem",
+    ),
+)
 def chk_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, lines = _ordered_and_shipped(spark, sf_dir)
+    return checks.equality(orders, lines, compare_columns=["orderkey", "state"]).rows
+
+
+@query(
+    "chk_equality_where",
+    _equality_sql(
+        "SELECT o_orderkey AS orderkey FROM orders WHERE o_orderstatus = 'F'",
+        "SELECT l_orderkey AS orderkey FROM lineitem",
+    ),
+)
+def chk_equality_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, lines = _ordered_and_shipped(spark, sf_dir)
     return checks.equality(
-        _returned(spark, sf_dir, "A"),
-        _returned(spark, sf_dir, "R"),
-        compare_columns=["l_suppkey", "l_quantity"],
+        orders, lines, compare_columns=["orderkey"], where="state = 'F'"
     ).rows
 
 
 @query(
     "chk_equality_precision",
     _equality_sql(
-        "l_partkey, CAST(round(CAST(l_discount AS DECIMAL(38,9)), 1) AS DOUBLE) AS l_discount"
+        "SELECT l_partkey AS partkey, round(l_discount, 1) AS rate FROM lineitem",
+        "SELECT l_partkey AS partkey, round(l_tax, 1) AS rate FROM lineitem",
     ),
 )
 def chk_equality_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    key = F.col("l_partkey").alias("partkey")
     return checks.equality(
-        _returned(spark, sf_dir, "A").select("l_partkey", "l_discount", "l_orderkey"),
-        _returned(spark, sf_dir, "R").select("l_partkey", "l_discount", "l_orderkey"),
+        lines.select(key, F.col("l_discount").alias("rate"), "l_orderkey"),
+        lines.select(key, F.col("l_tax").alias("rate"), "l_orderkey"),
         exclude_columns=["L_ORDERKEY"],
         precision=1,
     ).rows
@@ -141,11 +183,15 @@ def chk_expression_is_true(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.expression_is_true(lines, "* (1 - l_discount) > 5", column="l_quantity").rows
 
 
-def _ranges_sql(source: str, lower: str, upper: str, partition: str | None, gap: str) -> str:
+def _ranges_sql(
+    source: str, lower: str, upper: str, partition: str | None, gap: str, zero: bool = False
+) -> str:
     operator, words = {
         "allowed": ("<=", "less_than_or_equal_to"),
         "not_allowed": ("=", "equal_to"),
+        "required": ("<", "less_than"),
     }[gap]
+    length, length_words = ("<=", "less_than_or_equal_to") if zero else ("<", "less_than")
     part = f"PARTITION BY {partition}" if partition else ""
     shown = f"{partition} AS partition_by_col," if partition else ""
     return f"""w AS (
@@ -155,12 +201,13 @@ def _ranges_sql(source: str, lower: str, upper: str, partition: str | None, gap:
       FROM {source}
     ), c AS (
       SELECT *,
-        coalesce(lower_bound < upper_bound, false) AS lower_bound_less_than_upper_bound,
+        coalesce(lower_bound {length} upper_bound, false)
+          AS lower_bound_{length_words}_upper_bound,
         coalesce(upper_bound {operator} next_lower_bound, is_last_record, false)
           AS upper_bound_{words}_next_lower_bound
       FROM w
     )
-    SELECT * FROM c WHERE NOT (lower_bound_less_than_upper_bound
+    SELECT * FROM c WHERE NOT (lower_bound_{length_words}_upper_bound
       AND upper_bound_{words}_next_lower_bound)"""
 
 
@@ -190,6 +237,23 @@ def chk_ranges_no_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).rows
 
 
+@query(
+    "chk_ranges_gaps_required",
+    "WITH "
+    + _ranges_sql("lineitem", "l_linenumber", "l_linenumber + l_suppkey % 2", "l_orderkey",
+                  "required", True),
+)
+def chk_ranges_gaps_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.mutually_exclusive_ranges(
+        table(spark, sf_dir, "lineitem"),
+        "l_linenumber",
+        "l_linenumber + l_suppkey % 2",
+        partition_by="l_orderkey",
+        gaps="required",
+        zero_length_range_allowed=True,
+    ).rows
+
+
 @query(
     "chk_ranges_repeated",
     "WITH "
@@ -230,14 +294,15 @@ def chk_not_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "chk_not_empty_string",
-    """SELECT trim(split_part(text, chr(10), 4)) AS fourth_line FROM documents
-    WHERE trim(split_part(text, chr(10), 4)) = ''""",
+    """SELECT trim(line) AS line FROM (
+      SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+    WHERE trim(line) = ''""",
 )
 def chk_not_empty_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "documents").select(
-        F.split_part("text", F.lit("\n"), F.lit(4)).alias("fourth_line")
+        F.explode(F.split("text", "\n")).alias("line")
     )
-    return checks.not_empty_string(lines, "fourth_line").rows
+    return checks.not_empty_string(lines, "line").rows
 
 
 @query(
@@ -299,7 +364,7 @@ def chk_recency_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "chk_relationships_where",
-    """SELECT o.o_custkey AS id, CAST(NULL AS VARCHAR) AS right_id
+    """SELECT o.o_custkey AS id, CAST(NULL AS BIGINT) AS right_id
     FROM (SELECT o_custkey FROM orders WHERE o_orderstatus <> 'P') o
     LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey
     WHERE c_custkey IS NULL""",
@@ -400,51 +465,84 @@ def chk_assert_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.assert_equal(facts, "had_add_to_cart", "progressed_to_add_to_cart").rows
 
 
-def _report_sql() -> str:
-    sources = {"events": "ev", "sessions": "sess", "steps": "facts", "summary": "summary"}
-    timestamps = {"event_timestamp": "ts"}
-    counts = [
-        f"""SELECT 'not_null_{name}_{column}', count(*) FROM {sources[name]}
-        WHERE {timestamps.get(column, column)} IS NULL"""
-        for name, columns in NOT_NULL.items()
-        for column in columns
-    ]
-    counts += [
-        f"""SELECT 'unique_{name}_session_id', count(*) FROM (
-        SELECT session_id FROM {sources[name]} WHERE session_id IS NOT NULL
-        GROUP BY 1 HAVING count(*) > 1)"""
-        for name in ("sessions", "steps")
-    ]
-    stages = ", ".join(f"'{stage}'" for stage in STAGES)
-    channels = ", ".join(f"'{name}'" for name in CHANNEL_NAMES)
-    accepted = {
-        "max_funnel_stage": "1, 2, 3, 4, 5, 6, 7",
-        "deepest_stage_name": stages,
-        "channel_group": channels,
-    }
-    counts += [
-        f"""SELECT 'accepted_values_steps_{column}', count(*) FROM (
-        SELECT DISTINCT {column} FROM facts WHERE {column} NOT IN ({values}))"""
-        for column, values in accepted.items()
-    ]
-    counts.append(
-        """SELECT 'funnel_order',
+@query(
+    "chk_columns_match_set",
+    """SELECT name AS relation_column, listed AS input_column
+    FROM (SELECT unnest(['doc_id', 'text', 'lang', 'source', 'n_chars', 'n_words']) AS name)
+    FULL JOIN (SELECT unnest(['doc_id', 'text', 'lang', 'source', 'n_chars', 'url']) AS listed)
+      ON name = listed
+    WHERE name IS NULL OR listed IS NULL""",
+)
+def chk_columns_match_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").withColumn("N_Words", F.lit(1))
+    expected = ["DOC_ID", "text", "lang", "source", "n_chars", "URL"]
+    return checks.columns_match_set(documents, expected).rows
+
+
+_REPORT_SQL = f"""{SUMMARY_SQL},
+    counts("check", failures) AS (
+      SELECT 'not_null_events_event_id', count(*) FROM ev WHERE event_id IS NULL
+      UNION ALL SELECT 'not_null_events_session_id', count(*) FROM ev WHERE session_id IS NULL
+      UNION ALL SELECT 'not_null_events_event_name', count(*) FROM ev WHERE event_name IS NULL
+      UNION ALL SELECT 'not_null_events_event_timestamp', count(*) FROM ev WHERE ts IS NULL
+      UNION ALL SELECT 'not_null_events_user_pseudo_id', count(*) FROM ev
+        WHERE user_pseudo_id IS NULL
+      UNION ALL SELECT 'not_null_sessions_session_id', count(*) FROM sess WHERE session_id IS NULL
+      UNION ALL SELECT 'not_null_sessions_user_pseudo_id', count(*) FROM sess
+        WHERE user_pseudo_id IS NULL
+      UNION ALL SELECT 'not_null_sessions_session_date', count(*) FROM sess
+        WHERE session_date IS NULL
+      UNION ALL SELECT 'not_null_sessions_had_purchase', count(*) FROM sess
+        WHERE had_purchase IS NULL
+      UNION ALL SELECT 'not_null_sessions_session_revenue', count(*) FROM sess
+        WHERE session_revenue IS NULL
+      UNION ALL SELECT 'not_null_steps_session_id', count(*) FROM facts WHERE session_id IS NULL
+      UNION ALL SELECT 'not_null_steps_max_funnel_stage', count(*) FROM facts
+        WHERE max_funnel_stage IS NULL
+      UNION ALL SELECT 'not_null_steps_deepest_stage_name', count(*) FROM facts
+        WHERE deepest_stage_name IS NULL
+      UNION ALL SELECT 'not_null_steps_channel_group', count(*) FROM facts
+        WHERE channel_group IS NULL
+      UNION ALL SELECT 'not_null_steps_is_converted', count(*) FROM facts
+        WHERE is_converted IS NULL
+      UNION ALL SELECT 'not_null_steps_session_revenue', count(*) FROM facts
+        WHERE session_revenue IS NULL
+      UNION ALL SELECT 'not_null_summary_session_date', count(*) FROM summary
+        WHERE session_date IS NULL
+      UNION ALL SELECT 'not_null_summary_channel_group', count(*) FROM summary
+        WHERE channel_group IS NULL
+      UNION ALL SELECT 'not_null_summary_total_sessions', count(*) FROM summary
+        WHERE total_sessions IS NULL
+      UNION ALL SELECT 'unique_sessions_session_id', count(*) FROM (
+        SELECT session_id FROM sess GROUP BY 1 HAVING count(session_id) > 1)
+      UNION ALL SELECT 'unique_steps_session_id', count(*) FROM (
+        SELECT session_id FROM facts GROUP BY 1 HAVING count(session_id) > 1)
+      UNION ALL SELECT 'accepted_values_steps_max_funnel_stage', count(*) FROM (
+        SELECT DISTINCT max_funnel_stage FROM facts
+        WHERE max_funnel_stage NOT IN (1, 2, 3, 4, 5, 6, 7))
+      UNION ALL SELECT 'accepted_values_steps_deepest_stage_name', count(*) FROM (
+        SELECT DISTINCT deepest_stage_name FROM facts WHERE deepest_stage_name NOT IN (
+          'session_start', 'page_view', 'view_item', 'add_to_cart', 'begin_checkout',
+          'add_payment_info', 'purchase'))
+      UNION ALL SELECT 'accepted_values_steps_channel_group', count(*) FROM (
+        SELECT DISTINCT channel_group FROM facts WHERE channel_group NOT IN (
+          'Paid Search', 'Paid Social', 'Email', 'Organic Search', 'Referral', 'Direct',
+          'Organic Social', 'Other'))
+      UNION ALL SELECT 'funnel_order',
         count(*) FILTER (WHERE had_begin_checkout AND NOT had_add_to_cart)
         + count(*) FILTER (WHERE had_add_payment_info AND NOT had_begin_checkout)
         + count(*) FILTER (WHERE had_purchase AND NOT had_add_payment_info)
-        + count(*) FILTER (WHERE had_purchase AND session_revenue < 0) FROM facts"""
-    )
-    counts.append("SELECT 'columns_match_set_summary', 0")
-    return f"""{SUMMARY_SQL},
-    counts("check", failures) AS ({" UNION ALL ".join(counts)})
+        + count(*) FILTER (WHERE had_purchase AND session_revenue < 0) FROM facts
+      UNION ALL SELECT 'columns_match_set_summary', (
+        SELECT count(*) FROM (DESCRIBE SELECT * FROM summary)) - 26)
     SELECT "check", failures, CASE WHEN failures <> 0 THEN 'fail' ELSE 'pass' END AS status
     FROM counts"""
 
 
-@query("check_report", _report_sql())
+@query("check_report", _REPORT_SQL)
 def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = models.events(spark, sf_dir)
-    sessions = stored(build_sessions(events), "sessions")
+    sessions = stored(models.sessions(spark, sf_dir), "sessions")
     steps = funnel_steps(sessions)
-    summary = stored(funnel_summary(steps), "summary")
+    summary = stored(funnel_summary(steps, models.MONEY), "summary")
     return run_checks(model_checks(events, sessions, steps, summary))
