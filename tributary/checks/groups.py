@@ -31,7 +31,7 @@ def at_least_one(
 ) -> Violations:
     """There is no non-NULL value in the table, or in a group.
 
-    Without groups the first value found ends the search.
+    Without groups each task stops at its first value.
     """
     rows, value = subset(df, where), as_column(column)
     if group_by_columns:
