@@ -1,0 +1,118 @@
+import random
+from collections import Counter
+from itertools import product
+
+import numpy as np
+import pytest
+from samples import docs, edge_rows, sentence  # noqa: F401  (docs is a fixture)
+
+from tributary.llm import mixing
+
+
+def plain_targets(sizes):
+    """Shares by weight, the excess over three times a source's size shared anew."""
+    weights = [1 + i % 3 for i in range(len(sizes))]
+    target = [0.0] * len(sizes)
+    excess = float(sum(sizes))
+    for _ in range(1000):
+        below = [i for i, s in enumerate(sizes) if target[i] < 3 * s - 1e-9]
+        if excess < 1e-9 or not below:
+            break
+        whole = sum(weights[i] for i in below)
+        for i in below:
+            target[i] += excess * weights[i] / whole
+        excess = 0.0
+        for i, s in enumerate(sizes):
+            if target[i] > 3 * s:
+                excess += target[i] - 3 * s
+                target[i] = 3.0 * s
+    return target
+
+
+def test_targets():
+    rng = random.Random(1)
+    for _ in range(200):
+        sizes = [rng.choice([0, 1, 5, 100, 10_000]) for _ in range(rng.randint(0, 9))]
+        assert mixing.targets(sizes) == pytest.approx(plain_targets(sizes), rel=1e-6, abs=1e-6)
+
+
+def test_small_budgets_are_fitted_as_well_as_can_be():
+    rng = random.Random(2)
+    for _ in range(200):
+        lengths = np.array(sorted(rng.sample(range(1, 30), rng.randint(1, 4))))
+        counts = np.array([rng.randint(1, 3) for _ in lengths])
+        budget = rng.randint(0, int((lengths * counts).sum()) + 2)
+        sums = {sum(n * x for n, x in zip(take, lengths, strict=True))
+                for take in product(*(range(c + 1) for c in counts))}
+        best = max(s for s in sums if s <= budget)
+        knapsack = mixing._knapsack(lengths, counts, budget)
+        assert (knapsack <= counts).all()
+        assert (knapsack * lengths).sum() == best
+        take = mixing.fit_counts(lengths, counts, budget)
+        assert (take <= counts).all() and (take >= 0).all()
+        assert (take * lengths).sum() <= budget
+
+
+def test_large_budgets_are_met_exactly():
+    rng = np.random.default_rng(3)
+    lengths = np.unique(rng.integers(1, 20_000, 3000))
+    counts = rng.integers(1, 10**6, len(lengths))
+    budget = int((lengths * counts).sum() * 0.37)
+    take = mixing.fit_counts(lengths, counts, budget)
+    assert int((take * lengths).sum()) == budget
+    share = take / counts
+    assert abs(share[counts > 1000] - 0.37).max() < 0.01
+
+
+def rows_of(n=600):
+    rng = random.Random(4)
+    return [(i, sentence(rng, rng.choice([3, 7, 7, 20, 50])), "en", f"s{i % 5 if i % 3 else 0}", 1)
+            for i in range(n)]
+
+
+def test_mixture_meets_its_targets(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE_ROWS", 5)
+    rows = rows_of()
+    out = mixing.choose(docs(rows, clash=True)).collect()
+    size = {row[0]: len(row[1].split()) for row in rows}
+    source = {row[0]: row[3] for row in rows}
+    assert {r.doc_id: r["size"] for r in out} == size
+    names = sorted(set(source.values()))
+    whole = Counter()
+    for i, s in source.items():
+        whole[s] += size[i]
+    target = dict(zip(names, plain_targets([whole[s] for s in names]), strict=True))
+    taken = Counter()
+    for r in out:
+        assert 0 <= r.times <= 3
+        assert r.target == pytest.approx(target[source[r.doc_id]])
+        assert r.source_size == whole[source[r.doc_id]]
+        taken[source[r.doc_id]] += r.times * r["size"]
+    for s in names:
+        assert abs(taken[s] - target[s]) <= 1
+
+    again = mixing.choose(docs(rows).repartition(7)).collect()
+    assert {r.doc_id: r.times for r in again} == {r.doc_id: r.times for r in out}
+    mixture = mixing.mix(docs(rows, clash=True))
+    assert mixture.columns == docs(rows, clash=True).columns
+    assert Counter(r.doc_id for r in mixture.collect()) == {
+        r.doc_id: r.times for r in out if r.times
+    }
+
+
+def test_edge_rows(docs):
+    out = mixing.choose(docs(edge_rows(), clash=True)).collect()
+    assert len(out) == len(edge_rows())
+    assert all(r.times == 0 for r in out if r["size"] == 0)
+    by_source = {r[0]: r[3] for r in edge_rows() if r[0] is not None}
+    none = [r for r in out if r.doc_id is not None and by_source[r.doc_id] is None]
+    assert {r.source_size for r in none} == {1}
+    # Sources a, b, c and null have 2, 30,320, 81 and 1 words; weights 1, 2, 3, 1.
+    assert {round(r.target, 6) for r in none} == {3.0}
+    mixture = Counter(str(r.doc_id) for r in mixing.mix(docs(edge_rows())).collect())
+    taken = Counter()
+    for r in out:
+        taken[str(r.doc_id)] += r.times
+    assert mixture == {k: n for k, n in taken.items() if n}
+    assert mixing.choose(docs([])).count() == 0
+    assert mixing.mix(docs([])).count() == 0

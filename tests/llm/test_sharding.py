@@ -1,0 +1,75 @@
+import random
+from collections import Counter, defaultdict
+from zlib import crc32
+
+from pyspark.sql import functions as F
+from samples import docs, edge_rows, sentence  # noqa: F401  (docs is a fixture)
+
+from tributary.llm import sharding
+
+
+def laws(rows, out, shards=16):
+    """Sizes and digests are right, slots have no gap; returns the bytes of each shard."""
+    wanted = [(str(r[0]), len((r[1] or "").encode()) + 1, crc32((r[1] or "").encode())) for r in rows]
+    assert sorted((str(r.doc_id), r["size"], r.text_crc32) for r in out) == sorted(wanted)
+    slots, sizes = defaultdict(list), Counter()
+    for r in out:
+        slots[r.shard].append(r.slot)
+        sizes[r.shard] += r["size"]
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+    assert set(slots) <= set(range(shards))
+    return sizes
+
+
+def test_bytes_are_near_equal_and_copies_stay_together(docs, monkeypatch):
+    monkeypatch.setattr(sharding, "SLICE_ROWS", 10)
+    rng = random.Random(1)
+    rows = [(i, sentence(rng, rng.randint(1, 40)), rng.choice("ab"), rng.choice("xyz"), 1) for i in range(1600)]
+    rows += [(2000 + i, rows[i // 3][1], "en", "w", 1) for i in range(90)]
+    out = sharding.shard(docs(rows, clash=True)).collect()
+    sizes = laws(rows, out)
+    mean = sum(sizes.values()) / 16
+    assert max(sizes.values()) < 1.1 * mean and min(sizes.values()) > 0.9 * mean
+    text = {r[0]: r[1] for r in rows}
+    shards = defaultdict(set)
+    for r in out:
+        shards[text[r.doc_id]].add(r.shard)
+    copies = Counter(text.values())
+    light = [t for t, n in copies.items() if n * (len(t.encode()) + 1) <= sharding.GROUP_SHARE * mean]
+    assert sum(copies[t] > 1 for t in light) > 5
+    assert all(len(shards[t]) == 1 for t in light)
+
+
+def test_a_third_of_all_rows_is_one_text_from_one_source(docs):
+    rng = random.Random(2)
+    rows = [(i, "the same text " * 5 if i % 3 == 0 else sentence(rng, 18), "en", "a", 1) for i in range(1500)]
+    sizes = laws(rows, sharding.shard(docs(rows)).collect())
+    mean = sum(sizes.values()) / 16
+    assert max(sizes.values()) < 1.05 * mean and min(sizes.values()) > 0.95 * mean
+
+
+def test_other_numbers_of_shards(docs):
+    rng = random.Random(3)
+    rows = [(i, sentence(rng, 15), "en", "a", 1) for i in range(700)]
+    sizes = laws(rows, sharding.shard(docs(rows), 5).collect(), 5)
+    mean = sum(sizes.values()) / 5
+    assert len(sizes) == 5 and max(sizes.values()) < 1.1 * mean
+
+
+def test_edge_rows(docs):
+    laws(edge_rows(), sharding.shard(docs(edge_rows(), clash=True)).collect())
+    none = [(None, None, None, None, None)] * 40
+    sizes = laws(none, sharding.shard(docs(none)).collect())
+    assert max(sizes.values()) <= 8
+    assert sharding.shard(docs([])).count() == 0
+
+
+def test_splits_fall_along_the_widest_dimension(spark):
+    """Points spread along age alone: shards are ranges of it."""
+    points = spark.range(1000).select(
+        F.col("id").alias("point"), F.lit(1).alias("bytes"), F.lit(5).alias("lang"),
+        F.lit(5).alias("source"), F.lit(5).alias("length"), (F.col("id") * 1000).alias("age"),
+        F.pmod(F.xxhash64("id"), F.lit(2**31)).alias("tie"),
+    )
+    out = sharding.assign(points, 4, 250).collect()
+    assert {r.point: r.shard for r in out} == {i: i // 250 for i in range(1000)}

@@ -1,0 +1,142 @@
+import gzip
+import json
+
+import duckdb
+import pytest
+from samples import SF
+
+from tributary.llm import queries, warc
+
+PAGES = "page_id long, url string, html string"
+
+
+def pages_of(spark):
+    big = "<p>é</p>" * 50
+    return spark.createDataFrame(
+        [
+            (5, "http://a/5", big), (3, "http://a/3\r\nx: y", big), (9, None, big), (None, "u", big),
+            (3, "again", big), (1, "u1", "small"), (2, "u2", "small"), (4, "u4", None), (6, "u6", ""),
+            (7, "u7", "\r\n\r\nWARC/1.1\r\n" * 30), (8, "u8", "x" * 3_000_000), (None, "n", "n" * 200),
+            (None, "n", "n" * 200),
+        ],
+        PAGES,
+    )
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("file_bytes", [1, 1 << 20])
+def test_round_trip(spark, tmp_path, file_bytes):
+    records = warc.page_records(pages_of(spark).withColumn("digest", warc.F.lit(1)))
+    warc.register(spark)
+    path = f"file://{tmp_path}/out"
+    records.write.format("warc").mode("append").option("file_bytes", file_bytes).save(path)
+    back = warc.read(spark, path)
+    wanted = [
+        (r.record_id, r.record_type, r.target_uri and r.target_uri.replace("\r", "%0D").replace("\n", "%0A"),
+         r.refers_to, r.payload_digest, r.payload_length, bytes(r.payload or b""))
+        for r in records.collect()
+    ]
+    assert rows_of(back) == sorted(((*r[:6], bytearray(r[6])) for r in wanted), key=str)
+
+
+def test_which_record_holds_the_payload(spark, tmp_path):
+    warc.write(warc.page_records(pages_of(spark)), f"{tmp_path}/out")
+    got = {
+        (r.record_id, r.target_uri): (r.record_type, r.refers_to)
+        for r in warc.read(spark, f"{tmp_path}/out", payload=False).collect()
+    }
+    assert got["urn:page:5", "http://a/5"] == ("revisit", "urn:page:3")
+    assert got["urn:page:3", "again"] == ("response", None)
+    assert got["urn:page:9", None] == ("revisit", "urn:page:3")
+    assert got[None, "u"] == ("revisit", "urn:page:3")
+    assert got[None, "n"] == ("response", None)
+    assert got["urn:page:2", "u2"] == ("response", None)
+
+
+def test_filters_are_decided_on_headers(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/out"
+    warc.write(warc.page_records(pages_of(spark)), path)
+    df = warc.read(spark, path).where("record_type = 'response' and payload_length > 1000")
+    assert df.count() == 1
+    df = warc.read(spark, path).where("target_uri like 'http://a/%' and refers_to is not null")
+    assert [r.record_id for r in df.collect()] == ["urn:page:5"]
+    assert warc.read(spark, path).where("not (record_type = 'response')").count() == 3
+    assert warc.read(spark, path).where("refers_to <> 'x'").count() == 3
+    assert warc.read(spark, path).where("record_id in ('urn:page:8', 'urn:page:1')").count() == 2
+
+    # In the reader itself: unwanted payloads stay compressed.
+    reader = warc.WarcReader({"path": path})
+    wanted = warc.EqualTo(("record_type",), "revisit")
+    other = warc.EqualTo(("payload",), b"")
+    assert list(reader.pushFilters([wanted, other])) == [other]
+    inflated = []
+    read = warc._Member.read
+
+    def counted(self, chunk):
+        out = read(self, chunk)
+        inflated.append(len(out))
+        return out
+
+    monkeypatch.setattr(warc._Member, "read", counted)
+    rows = [row for part in reader.partitions() for row in reader.read(part)]
+    assert len(rows) == 3
+    assert sum(inflated) < 1_500_000  # one chunk of the 3 MB payload squeezes to little
+
+
+def test_failed_attempts_are_never_read(spark, tmp_path):
+    path = tmp_path / "out"
+    warc.write(warc.page_records(pages_of(spark)), str(path))
+    n = warc.read(spark, str(path)).count()
+    name = json.loads((path / "_files.json").read_text())[0][0]
+    (path / f"part-99999-x-{name[-12:]}").write_bytes((path / name).read_bytes())
+    assert warc.read(spark, str(path)).count() == n == 13
+
+
+def foreign(n):
+    body = b"HTTP/1.1 200 OK\r\n\r\nbody %d" % n
+    return (
+        b"WARC/1.0\r\nwarc-type:  response\r\nWARC-Record-ID: <urn:x:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+        % (n, len(body), body)
+    )
+
+
+@pytest.mark.parametrize("suffix", ["warc", "warc.gz"])
+def test_archives_of_others(spark, tmp_path, suffix):
+    data = [foreign(i) for i in range(5)]
+    (tmp_path / f"a.{suffix}").write_bytes(b"".join(data if suffix == "warc" else map(gzip.compress, data)))
+    rows = rows_of(warc.read(spark, str(tmp_path)).select("record_id", "record_type", "payload"))
+    assert rows == [
+        (f"urn:x:{i}", "response", bytearray(b"HTTP/1.1 200 OK\r\n\r\nbody %d" % i)) for i in range(5)
+    ]
+    some = warc.read(spark, f"{tmp_path}/a.{suffix}").where("record_id = 'urn:x:3'")
+    assert [bytes(r.payload)[-6:] for r in some.collect()] == [b"body 3"]
+
+
+def test_empty_table(spark, tmp_path):
+    warc.write(warc.page_records(spark.createDataFrame([], PAGES)), f"{tmp_path}/out")
+    assert warc.read(spark, f"{tmp_path}/out").count() == 0
+
+
+def test_files_are_dealt_into_bounded_partitions(spark, tmp_path):
+    records = warc.page_records(pages_of(spark))
+    warc.register(spark)
+    records.write.format("warc").mode("append").option("file_bytes", 1).save(f"{tmp_path}/out")
+    parts = warc.WarcReader({"path": f"{tmp_path}/out", "partition_bytes": "1000"}).partitions()
+    assert sum(len(p.paths) for p in parts) == 13 and len(parts) > 2
+
+
+def test_query_matches_its_sql(spark, tmp_path):
+    """On pages of which a third are copies."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    copies = pages.selectExpr("page_id + 100000 as page_id", "url", "html").where("page_id % 2 = 0")
+    small = spark.createDataFrame([(200_001, "u", "tiny"), (200_002, "u", "tiny"), (200_003, "u", None)], PAGES)
+    pages.union(copies).union(small).write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.op10_warc(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    wanted = con.sql(queries.ORACLE["op10_warc"])
+    assert got.columns == wanted.columns
+    assert rows_of(got) == sorted(wanted.fetchall(), key=str)

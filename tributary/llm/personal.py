@@ -2,8 +2,8 @@
 
 The patterns find e-mail addresses, IP addresses, card numbers and phone numbers in their
 plain forms. A conditional random field over word shapes, trained from a small labelled
-table, reads every line that holds a digit or an at sign and tags the same four kinds in
-other forms: ``name (at) host (dot) org``, ``10[.]0[.]0[.]7``, ``4111.1111.1111.1111``,
+table, reads every line that holds a digit, an at sign or ``(at)`` and tags the same four
+kinds in other forms: ``name (at) host (dot) org``, ``10[.]0[.]0[.]7``, ``4111.1111.1111.1111``,
 ``(512) 555-0100``. What it tags counts if it passes the same checks of digits as the
 plain form, and if no pattern has claimed a part of it; it is reported under the kinds
 ``crf_email``, ``crf_ip``, ``crf_card`` and ``crf_phone``, so pattern spans and tagged spans never
@@ -36,7 +36,7 @@ _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)++")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_CUE = re.compile(r"[0-9@]")
+_CUE = re.compile(r"[0-9@]|[(\[](?:at|AT)[)\]]")
 
 
 def _emails(text: str) -> Iterator[Span]:
@@ -188,11 +188,14 @@ def labelled_lines(rows: int = 500, seed: int = 42) -> list[tuple[str, list[Span
         digits = "4" + number(14)
         return next(digits + d for d in "0123456789" if is_card(digits + d))
 
+    def plain() -> str:
+        return word("aeiou").strip(",.").lower()
+
     def name() -> str:
-        return word("aeiou").strip(",.").lower() + rng.choice(["", ".", "_"]) + number(rng.choice([0, 2]))
+        return plain() + rng.choice(["", number(2), f".{plain()}", f"_{plain()}", f".{number(2)}"])
 
     def email() -> str:
-        user, host, top = name().strip("._"), name().strip("._"), rng.choice(["com", "org", "net"])
+        user, host, top = name(), plain(), rng.choice(["com", "org", "net"])
         return rng.choice(
             [f"{user}@{host}.{top}", f"{user} (at) {host} (dot) {top}", f"{user}[at]{host}.{top}",
              f"{user} at {host} dot {top}", f"{user} [at] {host} [dot] {top}"]
