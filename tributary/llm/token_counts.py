@@ -6,8 +6,8 @@ times their number of pieces. All distinct pre-tokens of the table are gathered,
 tokenizer counts the pieces of each once, and the counts are joined to the pre-token
 frequencies of the documents and added up.
 
-The join is split by frequency. The ``HEAD`` most frequent pre-tokens, which make up nearly
-all of a text, go to every task as a table of that fixed size and are added up on the spot;
+The join is split by frequency. The most frequent pre-tokens, ``HEAD`` at most, make up nearly
+all of a text; they go to every task as a table of bounded size and are added up on the spot;
 they include every pre-token that could make a partition of a shuffle hot. The frequencies
 of all others, a few for each text, are joined by a shuffle.
 
@@ -139,11 +139,28 @@ def frequencies(
     )
 
 
+def frequent(known: DataFrame, most: int) -> DataFrame:
+    """(pretoken, pieces) of the most frequent pre-tokens, at most ``most``.
+
+    Pre-tokens are counted by classes of frequency, eight to each doubling, and as many classes
+    are taken from the top as fit. So the rows returned are all that leaves the tasks.
+    """
+    level = F.floor(F.log2(F.col("frequency").cast("double")) * 8)
+    classes = known.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()
+    least, total = None, 0
+    for row in sorted(classes, key=lambda row: -row.level):
+        total += row.n
+        if total > most:
+            break
+        least = row.level
+    chosen = known.where(level >= least) if least is not None else known.limit(0)
+    return chosen.select("pretoken", "pieces")
+
+
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, head: int = HEAD) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of each document."""
     known = stored(vocabulary(docs, tokenizer), "vocabulary")
-    first = known.orderBy(F.desc("frequency"), "pretoken").limit(head)
-    table = {row.pretoken: row.pieces for row in first.select("pretoken", "pieces").collect()}
+    table = {row.pretoken: row.pieces for row in frequent(known, head).collect()}
     found = stored(frequencies(docs, table, tokenizer), "frequencies")
     rest = (
         found.where("pretoken is not null")
