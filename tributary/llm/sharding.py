@@ -62,25 +62,31 @@ def _code(text: Column) -> Column:
 DIMENSIONS = ("lang", "source", "length", "age")
 
 
-def points(rows: DataFrame, target: float) -> DataFrame:
-    """(point, tie, bytes, one column for each dimension) from the stored documents."""
-    span = rows.agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max("size").alias("size")
-    ).first()
+def with_points(rows: DataFrame, target: float) -> DataFrame:
+    """Adds ``point`` to the stored documents, the same for equal texts unless they are heavy."""
+    longest = rows.agg(F.max("size").alias("size")).first().size or 0
     heavy = (
         rows.groupBy("text_hash")
         .agg(F.sum("size").alias("whole"))
-        .where(F.col("whole") > max(GROUP_SHARE * target, span.size or 0))
+        .where(F.col("whole") > max(GROUP_SHARE * target, longest))
         .select("text_hash", F.lit(True).alias("heavy"))
+    )  # fewer than shards / GROUP_SHARE groups can be so heavy
+    apart = F.xxhash64("text_hash", "row")
+    return (
+        rows.join(F.broadcast(heavy), "text_hash", "left")
+        .withColumn("point", F.when(F.col("heavy"), apart).otherwise(F.col("text_hash")))
+        .drop("heavy")
     )
-    own = rows.join(heavy, "text_hash", "left").withColumn(
-        "point", F.when(F.col("heavy"), F.xxhash64("text_hash", "row")).otherwise(F.col("text_hash"))
-    )
+
+
+def points(rows: DataFrame) -> DataFrame:
+    """(point, tie, bytes, one column for each dimension) of documents with points."""
+    span = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
     low, high = span.low or 0, span.high or 0
     top = 2**_BITS - 1
     age = (F.coalesce("doc_id", F.lit(low)) - low) / F.lit(float(max(high - low, 1)))
     length = F.least(F.log2(F.col("size").cast("double")) / 40, F.lit(1.0))
-    grouped = own.groupBy("point").agg(
+    grouped = rows.groupBy("point").agg(
         F.sum("size").alias("bytes"),
         F.min("lang_code").alias("lang"),
         F.min("source_code").alias("source"),
@@ -196,21 +202,9 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = stored(documents(docs), "documents")
     total = rows.agg(F.sum("size").alias("bytes")).first().bytes or 0
     target = max(total, 1) / shards
-    made = stored(points(rows, target), "points")
-    leaves = assign(made, shards, target)
-    grouped = rows.join(
-        leaves.withColumnRenamed("point", "text_hash"), "text_hash", "left"
-    )
-    single = leaves.select(F.col("point").alias("own"), F.col("shard").alias("own_shard"))
-    # A document of a heavy group is a point by itself.
-    apart = (
-        grouped.where("shard is null")
-        .withColumn("own", F.xxhash64("text_hash", "row"))
-        .join(single, "own")
-        .withColumn("shard", F.col("own_shard"))
-        .drop("own", "own_shard")
-    )
-    placed = stored(grouped.where("shard is not null").unionByName(apart), "placed")
+    rows = with_points(rows, target)
+    leaves = assign(stored(points(rows), "points"), shards, target)
+    placed = stored(rows.join(leaves, "point"), "placed")
     return _slots(placed).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
