@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.tables import batches, pick, stored
+from tributary.llm.tables import as_rows, batches, from_rows, pick, place, stored
 
 #: Weights given to the sources in turn.
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -232,8 +232,8 @@ def choose(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = 42)
     ).drop("c_source", "c_size", "c_slice")
     # Only the slice in which the share of a length ends has to be put in order.
     ends = (F.col("quota") > 0) & (F.col("quota") < F.col("rows"))
-    place = Window.partitionBy("source", "size", "slice").orderBy("order", "doc_id", "hash")
-    first = (F.row_number().over(place) <= F.col("quota")).cast("long")
+    within = Window.partitionBy("source", "size", "slice").orderBy("order", "doc_id", "hash")
+    first = (F.row_number().over(within) <= F.col("quota")).cast("long")
     columns = ["doc_id", "hash", "size", "source_size", "target", "full", "more"]
     return (
         rows.where(~partly)
@@ -256,23 +256,20 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = 42) ->
         .where("times > 0")
     )
     taken = taken.select(_id("doc_id").alias("id"), "hash", "times", "rows")
-    row = docs.select(F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row"))
-    doc_id = F.col("row.doc_id").cast("bigint")
-    row = row.select(
-        "row",
-        _id(doc_id).alias("id"),
-        F.xxhash64(doc_id, F.col("row.text").cast("string")).alias("hash"),
+    doc_id, text = (F.col(f"row.{place(docs, name)}") for name in ("doc_id", "text"))
+    doc_id = doc_id.cast("bigint")
+    row = as_rows(docs).select(
+        "row", _id(doc_id).alias("id"), F.xxhash64(doc_id, text.cast("string")).alias("hash")
     )
     joined = row.join(taken, ["id", "hash"])
     # Of repeated rows, the first ones get what does not divide evenly.
     nth = F.row_number().over(Window.partitionBy("id", "hash").orderBy("id"))
     even = F.floor(F.col("times") / F.col("rows"))
     own = even + (F.col("nth") <= F.col("times") - even * F.col("rows")).cast("long")
-    return (
-        joined.withColumn("nth", nth)
-        .withColumn("copy", F.explode(F.array_repeat(F.lit(1), own.cast("int"))))
-        .select("row.*")
+    copies = joined.withColumn("nth", nth).withColumn(
+        "copy", F.explode(F.array_repeat(F.lit(1), own.cast("int")))
     )
+    return from_rows(copies, docs)
 
 
 def _id(doc_id: Column | str) -> Column:

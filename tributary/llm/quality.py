@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.tables import batches, each_row, pick
+from tributary.llm.tables import batches, each_row, pick, sampled
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -246,9 +246,8 @@ def fit_rules(
         .where("doc_id is not null and quality is not null")
         .groupBy("doc_id")
         .agg((F.min("quality") == 0).alias("bad"))
-        .orderBy(order, "doc_id")
-        .limit(sample_rows)
     )
+    ids = sampled(ids, order, sample_rows)
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         own = _columns(_counts(part.column("text")))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from tributary.llm.components import components
-from tributary.llm.tables import batches, pick, stored
+from tributary.llm.tables import as_rows, batches, from_rows, pick, place, stored
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -275,14 +275,14 @@ def keep_one(
             F.col("least.text_hash").alias("hash"),
         )
     )
-    row = docs.select(F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row"))
-    row = row.select(
+    doc_id, text = (F.col(f"row.{place(docs, name)}") for name in ("doc_id", "text"))
+    row = as_rows(docs).select(
         "row",
-        F.coalesce(F.col("row.doc_id").cast("bigint"), F.lit(_NO_ID)).alias("id"),
-        F.xxhash64(F.col("row.text").cast("string")).alias("hash"),
+        F.coalesce(doc_id.cast("bigint"), F.lit(_NO_ID)).alias("id"),
+        F.xxhash64(text.cast("string")).alias("hash"),
     )
     # One row of an id and text is enough; each task drops its repeated rows before the shuffle.
-    place = F.row_number().over(Window.partitionBy("id", "hash").orderBy("id"))
-    once = row.withColumn("place", place).where("place = 1").drop("place")
-    return once.join(first, ["id", "hash"], "left_semi").select("row.*")
+    nth = F.row_number().over(Window.partitionBy("id", "hash").orderBy("id"))
+    once = row.withColumn("nth", nth).where("nth = 1").drop("nth")
+    return from_rows(once.join(first, ["id", "hash"], "left_semi"), docs)
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tributary.sources.scratch import stored
 
-__all__ = ["batches", "each_row", "pick", "read", "stored"]
+__all__ = [
+    "as_rows", "batches", "each_row", "from_rows", "pick", "place", "read", "sampled", "stored",
+]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +21,36 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pick(df: DataFrame, **types: str) -> DataFrame:
-    """The named columns alone, with these types; columns beside them cannot clash later."""
-    return df.select(*[df[f"`{name}`"].cast(kind).alias(name) for name, kind in types.items()])
+    """The named columns alone, with these types; columns beside them cannot clash, not even
+    with names that differ in letter case only."""
+    plain = numbered(df)
+    return plain.select(
+        *[plain[place(df, name)].cast(kind).alias(name) for name, kind in types.items()]
+    )
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The same rows under the column names c0, c1, ..."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place(df: DataFrame, name: str) -> str:
+    """The column's name in ``numbered``; an exact match goes before one in other letter case."""
+    names = df.columns
+    if name not in names:
+        names = [own.lower() for own in names]
+        name = name.lower()
+    return f"c{names.index(name)}"
+
+
+def as_rows(df: DataFrame) -> DataFrame:
+    """All columns as one, ``row``, with the members of ``numbered``; see ``from_rows``."""
+    plain = numbered(df)
+    return plain.select(F.struct(*plain.columns).alias("row"))
+
+
+def from_rows(rows: DataFrame, like: DataFrame) -> DataFrame:
+    return rows.select("row.*").toDF(*like.columns)
 
 
 def batches(
@@ -39,6 +70,18 @@ def batches(
 
 
 
+def sampled(df: DataFrame, by: Column, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those with the smallest ``by``, a hash.
+
+    Rows whose hash is far too large to be among them are dropped first, so that no more
+    than some times ``rows`` meet in one place, however many tasks there are.
+    """
+    share = min(1.0, 2 * (rows + 50) / max(df.count(), 1))
+    last = min(int(-(2**63) + share * 2**64), 2**63 - 1)
+    place = df.withColumn("__by", by).where(F.col("__by") <= last)
+    return place.orderBy("__by", *df.columns).limit(rows).drop("__by")
+
+
 def each_row(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch]
 ) -> DataFrame:
@@ -47,11 +90,11 @@ def each_row(
     Columns go by place in between, so names with dots or odd letters do no harm.
     """
     names = df.columns
-    numbered = [f"c{i}" for i in range(len(names))]
+    plain = numbered(df)
+    own = plain.columns
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         out = work(pa.RecordBatch.from_arrays(part.columns, names))
-        return pa.RecordBatch.from_arrays(out.columns, numbered)
+        return pa.RecordBatch.from_arrays(out.columns, own)
 
-    plain = df.toDF(*numbered)
     return batches(plain, run, plain.schema).toDF(*names)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.tables import batches, pick, stored
+from tributary.llm.tables import batches, pick, sampled, stored
 from tributary.llm.words import Memory
 
 SAMPLE_ROWS = 3000
@@ -151,7 +151,7 @@ def _sample(docs: DataFrame, labels: DataFrame, sample_rows: int, seed: int) ->
     texts = pick(docs, doc_id="bigint", text="string")
     parts = []
     for label in ("toxic", "not toxic"):
-        ids = known.where(label).orderBy(order, "doc_id").limit(sample_rows)
+        ids = sampled(known.where(label), order, sample_rows)
         rows = texts.join(F.broadcast(ids), "doc_id")
         parts.append(rows.orderBy(order, "doc_id", F.xxhash64("text")).limit(sample_rows))
     return parts[0].union(parts[1]).select("doc_id", "toxic", "text")

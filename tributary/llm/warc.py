@@ -53,6 +53,7 @@ from pyspark.sql.datasource import (
     StringStartsWith,
     WriterCommitMessage,
 )
+from tributary.llm.tables import pick
 
 #: Header of each column that has one.
 HEADERS = {
@@ -395,10 +396,8 @@ def page_records(pages: DataFrame) -> DataFrame:
     are all responses if none has; rows that repeat the response's id and payload are
     responses too.
     """
-    rows = pages.select(
-        pages["`page_id`"].cast("bigint").alias("page_id"),
-        pages["`url`"].cast("string").alias("url"),
-        F.coalesce(pages["`html`"].cast("string"), F.lit("")).cast("binary").alias("payload"),
+    rows = pick(pages, page_id="bigint", url="string", html="string").select(
+        "page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")
     )
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn(
         "length", F.octet_length("payload").cast("bigint")
