@@ -12,8 +12,11 @@ them is met. If ``MOST_PROBES`` do not suffice, buckets are made coarser.
 
 Equal vectors are indexed once, with the few smallest ids that can matter. Buckets are matched
 block by block: both sides of a bucket are cut into blocks of bounded size, and a pair of
-blocks sends on only the best few of each query. A query that has met too few candidates is
-compared with all vectors, block by block in the same way.
+blocks sends on only the best few of each query. Before that, every query is compared with
+``BOUND_ROWS`` sampled vectors: the best of these are candidates like any other, and what is
+farther than the last of them cannot be among the nearest and is never sent on. A query
+that has met too few candidates, which takes a table smaller than the answer, is compared
+with all vectors, block by block in the same way.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite numbers take
 no part, nor do rows without an id; rows that repeat an id and vector count once; vectors of
@@ -33,17 +36,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.tables import batches, stored
+from tributary.llm.tables import batches, pick, sampled, stored
 
 TABLES = 4
 WIDTH = 1.4
 RECALL = 0.96
 TUNING_QUERIES = 100
+#: Vectors that every query is compared with first.
+BOUND_ROWS = 1000
 MOST_PROBES = 200
 #: Rows of a block of a bucket.
 BLOCK_ROWS = 2048
 #: Buckets are made about so large, if recall allows.
-BUCKET_ROWS = 400
+BUCKET_ROWS = 1000
 #: Bits that one projection tells about a random direction at this width.
 _BITS_EACH = 1.56
 
@@ -55,10 +60,8 @@ def unpack(packed: Iterator[bytes]) -> np.ndarray:
 
 def vectors(table: DataFrame) -> DataFrame:
     """(vec_id, vec): usable rows, the vector as packed doubles; repeated rows once."""
-    rows = table.select(
-        table["`vec_id`"].cast("bigint").alias("vec_id"),
-        table["`embedding`"].cast("array<double>").alias("x"),
-    )
+    rows = pick(table, vec_id="bigint", embedding="array<double>")
+    rows = rows.withColumnRenamed("embedding", "x")
     usable = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & usable & F.exists("x", lambda v: v != 0))
 
@@ -209,7 +212,8 @@ _KEY = ["tab", "bucket"]
 def _match(indexed: DataFrame, asking: DataFrame, most: int) -> DataFrame:
     """(qid, qhash, vec_id, score): per pair of blocks the best ids of each query.
 
-    ``indexed`` has (tab, bucket, vec, ids), ``asking`` has (tab, bucket, vec, qid, qhash).
+    ``indexed`` has (tab, bucket, vec, ids), ``asking`` has (tab, bucket, vec, qid, qhash,
+    least); scores below ``least`` are left out.
     """
     blocks = lambda n: F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
     rows = indexed.groupBy(*_KEY).agg(F.count("*").alias("rows"))
@@ -239,12 +243,16 @@ def _match(indexed: DataFrame, asking: DataFrame, most: int) -> DataFrame:
             x = unpack(own["vec"])
             ids = own["ids"].to_numpy()
             for i, near, scores in _best(unpack(ask["vec"]), x, most):
+                least = ask["least"].iloc[i]
                 rows = [
                     (-score, vec_id)
                     for n, score in zip(near, scores, strict=True)
+                    if score >= least
                     for vec_id in ids[n]
                 ]
                 best = heapq.nsmallest(most, rows)
+                if not best:
+                    continue
                 out.append(
                     pd.DataFrame(
                         {
@@ -266,6 +274,36 @@ def _match(indexed: DataFrame, asking: DataFrame, most: int) -> DataFrame:
     )
 
 
+def _with_sample(asking: DataFrame, sample: list[tuple[bytes, list[int]]], most: int) -> DataFrame:
+    """Adds ``best``, the nearest rows of the sample, and ``least``, the score of the last of
+    them if there are enough."""
+    known = {
+        size: (
+            unpack(vec for vec, _ in sample if len(vec) == size),
+            [ids for vec, ids in sample if len(vec) == size],
+        )
+        for size in {len(vec) for vec, _ in sample}
+    }
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        found, least = [], []
+        for packed in part.column("vec").to_pylist():
+            x, ids = known.get(len(packed), (np.zeros((0, len(packed) // 8)), []))
+            scores = cosines(unpack([packed])[0], x).tolist()
+            rows = [(-s, i) for s, own in zip(scores, ids, strict=True) for i in own]
+            best = heapq.nsmallest(most, rows)
+            least.append(-best[-1][0] if len(best) == most else -2.0)
+            found.append([{"vec_id": i, "score": -s} for s, i in best])
+        kind = pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.float64())]))
+        return pa.RecordBatch.from_arrays(
+            [*part.columns, pa.array(least, pa.float64()), pa.array(found, kind)],
+            [*part.schema.names, "least", "best"],
+        )
+
+    more = "least double, best array<struct<vec_id: bigint, score: double>>"
+    return batches(asking, work, _schema(asking, more))
+
+
 def _top(found: DataFrame, by: list[str], most: int) -> DataFrame:
     order = Window.partitionBy(*by).orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
@@ -311,8 +349,8 @@ def tune(
     """(projections, probes) that meet the wanted share of true neighbours of a sample."""
     rows = different.count()
     start = int(np.log2(max(rows, 1) / BUCKET_ROWS) / _BITS_EACH) if rows > BUCKET_ROWS else 2
-    chosen = different.orderBy(F.xxhash64(F.lit(seed), "vec"), "vec").limit(TUNING_QUERIES)
-    sample = [bytes(row.vec) for row in chosen.select("vec").collect()]
+    chosen = sampled(different.select("vec"), F.xxhash64(F.lit(seed), "vec"), TUNING_QUERIES)
+    sample = [bytes(row.vec) for row in chosen.collect()]
     truth = _truth(different, sample, most)
     for projections in range(max(start, 2), 1, -1):
         need = []  # probes until a neighbour is met
@@ -362,12 +400,16 @@ def nearest(
         .agg(F.min("vec_id").alias("qid"))
         .withColumn("qhash", F.xxhash64("vec"))
     )
-    asking = stored(asking, "asking")
+    chosen = sampled(different, F.xxhash64(F.lit(seed + 1), "vec"), BOUND_ROWS)
+    sample = [(bytes(row.vec), row.ids) for row in chosen.select("vec", "ids").collect()]
+    asking = stored(_with_sample(asking, sample, most), "asking")
+    at_once = asking.select("qid", "qhash", F.inline("best"))
+    asking = asking.drop("best")
     found = _match(
         _with_keys(different, projections, tables, seed),
         _with_probes(asking, projections, tables, looks, seed),
         most,
-    )
+    ).unionByName(at_once)
     met = found.groupBy("qid", "qhash", "vec_id").agg(F.max("score").alias("score"))
     met = stored(_top(met, ["qid", "qhash"], most).drop("rank"), "met")
     # Too few met: those queries look at everything of their length.
