@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from tributary.session import build_session
@@ -20,7 +19,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [name for name in os.environ.get("BENCH_QUERIES", "").split(",") if name]
-    folder = tempfile.mkdtemp(prefix="bench-")  # this is one machine
+    folder = os.environ.get("BENCH_SCRATCH", os.path.abspath("spark-warehouse"))
     spark = build_session(
         "bench",
         master=f"local[{cpus}]",
