@@ -69,6 +69,36 @@ def test_tagger_finds_other_forms(tagger):
         assert [(k, text[a:b]) for k, a, b in spans] == [(kind, value)]
 
 
+@pytest.mark.parametrize("value", [
+    "jo.doe (at) sample (dot) org", "jo[at]sample.org", "jo at sample dot org",
+    "jo_doe [at] sample [dot] com", "jo at sample dot com", "JO AT SAMPLE DOT ORG",
+    "Jo At Sample Dot Net", "jo (At) sample (Dot) net", "jo.doe@sample.org",
+])
+def test_each_form_on_a_line_without_digits(tagger, value):
+    for line in ("write to {}", "no cue here\nplease write to {} soon\nnor here"):
+        text = line.format(value)
+        (_, spans), = personal.all_spans([text], tagger)
+        assert [(kind.removeprefix("crf_"), text[a:b]) for kind, a, b in spans] == [("email", value)]
+
+
+def test_lines_without_a_cue_hold_nothing(tagger, monkeypatch):
+    """Reading every line finds no more than reading those with a cue."""
+    rng = random.Random(6)
+    parts = ["at", "At", "AT", "dot", "DOT", "(at)", "[At]", "(dot)", "[.]", ".", ".org", "jo", "sample", "sample.org",
+             "a-b", "é", "@", "7", "(512)", "555-0100", " ", " ", " ", "\t", "\r", "\u2003", "\n", ","]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 30))) for _ in range(4000)]
+    texts += [" ".join(rng.choices(parts[:20], k=rng.randint(3, 9))) for _ in range(4000)]
+    cued = personal.all_spans(texts, tagger)
+    monkeypatch.setattr(personal, "_CUE", re.compile(r"[^\n]"))
+    assert personal.all_spans(texts, tagger) == cued
+    assert sum(any(kind == "crf_email" for kind, *_ in spans) for _, spans in cued) > 30
+
+
+def test_cues_take_linear_time_on_long_runs():
+    for text in (" at " * 60_000, " at " + "a" * 200_000, " at" + " " * 200_000, " at a" * 60_000, " at a" + " " * 200_000):
+        assert list(personal._lines(text)) == []
+
+
 def test_held_out_lines(tagger):
     """Most spans of lines made with another seed, and next to nothing else."""
     found = wanted = false = 0

@@ -2,8 +2,8 @@
 
 The patterns find e-mail addresses, IP addresses, card numbers and phone numbers in their
 plain forms. A conditional random field over word shapes, trained from a small labelled
-table, reads every line that holds a digit, an at sign or ``(at)`` and tags the same four
-kinds in other forms: ``name (at) host (dot) org``, ``10[.]0[.]0[.]7``, ``4111.1111.1111.1111``,
+table, reads every line that can hold one of the four kinds (see ``_CUE``) and tags them in
+other forms: ``name (at) host (dot) org``, ``name at host dot org``, ``10[.]0[.]0[.]7``, ``4111.1111.1111.1111``,
 ``(512) 555-0100``. What it tags counts if it passes the same checks of digits as the
 plain form, and if no pattern has claimed a part of it; it is reported under the kinds
 ``crf_email``, ``crf_ip``, ``crf_card`` and ``crf_phone``, so pattern spans and tagged spans never
@@ -36,7 +36,13 @@ _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)++")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_CUE = re.compile(r"[0-9@]|[(\[](?:at|AT)[)\]]")
+#: Every value that ``_valid`` accepts holds one of these, so no line without them is tagged: a
+#: digit, an at sign, an at in brackets, or the word at before a host and some form of dot.
+_CUE = re.compile(
+    r"[0-9@]|[(\[]at[)\]]"
+    r"|[^\S\n]at[^\S\n]++[a-z0-9-]++(?:\.|[^\S\n]*+[(\[](?:dot|\.)[)\]]|[^\S\n]++dot[^\S\n])",
+    re.IGNORECASE,
+)
 
 
 def _emails(text: str) -> Iterator[Span]:
@@ -105,6 +111,8 @@ def _lines(text: str) -> Iterator[tuple[int, str]]:
         at = end
 
 
+_AT = re.compile(r"\s*[(\[]at[)\]]\s*|\s+at\s+", re.IGNORECASE)
+_DOT = re.compile(r"\s*[(\[](?:dot|\.)[)\]]\s*|\s+dot\s+", re.IGNORECASE)
 _FORMS = {
     "ip": re.compile(r"[0-9]+(?: ?[\[(]?\.[\])]? ?[0-9]+){3}"),
     "card": re.compile(r"[0-9](?:[ ./-]{0,3}[0-9])+"),
@@ -115,8 +123,8 @@ _FORMS = {
 def _valid(kind: str, value: str) -> bool:
     """The checks of the plain form, on the form that was tagged."""
     if kind == "email":
-        plain = re.sub(r"\s*[(\[](?:at|AT)[)\]]\s*|\s+(?:at|AT)\s+", "@", value)
-        plain = re.sub(r"\s*[(\[](?:dot|DOT|\.)[)\]]\s*|\s+(?:dot|DOT)\s+", ".", plain)
+        plain = _AT.sub("@", value)
+        plain = _DOT.sub(".", plain)
         return any(a == 0 and b == len(plain) for _, a, b in _emails(plain))
     if not _FORMS[kind].fullmatch(value):
         return False
