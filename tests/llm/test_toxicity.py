@@ -59,6 +59,20 @@ def test_score_is_noisy_or_of_the_sentences(corpus, scorer):
         assert "".join(text[a:b] for a, b in places) == text
 
 
+def test_length_alone_makes_nothing_toxic(docs, scorer):
+    base = 1 / (1 + np.exp(-toxicity.CONSTANT))
+    clean = "table\n" * 20_000
+    weak = toxicity.Scorer({"dolt$": 1.0})
+    assert scorer.score(clean) == pytest.approx(base)
+    assert weak.score(clean + "dolt") < 4 * base + base
+    chances = [p for _, _, p in weak.sentence_scores(clean + "dolt")]
+    assert weak.score(clean + "dolt") == pytest.approx(1 - np.prod([1 - p for p in chances]))
+    rows = [(1, clean, "en", "a", 1), (2, clean + INSULTS[0], "en", "a", 1)]
+    out = {r.doc_id: r for r in toxicity.score(docs(rows), scorer).collect()}
+    assert out[1].score == pytest.approx(base) and out[1].sentences == []
+    assert out[2].score >= toxicity.THRESHOLD and len(out[2].sentences) == 1
+
+
 def test_training_goes_downhill_to_the_labels():
     rng = np.random.default_rng(2)
     toxic = np.arange(40) % 2 == 0

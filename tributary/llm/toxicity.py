@@ -2,7 +2,8 @@
 
 A sentence scores by its words: the logistic of a constant plus the weights of the words in
 it. A word is known by itself and by its first letters, so that inflected forms share a
-weight. A document scores by noisy-or, one minus the chance that no sentence is toxic, and
+weight. Sentences without any known word share one constant among them, so that length alone
+adds nothing to a score. A document scores by noisy-or, one minus the chance that no sentence is toxic, and
 the weights are trained so that these document scores fit the labels of documents. Afterwards
 the sentence scores say where a document offends.
 
@@ -32,7 +33,8 @@ from tributary.llm.words import Memory
 SAMPLE_ROWS = 3000
 MOST_FEATURES = 20_000
 THRESHOLD = 0.7
-#: The constant of a sentence: without any known word its chance is one in some thousands.
+#: The constant of a sentence with known words, and of all those without any in a document
+#: together: one in some thousands.
 CONSTANT = -9.0
 #: A word is kept if so large a share of toxic sample documents has it (and at least
 #: three of them), and if it is so many times likelier there than in the others.
@@ -78,18 +80,21 @@ class Scorer:
                 found.append((word, weight))
         return tuple(found)
 
-    def _strength(self, sentence: str) -> float:
-        """Constant plus weights of the different words of a lower-case sentence."""
+    def _odds(self, sentence: str, of: int) -> float:
+        """Minus the log of the chance that a lower-case sentence, one ``of`` so many, is clean."""
         known = {pair for piece in sentence.split() for pair in self._memory[piece]}
-        return self.constant + sum(weight for _, weight in sorted(known))
+        if not known:
+            return float(np.logaddexp(0, self.constant)) / of
+        return float(np.logaddexp(0, self.constant + sum(weight for _, weight in sorted(known))))
 
     def sentence_scores(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, score) of each sentence."""
         if self._memory is None:
             self._memory = Memory(self._known)
+        places = sentences(text)
         return [
-            (start, end, float(1 / (1 + np.exp(-self._strength(text[start:end].lower())))))
-            for start, end in sentences(text)
+            (start, end, float(-np.expm1(-self._odds(text[start:end].lower(), len(places)))))
+            for start, end in places
         ]
 
     def score(self, text: str | None) -> float:
@@ -98,10 +103,11 @@ class Scorer:
         if self._memory is None:
             self._memory = Memory(self._known)
         if any(map(self._memory.__getitem__, set(text.lower().split()))):
-            z = np.array([self._strength(text[a:b].lower()) for a, b in sentences(text)])
-        else:  # no known word anywhere, and so the constant in every sentence
-            z = np.full(len(sentences(text)), self.constant)
-        return float(-np.expm1(-np.logaddexp(0, z).sum()))
+            places = sentences(text)
+            odds = sum(self._odds(text[a:b].lower(), len(places)) for a, b in places)
+        else:  # no known word anywhere, and so the whole constant
+            odds = np.logaddexp(0, self.constant)
+        return float(-np.expm1(-odds))
 
 
 def train(
@@ -118,7 +124,7 @@ def train(
 
     ``rows`` and ``columns`` pair a sentence with a feature in it; ``document`` is the
     document of each sentence and ``toxic`` the label of each document. Sentences without
-    features only add the constant, which no weight can change.
+    features take no part; what they share is far below the 0.001 that every document has.
     """
     w = np.full(size, 1.0)
     mean, square = np.zeros(size), np.zeros(size)
