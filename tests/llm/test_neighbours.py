@@ -78,6 +78,20 @@ def test_a_third_of_all_rows_is_one_vector(spark, monkeypatch):
     assert hits / (5 * len(wanted)) >= 0.9
 
 
+def test_isolated_queries_beside_a_dense_cluster(spark, monkeypatch):
+    """Nobody is near them, so their buckets are empty; they are compared with all vectors."""
+    monkeypatch.setattr(neighbours, "BOUND_ROWS", 20)
+    monkeypatch.setattr(neighbours, "tune", lambda *_: (12, 1))
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1200, 16)) * 0.02 + np.eye(16)[0]
+    x[::100] = rng.normal(size=(12, 16))
+    rows = rows_of(x.astype("f"))
+    got = found(neighbours.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0))
+    assert {q: [i for i, _ in near] for q, near in got.items()} == {
+        q: [i for i, _ in near] for q, near in plain(rows, 100).items()
+    }
+
+
 def test_odd_rows_take_no_part(spark):
     good = rows_of(np.eye(4) + 0.1)
     rows = [

@@ -15,8 +15,8 @@ block by block: both sides of a bucket are cut into blocks of bounded size, and
 blocks sends on only the best few of each query. Before that, every query is compared with
 ``BOUND_ROWS`` sampled vectors: the best of these are candidates like any other, and what is
 farther than the last of them cannot be among the nearest and is never sent on. A query
-that has met too few candidates, which takes a table smaller than the answer, is compared
-with all vectors, block by block in the same way.
+whose probed buckets hold too few candidates in every table, whatever the sample gave it, is
+compared with all vectors, block by block in the same way.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite numbers take
 no part, nor do rows without an id; rows that repeat an id and vector count once; vectors of
@@ -209,22 +209,29 @@ def _schema(rows: DataFrame, more: str) -> str:
 _KEY = ["tab", "bucket"]
 
 
-def _match(indexed: DataFrame, asking: DataFrame, most: int) -> DataFrame:
-    """(qid, qhash, vec_id, score): per pair of blocks the best ids of each query.
-
-    ``indexed`` has (tab, bucket, vec, ids), ``asking`` has (tab, bucket, vec, qid, qhash,
-    least); scores below ``least`` are left out.
-    """
+def _cells(indexed: DataFrame, asking: DataFrame) -> DataFrame:
+    """(tab, bucket, held, row_blocks, ask_blocks): buckets that are asked, the ids that they
+    hold, and the blocks of both sides."""
     blocks = lambda n: F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
-    rows = indexed.groupBy(*_KEY).agg(F.count("*").alias("rows"))
+    held = F.sum(F.size("ids")).alias("held")
+    rows = indexed.groupBy(*_KEY).agg(F.count("*").alias("rows"), held)
     asked = asking.groupBy(*_KEY).agg(F.count("*").alias("asked"))
-    cells = stored(
+    return stored(
         rows.join(asked, _KEY).select(
-            *_KEY, blocks("rows").alias("row_blocks"), blocks("asked").alias("ask_blocks")
+            *_KEY, "held", blocks("rows").alias("row_blocks"), blocks("asked").alias("ask_blocks")
         ),
         "cells",
     )
 
+
+def _match(indexed: DataFrame, asking: DataFrame, cells: DataFrame, most: int) -> DataFrame:
+    """(qid, qhash, vec_id, score): per pair of blocks the best ids of each query.
+
+    ``indexed`` has (tab, bucket, vec, ids), ``asking`` has (tab, bucket, vec, qid, qhash,
+    least), ``cells`` is of both; scores below ``least`` are left out.
+    """
+    cells = cells.drop("held")
+
     def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
         """Each row in one block of its side, once for every block of the other side."""
         return (
@@ -405,21 +412,36 @@ def nearest(
     asking = stored(_with_sample(asking, sample, most), "asking")
     at_once = asking.select("qid", "qhash", F.inline("best"))
     asking = asking.drop("best")
-    found = _match(
-        _with_keys(different, projections, tables, seed),
-        _with_probes(asking, projections, tables, looks, seed),
-        most,
-    ).unionByName(at_once)
-    met = found.groupBy("qid", "qhash", "vec_id").agg(F.max("score").alias("score"))
-    met = stored(_top(met, ["qid", "qhash"], most).drop("rank"), "met")
-    # Too few met: those queries look at everything of their length.
-    counts = met.groupBy("qid", "qhash").agg(F.count("*").alias("n"))
-    short = asking.join(counts, ["qid", "qhash"], "left").where(F.coalesce("n", F.lit(0)) < most)
+    query = ["qid", "qhash"]
+    indexed = _with_keys(different, projections, tables, seed)
+    probing = _with_probes(asking, projections, tables, looks, seed)
+    cells = _cells(indexed, probing)
+
+    def nearest_met(rows: DataFrame) -> DataFrame:
+        once = rows.groupBy(*query, "vec_id").agg(F.max("score").alias("score"))
+        return _top(once, query, most).drop("rank")
+
+    near = stored(nearest_met(_match(indexed, probing, cells, most)), "near")
+    # Of queries that have nothing to show for it, since scores below ``least`` were left out,
+    # those whose buckets hold too few ids in every table look at everything of their length.
+    counts = near.groupBy(*query).agg(F.count("*").alias("n"))
+    few_near = asking.join(counts, query, "left").where(F.coalesce("n", F.lit(0)) < most).drop("n")
+    enough = (
+        _with_probes(few_near.select("vec", *query), projections, tables, looks, seed)
+        .select(*query, *_KEY)
+        .join(cells, _KEY)
+        .groupBy(*query, "tab")
+        .agg(F.sum("held").alias("held"))
+        .where(F.col("held") >= most)
+    )
+    short = stored(few_near.join(enough, query, "left_anti"), "short")
     everything = lambda df: df.withColumn("tab", F.lit(-1)).withColumn(
         "bucket", F.octet_length("vec").cast("bigint")
     )
-    whole = _match(everything(different), everything(short.drop("n")), most)
-    met = met.join(short.select("qid", "qhash"), ["qid", "qhash"], "left_anti").unionByName(whole)
+    every, asked = everything(different), everything(short)
+    whole = _match(every, asked, _cells(every, asked), most)
+    met = nearest_met(near.unionByName(at_once))
+    met = met.join(short.select(*query), query, "left_anti").unionByName(whole)
     best = _top(met, ["qid", "qhash"], most).drop("rank")
     answers = (
         queries.withColumnRenamed("vec_id", "query_id")
