@@ -74,6 +74,26 @@ def test_held_out_documents_are_judged_right(spark, docs, corpus):
     assert kept.columns == docs(rows, clash=True).columns
 
 
+def test_thresholds_come_from_rows_outside_the_sample_too(spark, docs):
+    """Symbols are bad in the sample of 200, but good in as many documents outside it."""
+    rng = random.Random(4)
+    order = [r.id for r in spark.range(400).selectExpr("id", "xxhash64(42, id) h").orderBy("h").collect()]
+    rows, labels = [], []
+    for place, i in enumerate(order):
+        text = ". ".join(sentence(rng, 12) for _ in range(8))
+        if place % 8 == 0:
+            text = " ".join(w + "###" for w in text.split())
+        rows.append((i, text, "en", "a", len(text)))
+        labels.append((i, int(place % 8 > 0 or place >= 200)))
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    rules = quality.fit_rules(docs(rows), known, sample_rows=200)
+    judged = {r.doc_id: r.kept for r in quality.judge(docs(rows), rules).collect()}
+    assert all(judged[i] for i in order[200:])
+    rules = quality.fit_rules(docs(rows[:200]), known, sample_rows=200)
+    judged = {r.doc_id: r.kept for r in quality.judge(docs(rows), rules).collect()}
+    assert not any(judged[i] for i in order[::8])
+
+
 def test_edge_rows(spark, docs, corpus):
     rows, labels = corpus
     labels = [*labels, (None, 0), (7, None), (99_999, 1), (4, 1), (4, 1)]

@@ -3,8 +3,8 @@
 Every text is reduced to a few counts (``statistics``). Two base rules reject a document
 outright. For the others, isolation forests are fitted on the statistics of a bounded
 sample, one on each statistic and one on all of them: the fewer random cuts set a document
-apart, the higher its score. The score from which a forest rejects is calibrated on rows
-labelled good or bad, and a forest that finds no bad rows, or only together with good
+apart, the higher its score. The score from which a forest rejects is calibrated on all rows
+labelled good or bad, whose scores are summed in bins, and a forest that finds no bad rows, or only together with good
 ones, rejects nothing.
 
 Defined results: a null text is an empty one; an empty text has no words, fails the base
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.tables import batches, each_row, pick, sampled
+from tributary.llm.tables import batches, each_row, pick, sampled, stored
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -175,8 +175,10 @@ def fit_forest(x: np.ndarray, trees: int = 100, rows: int = 256, seed: int = 42)
     return Forest(feature, cut, path, max(rows, 2))
 
 
-#: Labelled documents from which forests and thresholds are made, at most.
+#: Labelled documents from which forests are made, at most.
 SAMPLE_ROWS = 8192
+#: Bins of scores from which the thresholds are made, for each forest.
+BINS = 1 << 14
 #: A threshold pays for each good document that it costs with this many bad ones.
 GOOD_WORTH = 50
 
@@ -195,30 +197,64 @@ class Rules:
         return out
 
 
-def _threshold(scores: np.ndarray, bad: np.ndarray) -> float:
-    """The score at which the bad rows caught outweigh the good rows lost most."""
-    order = np.argsort(-scores, kind="stable")
-    gain = np.cumsum(np.where(bad[order], 1, -GOOD_WORTH))
-    last = np.append(np.diff(scores[order]) != 0, True)  # equal scores fall together
-    gain = np.where(last, gain, 0)
+def _threshold(good: np.ndarray, bad: np.ndarray, low: np.ndarray, high: np.ndarray) -> float:
+    """The score at which the bad rows caught outweigh the good rows lost most.
+
+    Rows of both kinds, lowest and highest score of each bin that has rows, by falling score.
+    """
+    gain = np.cumsum(bad - GOOD_WORTH * good)
     at = int(np.argmax(gain)) if len(gain) else 0
     if not len(gain) or gain[at] <= 0:
         return np.inf
-    best = scores[order][at]
-    below = scores[scores < best]
-    return float((best + below.max()) / 2) if len(below) else float(best)
+    return float((low[at] + high[at + 1]) / 2) if at + 1 < len(gain) else float(low[at])
 
 
-def fit(counts: np.ndarray, bad: np.ndarray, seed: int = 42) -> Rules:
-    judged = ~base_failed(counts) if len(counts) else np.zeros(0, bool)
-    counts, bad = counts[judged], bad[judged]
-    if not bad.any() or bad.all():
-        return Rules([])
+def fit_forests(counts: np.ndarray, seed: int = 42) -> list[tuple[list[int], Forest]]:
+    """A forest on each statistic and one on all of them."""
+    if not len(counts):
+        return []
     x = features(counts)
+    every = list(range(x.shape[1]))
+    return [
+        (columns, fit_forest(x[:, columns], seed=seed)) for columns in [*([i] for i in every), every]
+    ]
+
+
+def calibrated(labelled: DataFrame, forests: list[tuple[list[int], Forest]]) -> Rules:
+    """The forests with thresholds from all labelled rows, (counts, bad)."""
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        x = features(np.stack([part.column(name).to_numpy() for name in COUNTS], axis=1))
+        bad = part.column("bad").to_numpy(zero_copy_only=False).astype(bool)
+        out = []
+        for i, (columns, forest) in enumerate(forests):
+            scores = forest.scores(x[:, columns])
+            bins, at = np.unique((scores * BINS).astype(np.int64), return_inverse=True)
+            low, high = np.full(len(bins), np.inf), np.full(len(bins), -np.inf)
+            np.minimum.at(low, at, scores)
+            np.maximum.at(high, at, scores)
+            n = [np.bincount(at[own], minlength=len(bins)) for own in (~bad, bad)]
+            out.append([np.full(len(bins), i), bins, *n, low, high])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(column)) for column in zip(*out, strict=True)],
+            ["part", "bin", "good", "bad", "low", "high"],
+        )
+
+    kind = "part bigint, bin bigint, good bigint, bad bigint, low double, high double"
+    rows = (
+        batches(labelled.select(*COUNTS, "bad"), work, kind)
+        .groupBy("part", "bin")
+        .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"),
+             F.min("low").alias("low"), F.max("high").alias("high"))
+        .toPandas()
+        .sort_values("bin", ascending=False)
+    )
     parts = []
-    for columns in [*([i] for i in range(x.shape[1])), list(range(x.shape[1]))]:
-        forest = fit_forest(x[:, columns], seed=seed)
-        threshold = _threshold(forest.scores(x[:, columns]), bad)
+    for i, (columns, forest) in enumerate(forests):
+        own = rows[rows["part"] == i]
+        if not own["good"].sum() or not own["bad"].sum():
+            return Rules([])
+        threshold = _threshold(*(own[name].to_numpy() for name in ("good", "bad", "low", "high")))
         if np.isfinite(threshold):
             parts.append((columns, forest, threshold))
     return Rules(parts)
@@ -239,32 +275,28 @@ def _columns(counts: np.ndarray) -> list[pa.Array]:
 def fit_rules(
     docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 42
 ) -> Rules:
-    """Rules from at most ``sample_rows`` labelled documents, chosen by a hash of their id."""
+    """Rules with forests from at most ``sample_rows`` labelled documents, chosen by a hash of
+    their id, and thresholds from all of them."""
     order = F.xxhash64(F.lit(seed), "doc_id")
-    ids = (
+    known = (
         pick(labels, doc_id="bigint", quality="int")
         .where("doc_id is not null and quality is not null")
         .groupBy("doc_id")
         .agg((F.min("quality") == 0).alias("bad"))
     )
-    ids = sampled(ids, order, sample_rows)
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        own = _columns(_counts(part.column("text")))
-        return pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), *own, part.column("bad")], [*("doc_id", *COUNTS), "bad"]
+        counts = _counts(part.column("text"))
+        rows = pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), *_columns(counts)], ["doc_id", *COUNTS]
         )
+        return rows.filter(pa.array(~base_failed(counts)))
 
-    texts = pick(docs, doc_id="bigint", text="string").join(F.broadcast(ids), "doc_id")
-    sample = (
-        batches(texts, work, _STATS + ", bad boolean")
-        .orderBy(order, "doc_id", *COUNTS)
-        .limit(sample_rows)
-        .toPandas()
-    )
-    return fit(
-        sample[list(COUNTS)].to_numpy(np.int64), sample["bad"].to_numpy(bool), seed
-    )
+    # Texts become counts before the join, so that no text is shuffled.
+    texts = pick(docs, doc_id="bigint", text="string").where("doc_id is not null")
+    labelled = stored(batches(texts, work, _STATS).join(known, "doc_id"), "labelled")
+    sample = sampled(labelled, order, sample_rows).toPandas()
+    return calibrated(labelled, fit_forests(sample[list(COUNTS)].to_numpy(np.int64), seed))
 
 
 def judge(docs: DataFrame, rules: Rules) -> DataFrame:
