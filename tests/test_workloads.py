@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from workloads import ORACLE, QUERIES
+from workloads import ORACLE, QUERIES, models
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -38,3 +38,14 @@ def test_query_matches_sql(spark, duck, name):
     assert sorted(df.columns) == sorted(names)
     got = sorted(repr(tuple(row)) for row in df.select(*[f"`{n}`" for n in names]).collect())
     assert got == sorted(repr(row) for row in expected.fetchall())
+
+
+def test_every_day_has_its_table(spark):
+    before = {row.namespace for row in spark.sql("show databases like 'daily_*'").collect()}
+    QUERIES["event_scan_tables"](spark, SF)
+    after = {row.namespace for row in spark.sql("show databases like 'daily_*'").collect()}
+    (schema,) = after - before
+    names = {row.tableName for row in spark.sql(f"show tables in {schema}").collect()}
+    days = models.records(spark, SF).where("event_date is not null").select("event_date")
+    assert names == {f"events_{row.event_date}" for row in days.distinct().collect()}
+    assert len(names) > 9
