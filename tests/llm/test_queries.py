@@ -22,6 +22,9 @@ COLUMNS = {
     "op8": "doc_id fingerprint component_id",
     "op9": "doc_id size source_size target taken",
     "op10": "page_id payload_bytes payload_digest record_type refers_to",
+    "op11": "page_id url text n_chars",
+    "op12": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
+    "op13": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
 }
 
 

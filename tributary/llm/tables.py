@@ -12,7 +12,8 @@ from pyspark.sql.types import StructType
 from tributary.sources.scratch import stored
 
 __all__ = [
-    "as_rows", "batches", "each_row", "from_rows", "pick", "place", "read", "sampled", "stored",
+    "as_rows", "batches", "each_row", "from_rows", "pick", "place", "read", "sampled",
+    "skew_join", "stored",
 ]
 
 
@@ -82,6 +83,29 @@ def sampled(df: DataFrame, by: Column, rows: int) -> DataFrame:
     return place.orderBy("__by", *df.columns).limit(rows).drop("__by")
 
 
+def skew_join(rows: DataFrame, small: DataFrame, key: str, share: int = 512) -> DataFrame:
+    """``rows`` with the columns of ``small``, which has one row a key; null where there is none.
+
+    Keys that hold more than one in ``share`` of all rows, fewer than ``share`` of them
+    whatever the input, are broadcast, and their rows stay where they are. All other keys
+    go through a shuffle, in which none is large. ``rows`` should be a stored table: it is
+    counted first. Rows without a key stay where they are too.
+    """
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
+    counts = stored(counts, "keys")
+    limit = (counts.agg(F.sum("__n")).first()[0] or 0) / share
+    large = counts.where(F.col("__n") > limit).select(key, F.lit(True).alias("__large"))
+    marked = rows.join(F.broadcast(large), key, "left")
+    stay = F.col("__large").isNotNull() | F.col(key).isNull()
+    few = small.join(F.broadcast(large), key, "left_semi")
+    return (
+        marked.where(stay)
+        .join(F.broadcast(few), key, "left")
+        .unionByName(marked.where(~stay).join(small, key, "left"))
+        .drop("__large")
+    )
+
+
 def each_row(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch]
 ) -> DataFrame:
