@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm import (
     filter_audit,
+    html_text,
     mixing,
     neighbours,
     packing,
@@ -148,6 +149,11 @@ FROM q
 """
 
 
+@query
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(read(spark, sf_dir, "pages"))
+
+
 @query
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,9 @@ __all__ = [
     "skew_join", "stored",
 ]
 
+# Keys with more than one in so many rows are dealt over so many slices.
+_SHARE, _SLICES = 512, 64
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -83,27 +88,36 @@ def sampled(df: DataFrame, by: Column, rows: int) -> DataFrame:
     return place.orderBy("__by", *df.columns).limit(rows).drop("__by")
 
 
-def skew_join(rows: DataFrame, small: DataFrame, key: str, share: int = 512) -> DataFrame:
+def skew_join(
+    rows: DataFrame, small: DataFrame, on: str | list[str], counts: DataFrame | None = None
+) -> DataFrame:
     """``rows`` with the columns of ``small``, which has one row a key; null where there is none.
 
-    Keys that hold more than one in ``share`` of all rows, fewer than ``share`` of them
-    whatever the input, are broadcast, and their rows stay where they are. All other keys
-    go through a shuffle, in which none is large. ``rows`` should be a stored table: it is
-    counted first. Rows without a key stay where they are too.
+    A key that holds more than one in 512 of all rows is dealt over 64 slices, with a copy
+    of its row of ``small`` in each; there are fewer than 512 such keys whatever the input,
+    and only these are broadcast. Rows without a key are dealt over the slices too.
+    ``counts`` has the keys with the number of their rows, ``n``; without it ``rows``, which
+    should be a stored table then, is counted first. The order of ``rows`` within tasks must
+    not change from run to run.
     """
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
-    counts = stored(counts, "keys")
-    limit = (counts.agg(F.sum("__n")).first()[0] or 0) / share
-    large = counts.where(F.col("__n") > limit).select(key, F.lit(True).alias("__large"))
-    marked = rows.join(F.broadcast(large), key, "left")
-    stay = F.col("__large").isNotNull() | F.col(key).isNull()
-    few = small.join(F.broadcast(large), key, "left_semi")
-    return (
-        marked.where(stay)
-        .join(F.broadcast(few), key, "left")
-        .unionByName(marked.where(~stay).join(small, key, "left"))
-        .drop("__large")
+    keys = [on] if isinstance(on, str) else on
+    if counts is None:
+        counts = stored(rows.groupBy(*keys).agg(F.count("*").alias("n")), "keys")
+    full = reduce(and_, (F.col(key).isNotNull() for key in keys))
+    counts = counts.where(full).groupBy(*keys).agg(F.sum("n").alias("n"))
+    limit = (counts.agg(F.sum("n")).first()[0] or 0) / _SHARE
+    large = F.broadcast(counts.where(F.col("n") > limit).select(*keys, F.lit(True).alias("__large")))
+    dealt = F.col("__large").isNotNull() | ~full
+    line = F.monotonically_increasing_id()
+    left = rows.withColumn("__line", line).join(large, keys, "left")
+    left = left.withColumn("__slice", F.when(dealt, F.col("__line") % _SLICES).otherwise(0))
+    copies = F.when(F.col("__large"), F.sequence(F.lit(0), F.lit(_SLICES - 1)))
+    right = small.join(large, keys, "left").withColumn(
+        "__slice", F.explode(F.coalesce(copies, F.array(F.lit(0)))).cast("bigint")
     )
+    return left.drop("__line", "__large").join(
+        right.drop("__large"), [*keys, "__slice"], "left"
+    ).drop("__slice")
 
 
 def each_row(
