@@ -160,9 +160,9 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Blocks are joined by line feeds in page order. A null page has an empty text. Pages
     without a host, and pages of hosts whose pages all bear one title, are read without a
-    template; so are pages on which it would take away more than half of the text: their
-    host's pages say the same as one another and not around one another. Rows that repeat
-    are read each. Needs page_id, url and html; other columns are ignored.
+    template; so are pages of which it would leave nothing: such pages are copies of one
+    another. Rows that repeat are read each. Needs page_id, url and html; other columns are
+    ignored.
     """
     shapes, template = induce(pages)
     rows = pick(pages, page_id="bigint", url="string", html="string").select(
@@ -171,7 +171,6 @@ def main_text(pages: DataFrame) -> DataFrame:
     rows = skew_join(
         rows.mapInArrow(_texts, _TEXTS), template, ["host", "shape_id"], counts=shapes
     )
-    text = F.col("texts")
     slots = F.transform(
         F.filter(
             F.arrays_zip("places", "texts"),
@@ -179,13 +178,7 @@ def main_text(pages: DataFrame) -> DataFrame:
         ),
         lambda block: block["texts"],
     )
-
-    def size(blocks: Column) -> Column:
-        return F.length(F.array_join(blocks, ""))
-
-    kept = F.when(
-        F.col("template").isNotNull() & (2 * size(F.col("slots")) >= size(text)), F.col("slots")
-    ).otherwise(text)
     rows = rows.withColumn("slots", F.when(F.col("template").isNotNull(), slots))
+    kept = F.when(F.size("slots") > 0, F.col("slots")).otherwise(F.col("texts"))
     rows = rows.select("page_id", "url", F.array_join(kept, "\n").alias("text"))
     return rows.withColumn("n_chars", F.length("text").cast("bigint"))

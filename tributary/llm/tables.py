@@ -111,9 +111,9 @@ def skew_join(
     line = F.monotonically_increasing_id()
     left = rows.withColumn("__line", line).join(large, keys, "left")
     left = left.withColumn("__slice", F.when(dealt, F.col("__line") % _SLICES).otherwise(0))
-    copies = F.when(F.col("__large"), F.sequence(F.lit(0), F.lit(_SLICES - 1)))
+    last = F.when(F.col("__large"), _SLICES - 1).otherwise(0).cast("bigint")
     right = small.join(large, keys, "left").withColumn(
-        "__slice", F.explode(F.coalesce(copies, F.array(F.lit(0)))).cast("bigint")
+        "__slice", F.explode(F.sequence(F.lit(0).cast("bigint"), last))
     )
     return left.drop("__line", "__large").join(
         right.drop("__large"), [*keys, "__slice"], "left"
