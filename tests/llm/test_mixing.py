@@ -50,7 +50,38 @@ def test_small_budgets_are_fitted_as_well_as_can_be():
         assert (knapsack * lengths).sum() == best
         take = mixing.fit_counts(lengths, counts, budget)
         assert (take <= counts).all() and (take >= 0).all()
-        assert (take * lengths).sum() <= budget
+        assert (take * lengths).sum() == best
+
+
+def best_sum(lengths, counts, budget):
+    """Largest sum up to the budget, by the bits of one integer."""
+    reached = 1
+    for length, n in zip(lengths.tolist(), counts.tolist(), strict=True):
+        many = 1
+        while n > 0:
+            many = min(many, n)
+            reached |= reached << length * many
+            n -= many
+            many *= 2
+    return (reached & ((1 << budget + 1) - 1)).bit_length() - 1
+
+
+def test_a_budget_that_shares_alone_would_miss():
+    take = mixing.fit_counts(np.array([4, 7]), np.array([10, 1]), 7)
+    assert take.tolist() == [0, 1]
+
+
+@pytest.mark.parametrize("longest", [300, 3000, 200_000])
+def test_sums_are_the_best_there_are(longest):
+    """Small supplies, and budgets both below and above the width that is fitted at once."""
+    rng = np.random.default_rng(longest)
+    for _ in range(60):
+        lengths = np.unique(rng.integers(1, longest, rng.integers(1, 12)))
+        counts = rng.integers(1, 9, len(lengths))
+        budget = int(rng.integers(0, (lengths * counts).sum() + 1))
+        take = mixing.fit_counts(lengths, counts, budget)
+        assert (take <= counts).all() and (take >= 0).all()
+        assert (take * lengths).sum() == best_sum(lengths, counts, budget)
 
 
 def test_large_budgets_are_met_exactly():

@@ -34,8 +34,10 @@ from tributary.llm.tables import as_rows, batches, from_rows, pick, place, store
 #: Weights given to the sources in turn.
 WEIGHTS = (1.0, 2.0, 3.0)
 MAX_TIMES = 3
-#: Widest budget that the dynamic programme fills; larger rests are first filled greedily.
+#: Words that the dynamic programme fits at first, and at least.
 FIT_WIDTH = 1 << 16
+#: Widest table of the dynamic programme, and most of its cells that are looked at, about.
+MOST_WIDTH, MOST_CELLS = 1 << 24, 1 << 31
 #: Documents of one source and length that are put in order by one task, about.
 SLICE_ROWS = 250
 
@@ -70,36 +72,66 @@ def targets(
 
 def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many of each length to take, so that the sum comes as near to ``budget`` from
-    below as can be."""
-    take = np.zeros(len(lengths), np.int64)
+    below as can be.
+
+    Every length first gives its share, and the dynamic programme fits the rest from what is
+    left. Where that misses the budget, shares are given back and fitted anew: all of them, so
+    that the result is the best there is, if the table is as wide as the budget. It is for
+    budgets up to ``FIT_WIDTH``, and up to ``MOST_WIDTH`` as long as lengths are few, which is
+    when shares alone miss; else it is several times as wide as the longest document.
+    """
     whole = int((lengths * counts).sum())
     if budget >= whole:
         return counts.copy()
     if budget <= 0:
-        return take
-    exact = counts * (budget / whole)
-    take = np.minimum(np.floor(exact).astype(np.int64), counts)
+        return np.zeros(len(lengths), np.int64)
+    best = _filled(lengths, counts, _shares(lengths, counts, budget / whole), budget, FIT_WIDTH)
+    missed = budget - int((best * lengths).sum())
+    if missed:
+        bundles = int(np.ceil(np.log2(counts[counts > 0] + 1)).sum())
+        least = max(FIT_WIDTH, 4 * int(lengths.max()))
+        width = min(max(least, MOST_CELLS // bundles), MOST_WIDTH, budget)
+        # Smaller shares leave open what is given back; one word more for what is cut off.
+        share = max(budget - width, 0) / whole
+        other = _filled(lengths, counts, _shares(lengths, counts, share), budget, width)
+        if budget - int((other * lengths).sum()) < missed:
+            return other
+    return best
+
+
+def _shares(lengths: np.ndarray, counts: np.ndarray, share: float) -> np.ndarray:
+    """The same share of every length, cut off to whole documents."""
+    return np.minimum(np.floor(counts * share).astype(np.int64), counts)
+
+
+def _filled(
+    lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int, width: int
+) -> np.ndarray:
+    """``take`` and what else fits the budget, the last ``width`` words as well as can be."""
+    take = take.copy()
     rest = budget - int((take * lengths).sum())
     while rest < 0:  # rounding of a huge product
         i = int(np.flatnonzero(take)[-1])
         take[i] -= 1
         rest += int(lengths[i])
-    # Largest remainders first, until the rest is narrow enough to be fitted exactly.
-    for i in np.lexsort((lengths, -(exact - take))):
-        if rest <= FIT_WIDTH:
+    # One more of each length, the scarcest first, until the rest can be fitted exactly.
+    left = counts - take
+    for i in np.lexsort((lengths, left)):
+        if rest <= width:
             break
-        if take[i] < counts[i] and lengths[i] <= rest:
+        if left[i] and lengths[i] <= rest:
             take[i] += 1
             rest -= int(lengths[i])
-    while rest > FIT_WIDTH:
+    while rest > width:
         fits = np.flatnonzero((take < counts) & (lengths <= rest))
         if not len(fits):
             break
         i = fits[-1]
-        more = min(int(counts[i] - take[i]), rest // int(lengths[i]))
+        more = min(int(counts[i] - take[i]), -(-(rest - width) // int(lengths[i])))
+        more = min(more, rest // int(lengths[i]))
         take[i] += more
         rest -= more * int(lengths[i])
-    return take + _knapsack(lengths, counts - take, min(rest, FIT_WIDTH))
+    return take + _knapsack(lengths, counts - take, min(rest, width))
 
 
 def _knapsack(lengths: np.ndarray, supply: np.ndarray, budget: int) -> np.ndarray:
@@ -108,10 +140,13 @@ def _knapsack(lengths: np.ndarray, supply: np.ndarray, budget: int) -> np.ndarra
     first = np.full(budget + 1, -1, np.int64)  # the bundle that reached a sum first
     first[0] = -2
     bundles: list[tuple[int, int]] = []  # (length, how many), powers of two make every count
-    for i in np.flatnonzero((supply > 0) & (lengths <= budget))[::-1]:
+    usable = np.flatnonzero((supply > 0) & (lengths > 0) & (lengths <= budget))
+    # No sum comes nearer than the last multiple of what divides all lengths.
+    top = budget - budget % int(np.gcd.reduce(lengths[usable])) if len(usable) else 0
+    for i in usable[::-1]:
         left = min(int(supply[i]), budget // int(lengths[i]))
         many = 1
-        while left > 0 and first[budget] == -1:
+        while left > 0 and first[top] == -1:
             many = min(many, left)
             size = many * int(lengths[i])
             new = np.flatnonzero((first[:-size] != -1) & (first[size:] == -1)) + size
@@ -119,7 +154,7 @@ def _knapsack(lengths: np.ndarray, supply: np.ndarray, budget: int) -> np.ndarra
             bundles.append((int(i), many))
             left -= many
             many *= 2
-        if first[budget] != -1:
+        if first[top] != -1:
             break
     at = int(np.flatnonzero(first != -1)[-1])
     while at:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.tables import batches, each_row, pick, sampled, stored
+from tributary.llm.tables import batches, each_row, pick, place, sampled, stored
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -276,7 +276,11 @@ def fit_rules(
     docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 42
 ) -> Rules:
     """Rules with forests from at most ``sample_rows`` labelled documents, chosen by a hash of
-    their id, and thresholds from all of them."""
+    their id, and thresholds from all of them.
+
+    Rows that repeat an id and its counts are one document, however many they are; of rows
+    that repeat an id with other counts one is in the sample and all count for thresholds.
+    """
     order = F.xxhash64(F.lit(seed), "doc_id")
     known = (
         pick(labels, doc_id="bigint", quality="int")
@@ -294,8 +298,9 @@ def fit_rules(
 
     # Texts become counts before the join, so that no text is shuffled.
     texts = pick(docs, doc_id="bigint", text="string").where("doc_id is not null")
-    labelled = stored(batches(texts, work, _STATS).join(known, "doc_id"), "labelled")
-    sample = sampled(labelled, order, sample_rows).toPandas()
+    labelled = stored(batches(texts, work, _STATS).distinct().join(known, "doc_id"), "labelled")
+    one_each = labelled.groupBy("doc_id").agg(F.min(F.struct(*COUNTS)).alias("counts"))
+    sample = sampled(one_each.select("doc_id", "counts.*"), order, sample_rows).toPandas()
     return calibrated(labelled, fit_forests(sample[list(COUNTS)].to_numpy(np.int64), seed))
 
 
@@ -323,8 +328,9 @@ def judge(docs: DataFrame, rules: Rules) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: Rules) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
+    text = int(place(docs, "text")[1:])
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        return part.filter(pa.array(~rules.rejects(_counts(part.column("text")))))
+        return part.filter(pa.array(~rules.rejects(_counts(part.column(text)))))
 
     return each_row(docs, work)

@@ -2,9 +2,15 @@
 
 Documents are points with one coordinate for each piece of metadata. A node holding more than
 one shard is split along the dimension in which its points spread widest, at the weighted median
-of their bytes, until every leaf is one shard. Documents of equal text are one point as long as
-they are light, so copies stay together; a group that weighs more than ``GROUP_SHARE`` of a
-shard, and more than the longest document, is taken apart, since it could not be balanced.
+of their bytes, until every leaf is one shard. Languages and sources lie in order, each as wide
+as its share of all bytes.
+
+Documents of equal text are one point, so copies stay together. A group that weighs more than
+``HEAVY`` of a shard would leave a median no even choice. Such groups, fewer than 100 a shard,
+are first packed, each whole, into as many boxes as there are shards, no box heavier than a
+shard; a box is dealt to a side by its place, no side gets more boxes than shards, and the
+median is that of the light points which fill up what the boxes leave. Only a group that is
+heavier than a shard is cut, into as few pieces as it needs, and one that no box has room for.
 
 Medians are found by counting, never by collecting: a coordinate and a hash that settles ties
 make a number of 62 bits, and each round sums the bytes of every node by the next few bits of
@@ -19,7 +25,7 @@ ignored.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +33,10 @@ from pyspark.sql import functions as F
 from tributary.llm.tables import pick, stored
 
 SHARDS = 16
-GROUP_SHARE = 0.05
+#: Groups heavier than this share of a shard are packed one by one.
+HEAVY = 0.01
+#: Values of lang or source with less than one part in so many of all bytes lie by their hash.
+VALUES = 4096
 #: Bits settled in one round.
 STEP = 10
 #: A median is settled when the undecided bytes are at most this share of a shard.
@@ -36,11 +45,15 @@ _BITS = 31
 #: Rows of a shard that one task numbers, about.
 SLICE_ROWS = 5000
 
+#: Coordinates of a point, each from 0 to 2**31 - 1.
+DIMENSIONS = ("lang", "source", "length", "age")
+
 
 def documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, size, text_crc32, text_hash and metadata) of each document.
+    """(doc_id, row, size, text_crc32, point and metadata) of each document.
 
-    ``row`` is a number of the row's own, and the copy of its table is to be stored.
+    ``row`` is a number of the row's own, and the copy of its table is to be stored. ``point``
+    is the same for equal texts.
     """
     texts = pick(docs, doc_id="bigint", text="string", lang="string", source="string")
     return texts.select(
@@ -48,46 +61,43 @@ def documents(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
-        *[_code(F.col(name)).alias(f"{name}_code") for name in ("lang", "source")],
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("point"),
+        "lang",
+        "source",
     )
 
 
-def _code(text: Column) -> Column:
-    """Text as a number that keeps equal texts equal; null is 0."""
-    return F.coalesce(F.pmod(F.xxhash64(text), F.lit(2**_BITS - 1)) + 1, F.lit(0))
-
-
-#: Coordinates of a point, each from 0 to 2**31 - 1.
-DIMENSIONS = ("lang", "source", "length", "age")
-
-
-def with_points(rows: DataFrame, target: float) -> DataFrame:
-    """Adds ``point`` to the stored documents, the same for equal texts unless they are heavy."""
-    longest = rows.agg(F.max("size").alias("size")).first().size or 0
-    heavy = (
-        rows.groupBy("text_hash")
-        .agg(F.sum("size").alias("whole"))
-        .where(F.col("whole") > max(GROUP_SHARE * target, longest))
-        .select("text_hash", F.lit(True).alias("heavy"))
-    )  # fewer than shards / GROUP_SHARE groups can be so heavy
-    apart = F.xxhash64("text_hash", "row")
+def _with_code(rows: DataFrame, name: str, total: int) -> DataFrame:
+    """Adds the place of a text column's value: the share of bytes of smaller values and half
+    its own. Values too light to tell come last, by their hash."""
+    weights = rows.groupBy(name).agg(F.sum("size").alias("bytes"))
+    told = weights.where((F.col("bytes") >= total / VALUES) | F.col(name).isNull()).collect()
+    before, codes = 0, []
+    for row in sorted(told, key=lambda r: (r[name] is not None, r[name] or "")):
+        codes.append((row[name], int((before + row.bytes / 2) / max(total, 1) * (2**_BITS - 1))))
+        before += row.bytes
+    table = rows.sparkSession.createDataFrame(codes, "value string, code bigint")
+    spread = F.pmod(F.xxhash64(name), F.lit(2**_BITS)) * F.lit((total - before) / max(total, 1))
+    other = (F.lit(before / max(total, 1) * (2**_BITS - 1)) + spread).cast("bigint")
     return (
-        rows.join(F.broadcast(heavy), "text_hash", "left")
-        .withColumn("point", F.when(F.col("heavy"), apart).otherwise(F.col("text_hash")))
-        .drop("heavy")
+        rows.join(F.broadcast(table), F.col(name).eqNullSafe(F.col("value")), "left")
+        .withColumn(f"{name}_code", F.coalesce("code", F.least(other, F.lit(2**_BITS - 1))))
+        .drop("value", "code")
     )
 
 
-def points(rows: DataFrame) -> DataFrame:
-    """(point, tie, bytes, one column for each dimension) of documents with points."""
+def points(rows: DataFrame, total: int) -> DataFrame:
+    """(point, tie, bytes, rows, one column for each dimension) of the stored documents."""
     span = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
     low, high = span.low or 0, span.high or 0
     top = 2**_BITS - 1
     age = (F.coalesce("doc_id", F.lit(low)) - low) / F.lit(float(max(high - low, 1)))
     length = F.least(F.log2(F.col("size").cast("double")) / 40, F.lit(1.0))
+    for name in ("lang", "source"):
+        rows = _with_code(rows, name, total)
     grouped = rows.groupBy("point").agg(
         F.sum("size").alias("bytes"),
+        F.count("*").alias("rows"),
         F.min("lang_code").alias("lang"),
         F.min("source_code").alias("source"),
         F.max((length * top).cast("bigint")).alias("length"),
@@ -96,6 +106,57 @@ def points(rows: DataFrame) -> DataFrame:
     return grouped.withColumn("tie", F.pmod(F.xxhash64("point"), F.lit(2**_BITS)))
 
 
+@dataclass
+class Box:
+    """Heavy groups that share a shard."""
+
+    load: int = 0
+    #: (point, rows of it), the heaviest first.
+    parts: list[tuple[int, int]] = field(default_factory=list)
+    #: Coordinates of the heaviest group.
+    at: dict[str, int] = field(default_factory=dict)
+
+
+def packed(groups: list, shards: int, total: int) -> list[Box]:
+    """Boxes for heavy groups (point, bytes, rows, coordinates), no more than shards.
+
+    Each group goes whole into the fullest box with room for it. A group heavier than a box
+    first fills empty ones; a group that fits nowhere is cut among those with most room.
+    """
+    # Single texts heavier than a shard leave less for the others.
+    room, boxes = total / max(shards, 1), [Box() for _ in range(shards)]
+    texts = sorted((g.bytes // g.rows for g in groups for _ in range(min(g.rows, shards))), reverse=True)
+    rest, open_ = total, shards
+    for size in texts:
+        if open_ < 2 or size <= rest / open_:
+            break
+        rest, open_ = rest - size, open_ - 1
+        room = rest / open_
+
+    def put(box: Box, group, rows: int) -> None:
+        if not box.parts:
+            box.at = {name: group[name] for name in DIMENSIONS}
+        box.parts.append((group.point, rows))
+        box.load += rows * (group.bytes // group.rows)
+
+    for group in sorted(groups, key=lambda g: (-g.bytes, g.point)):
+        size, left = group.bytes // group.rows, group.rows
+        while left * size > room and (empty := [box for box in boxes if not box.parts]):
+            rows = min(left, max(1, int(room // size)))
+            put(empty[0], group, rows)
+            left -= rows
+        fits = [box for box in boxes if box.load + left * size <= room]
+        if left and fits:
+            put(max(fits, key=lambda box: box.load), group, left)
+            left = 0
+        while left:
+            box = min(boxes, key=lambda box: box.load)
+            rows = min(left, max(1, int((room - box.load) // size)))
+            put(box, group, rows)
+            left -= rows
+    return [box for box in boxes if box.parts]
+
+
 @dataclass
 class Split:
     node: int
@@ -113,9 +174,9 @@ def _number(splits: dict[int, str]) -> Column:
 
 
 def _medians(
-    points: DataFrame, wide: dict[int, str], share: dict[int, float], target: float
+    points: DataFrame, wide: dict[int, str], wanted: dict[int, float], target: float
 ) -> list[Split]:
-    """The cut of each node after ``share`` of its bytes."""
+    """The cut of each node that leaves ``wanted`` of its bytes to the left."""
     total = 2 * _BITS
     placed = points.select("node", "bytes", _number(wide).alias("number")).where(
         "number is not null"
@@ -123,8 +184,6 @@ def _medians(
     prefix = dict.fromkeys(wide, 0)  # settled bits of the cut
     before = dict.fromkeys(wide, 0.0)  # bytes left of what is settled
     open_ = set(wide)
-    weights = points.groupBy("node").agg(F.sum("bytes").alias("bytes")).collect()
-    sums = {row.node: row.bytes for row in weights}
     done: dict[int, int] = {}
     used = 0
     while open_ and used < total:
@@ -145,7 +204,7 @@ def _medians(
         used += step
         for node in list(open_):
             own = sorted((row.bin, row.bytes) for row in bins if row.node == node)
-            want = share[node] * sums[node]
+            want = wanted[node]
             for bin_, size in own:
                 if before[node] + size >= want or bin_ == own[-1][0]:
                     break
@@ -159,23 +218,43 @@ def _medians(
     return [Split(node, wide[node], done[node]) for node in wide]
 
 
-def assign(points: DataFrame, shards: int, target: float) -> DataFrame:
-    """(point, shard): the leaf of each point."""
-    holds = {0: (0, shards)}  # node -> first shard and number of shards
+def assign(
+    points: DataFrame, boxes: list[Box], shards: int, target: float
+) -> tuple[DataFrame, list[int]]:
+    """(point, shard) of the light points, and the shard of each box."""
+    holds = {0: (0, shards, list(range(len(boxes))))}  # node -> first shard, shards, boxes
     points = points.withColumn("node", F.lit(0))
-    while any(n > 1 for _, n in holds.values()):
-        open_ = [node for node, (_, n) in holds.items() if n > 1]
+    while any(n > 1 for _, n, _ in holds.values()):
         spread = points.groupBy("node").agg(
-            *[(F.max(name) - F.min(name)).alias(name) for name in DIMENSIONS]
-        )
-        spread = {row.node: row for row in spread.collect()}
-        wide = {
-            node: max(DIMENSIONS, key=lambda name: spread[node][name])
-            for node in open_
-            if node in spread
-        }
-        share = {node: (holds[node][1] // 2) / holds[node][1] for node in wide}
-        splits = _medians(points, wide, share, target)
+            F.sum("bytes").alias("bytes"),
+            *[F.struct(F.min(name).alias("low"), F.max(name).alias("high")).alias(name)
+              for name in DIMENSIONS],
+        )
+        light = {row.node: row for row in spread.collect()}
+        wide, wanted, after = {}, {}, {}
+        for node, (first, n, own) in holds.items():
+            if n == 1:
+                after[node] = (first, n, own)
+                continue
+
+            def width(name: str, node: int = node, own: list[int] = own) -> int:
+                ends = [boxes[i].at[name] for i in own]
+                if node in light:
+                    ends += [light[node][name].low, light[node][name].high]
+                return max(ends, default=0) - min(ends, default=0)
+
+            name = max(DIMENSIONS, key=width)
+            left, right = n // 2, n - n // 2
+            own = sorted(own, key=lambda i: (boxes[i].at[name], boxes[i].parts[0]))
+            many = min(max(round(len(own) * left / n), len(own) - right), left)
+            after[2 * node + 1] = (first, left, own[:many])
+            after[2 * node + 2] = (first + left, right, own[many:])
+            if node in light:
+                loads = [sum(boxes[i].load for i in part) for part in (own[:many], own[many:])]
+                share = (light[node].bytes + sum(loads)) * left / n
+                wide[node] = name
+                wanted[node] = min(max(share - loads[0], 0), light[node].bytes)
+        splits = _medians(points, wide, wanted, target)
         node = F.col("node")
         children = F.lit(None).cast("int")
         for split in splits:
@@ -183,18 +262,14 @@ def assign(points: DataFrame, shards: int, target: float) -> DataFrame:
             child = F.when(value < split.cut, 2 * split.node + 1).otherwise(2 * split.node + 2)
             children = F.when(node == split.node, child).otherwise(children)
         points = stored(points.withColumn("node", F.coalesce(children, node)), "points")
-        after = {}
-        for old, (first, n) in holds.items():
-            if n > 1:
-                after[2 * old + 1] = (first, n // 2)
-                after[2 * old + 2] = (first + n // 2, n - n // 2)
-            else:
-                after[old] = (first, n)
         holds = after
     leaf = F.lit(0)
-    for node_id, (first, _) in holds.items():
+    placed = [0] * len(boxes)
+    for node_id, (first, _, own) in holds.items():
         leaf = F.when(F.col("node") == node_id, first).otherwise(leaf)
-    return points.select("point", leaf.cast("int").alias("shard"))
+        for i in own:
+            placed[i] = first
+    return points.select("point", leaf.cast("int").alias("shard")), placed
 
 
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -202,27 +277,51 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = stored(documents(docs), "documents")
     total = rows.agg(F.sum("size").alias("bytes")).first().bytes or 0
     target = max(total, 1) / shards
-    rows = with_points(rows, target)
-    leaves = assign(stored(points(rows), "points"), shards, target)
-    placed = stored(rows.join(leaves, "point"), "placed")
-    return _slots(placed).select("doc_id", "size", "text_crc32", "shard", "slot")
+    every = stored(points(rows, total), "points")
+    heavy = F.col("bytes") > HEAVY * target  # fewer than shards / HEAVY
+    boxes = packed(every.where(heavy).collect(), shards, total)
+    light, placed = assign(every.where(~heavy), boxes, shards, target)
+    pieces: dict[int, list[tuple[int, int]]] = {}
+    for box, place in zip(boxes, placed, strict=True):
+        for point, n in box.parts:
+            pieces.setdefault(point, []).append((place, n))
+    table = []
+    for point, parts in pieces.items():
+        parts.sort()
+        until = [sum(n for _, n in parts[: i + 1]) for i in range(len(parts))]
+        table.append((point, [place for place, _ in parts], until))
+    table = docs.sparkSession.createDataFrame(
+        table, "point bigint, places array<int>, until array<bigint>"
+    )
+    columns = ["doc_id", "row", "size", "text_crc32"]
+    rows = rows.join(F.broadcast(table), "point", "left")
+    cut = _numbered(rows.where(F.size("places") > 1), "point", "line")
+    piece = F.size(F.filter("until", lambda n: n <= F.col("line")))
+    out = (
+        rows.where("places is null").join(light, "point").select(*columns, "shard")
+        .union(rows.where(F.size("places") == 1).select(*columns, F.col("places")[0]))
+        .union(cut.select(*columns, F.get("places", piece)))
+    )
+    out = _numbered(stored(out, "placed"), "shard", "slot")
+    return out.select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
-def _slots(placed: DataFrame) -> DataFrame:
-    """Adds the place in the shard, numbered slice by slice."""
-    largest = placed.groupBy("shard").agg(F.count("*").alias("n")).agg(F.max("n").alias("n"))
+def _numbered(rows: DataFrame, by: str, name: str) -> DataFrame:
+    """Adds the place of each row, from 0, in its group, numbered slice by slice."""
+    largest = rows.groupBy(by).agg(F.count("*").alias("n")).agg(F.max("n").alias("n"))
     slices = max(1, -(-(largest.first().n or 0) // SLICE_ROWS))
-    rows = placed.withColumn("slice", F.pmod(F.xxhash64("row"), F.lit(slices)))
-    up = Window.partitionBy("shard").orderBy("slice")
+    rows = rows.withColumn("slice", F.pmod(F.xxhash64("row"), F.lit(slices)))
+    up = Window.partitionBy(by).orderBy("slice")
     first = (
-        rows.groupBy("shard", "slice")
+        rows.groupBy(by, "slice")
         .agg(F.count("*").alias("n"))
         .withColumn("first", F.sum("n").over(up) - F.col("n"))
         .drop("n")
     )
-    place = F.row_number().over(Window.partitionBy("shard", "slice").orderBy("row"))
+    place = F.row_number().over(Window.partitionBy(by, "slice").orderBy("row"))
     return (
         rows.withColumn("place", place)
-        .join(first, ["shard", "slice"])
-        .withColumn("slot", (F.col("first") + F.col("place") - 1).cast("bigint"))
+        .join(first, [by, "slice"])
+        .withColumn(name, (F.col("first") + F.col("place") - 1).cast("bigint"))
+        .drop("slice", "place", "first")
     )

@@ -146,7 +146,10 @@ LEAST_WEIGHT = 1.0
 
 
 def _sample(docs: DataFrame, labels: DataFrame, sample_rows: int, seed: int) -> DataFrame:
-    """(doc_id, toxic, text): at most ``sample_rows`` documents of each label."""
+    """(doc_id, toxic, text): at most ``sample_rows`` documents of each label.
+
+    Of rows that repeat an id one is taken, so they leave room for other documents.
+    """
     order = F.xxhash64(F.lit(seed), "doc_id")
     known = (
         pick(labels, doc_id="bigint", toxic="int")
@@ -159,7 +162,11 @@ def _sample(docs: DataFrame, labels: DataFrame, sample_rows: int, seed: int) ->
     for label in ("toxic", "not toxic"):
         ids = sampled(known.where(label), order, sample_rows)
         rows = texts.join(F.broadcast(ids), "doc_id")
-        parts.append(rows.orderBy(order, "doc_id", F.xxhash64("text")).limit(sample_rows))
+        parts.append(
+            rows.groupBy("doc_id").agg(
+                F.first("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")
+            )
+        )
     return parts[0].union(parts[1]).select("doc_id", "toxic", "text")
 
 
