@@ -45,7 +45,8 @@ def test_every_day_has_its_table(spark):
     QUERIES["event_scan_tables"](spark, SF)
     after = {row.namespace for row in spark.sql("show databases like 'daily_*'").collect()}
     (schema,) = after - before
-    names = {row.tableName for row in spark.sql(f"show tables in {schema}").collect()}
+    tables = spark.sql(f"show tables in {schema}").where("not isTemporary")
+    names = {row.tableName for row in tables.collect()}
     days = models.records(spark, SF).where("event_date is not null").select("event_date")
     assert names == {f"events_{row.event_date}" for row in days.distinct().collect()}
     assert len(names) > 9

@@ -6,11 +6,17 @@ from tributary.functions.arithmetic import (
     safe_divide,
     safe_subtract,
     total,
+    total_sql,
     width_bucket,
 )
 from tributary.functions.dates import add_parts, intervals_between
 from tributary.functions.geo import degrees_to_radians, haversine_distance
-from tributary.functions.keys import surrogate_key, timestamp_text
+from tributary.functions.keys import (
+    surrogate_key,
+    surrogate_key_sql,
+    timestamp_text,
+    timestamp_text_sql,
+)
 from tributary.functions.text import slug, slugify
 from tributary.functions.urls import url_host, url_parameter, url_path
 
@@ -26,8 +32,11 @@ __all__ = [
     "slug",
     "slugify",
     "surrogate_key",
+    "surrogate_key_sql",
     "timestamp_text",
+    "timestamp_text_sql",
     "total",
+    "total_sql",
     "url_host",
     "url_parameter",
     "url_path",

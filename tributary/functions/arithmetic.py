@@ -61,3 +61,14 @@ def exact_sum(money: ColumnOrExpr, as_type: str) -> Column:
 def total(money: ColumnOrExpr, as_type: str | None = None) -> Column:
     """The plain sum, or ``exact_sum`` if a fixed-point type is given."""
     return exact_sum(money, as_type) if as_type else F.sum(as_column(money))
+
+
+def total_sql(money: str, as_type: str | None = None) -> str:
+    """SQL text of ``total``, for models that are views too."""
+    if not as_type:
+        return f"sum({money})"
+    amount = f"cast({money} as double)"
+    fixed = f"try_cast({amount} as {as_type})"
+    lost = f"{amount} is not null and not cast({fixed} as double) <=> {amount}"
+    message = f"concat('no exact {as_type}: ', cast({amount} as string))"
+    return f"cast(sum(case when {lost} then raise_error({message}) else {fixed} end) as double)"

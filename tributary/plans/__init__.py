@@ -17,10 +17,12 @@ from tributary.plans.marts import (
 from tributary.plans.model_checks import model_checks
 from tributary.plans.sessions import build_sessions
 from tributary.plans.summary import funnel_summary
+from tributary.plans.views import create_model_views
 
 __all__ = [
     "build_sessions",
     "channel_group",
+    "create_model_views",
     "flatten_events",
     "funnel_steps",
     "funnel_summary",

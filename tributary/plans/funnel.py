@@ -29,13 +29,18 @@ CHANNEL_NAMES = (*[name for name, _, _ in CHANNELS], OTHER_CHANNEL)
 
 def channel_group(medium: str, source: str) -> Column:
     """Marketing channel of a medium and source, given as column names or SQL text."""
+    return F.expr(channel_sql(medium, source))
+
+
+def channel_sql(medium: str, source: str) -> str:
+    """SQL text of ``channel_group``."""
     rules = []
     for name, media, sources in CHANNELS:
         listed = f"lower({medium}) in ({sql_list(media)})"
         if sources:
             listed += f" or lower({source}) in ({sql_list(sources)})"
         rules.append(f"when {listed} then {sql_text(name)}")
-    return F.expr(f"case {' '.join(rules)} else {sql_text(OTHER_CHANNEL)} end")
+    return f"case {' '.join(rules)} else {sql_text(OTHER_CHANNEL)} end"
 
 
 def funnel_steps(sessions: DataFrame, with_load_time: bool = False) -> DataFrame:
@@ -44,6 +49,15 @@ def funnel_steps(sessions: DataFrame, with_load_time: bool = False) -> DataFrame
     The deepest stage may lie below one that was skipped; the step flags only ask
     for a stage and the one right before it. All of it is a projection.
     """
+    return sessions.selectExpr(*_columns(with_load_time))
+
+
+def steps_sql(source: str) -> str:
+    """The same as a SELECT over a table of sessions, given as SQL text."""
+    return f"select {', '.join(_columns(False))} from {source}"
+
+
+def _columns(with_load_time: bool) -> list[str]:
     upward = list(enumerate(STAGES, start=1))[::-1]
     numbers = " ".join(f"when {had(stage)} then {number}" for number, stage in upward)
     names = " ".join(f"when {had(stage)} then '{stage}'" for _, stage in upward)
@@ -51,8 +65,8 @@ def funnel_steps(sessions: DataFrame, with_load_time: bool = False) -> DataFrame
         f"coalesce({had(stage)} and {had(before)}, false) as {PROGRESS_FLAGS[stage]}"
         for before, stage in zip(STAGES, STAGES[1:], strict=False)
     ]
-    channel = channel_group("attributed_medium", "attributed_source")
-    return sessions.withColumn("channel_group", channel).selectExpr(
+    channel = channel_sql("attributed_medium", "attributed_source")
+    return [
         "session_id",
         "user_pseudo_id",
         "transaction_id",
@@ -63,7 +77,7 @@ def funnel_steps(sessions: DataFrame, with_load_time: bool = False) -> DataFrame
         "attributed_source",
         "attributed_medium",
         "attributed_campaign",
-        "channel_group",
+        f"{channel} as channel_group",
         "device_category",
         "country",
         f"case {numbers} else 0 end as max_funnel_stage",
@@ -75,4 +89,4 @@ def funnel_steps(sessions: DataFrame, with_load_time: bool = False) -> DataFrame
         f"{had('purchase')} as is_converted",
         *progressed,
         *(["current_timestamp() as loaded_at"] if with_load_time else []),
-    )
+    ]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions import surrogate_key, total
+from tributary.functions import surrogate_key_sql, total_sql
+from tributary.plans.events import SESSION
 from tributary.plans.stages import STAGES, had
 
 # Event column of the earliest event -> session column.
@@ -39,23 +40,35 @@ def build_sessions(events: DataFrame, money_type: str | None = None) -> DataFram
     ``money_type`` names a fixed-point type in which revenue is added up exactly
     (see ``exact_sum``); without it doubles are added as they are.
     """
+    rolled_up = events.groupBy(*SESSION).agg(*[F.expr(text) for text in _sums(money_type)])
+    return rolled_up.selectExpr(*_columns())
+
+
+def sessions_sql(source: str, money_type: str | None = None) -> str:
+    """The same as a SELECT over a table of events, given as SQL text."""
+    sums, keys = ", ".join(_sums(money_type)), ", ".join(SESSION)
+    return f"select {', '.join(_columns())} from (select {keys}, {sums} from {source} group by {keys})"
+
+
+def _sums(money_type: str | None) -> list[str]:
     bits = " ".join(f"when '{stage}' then {1 << i}" for i, stage in enumerate(STAGES))
-    rolled_up = events.groupBy("user_pseudo_id", "ga_session_id").agg(
-        F.expr(f"min(struct(event_timestamp, {', '.join(FIRST_TOUCH)})) as first"),
-        F.expr("min(event_timestamp) as session_start_at"),
-        F.expr("max(event_timestamp) as session_end_at"),
-        F.expr(f"bit_or(case event_name {bits} else 0 end) as stages"),
-        total("purchase_revenue", money_type).alias("revenue"),
-        F.expr("max(transaction_id) as transaction_id"),
-        F.expr("bool_or(session_engaged = '1') as engaged"),
-        F.expr("count(*) as total_events"),
-    )
+    return [
+        f"min(struct(event_timestamp, {', '.join(FIRST_TOUCH)})) as first",
+        "min(event_timestamp) as session_start_at",
+        "max(event_timestamp) as session_end_at",
+        f"bit_or(case event_name {bits} else 0 end) as stages",
+        f"{total_sql('purchase_revenue', money_type)} as revenue",
+        "max(transaction_id) as transaction_id",
+        "bool_or(session_engaged = '1') as engaged",
+        "count(*) as total_events",
+    ]
+
+
+def _columns() -> list[str]:
     touch = [f"first.{source} as {name}" for source, name in FIRST_TOUCH.items()]
     flags = [f"stages & {1 << i} <> 0 as {had(stage)}" for i, stage in enumerate(STAGES)]
-    return rolled_up.withColumn(
-        "session_id", surrogate_key(["user_pseudo_id", "ga_session_id"])
-    ).selectExpr(
-        "session_id",
+    return [
+        f"{surrogate_key_sql(SESSION)} as session_id",
         "user_pseudo_id",
         touch[0],
         "session_start_at",
@@ -67,4 +80,4 @@ def build_sessions(events: DataFrame, money_type: str | None = None) -> DataFram
         "transaction_id",
         "coalesce(engaged, false) as is_engaged_session",
         "total_events",
-    )
+    ]

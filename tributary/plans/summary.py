@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions import total
+from tributary.functions import total_sql
 from tributary.plans.stages import STAGE_COUNTS, STEP_RATES, had
 
 DIMENSIONS = (
@@ -26,14 +26,28 @@ def funnel_summary(facts: DataFrame, money_type: str | None = None) -> DataFrame
     computed from its finished counts. A rate over nothing is NULL. ``money_type`` is as in
     ``build_sessions``.
     """
-    counted = facts.groupBy(*DIMENSIONS).agg(
-        F.expr("count(*) as total_sessions"),
-        *[F.expr(f"count_if({had(stage)}) as {name}") for stage, name in STAGE_COUNTS.items()],
-        total("session_revenue", money_type).alias("total_revenue"),
-        F.expr("count_if(is_engaged_session) as engaged_sessions"),
-        F.expr("avg(session_duration_seconds) as avg_session_duration_seconds"),
-    )
-    return counted.selectExpr(
+    sums = [F.expr(text) for text in _sums(money_type)]
+    return facts.groupBy(*DIMENSIONS).agg(*sums).selectExpr(*_columns())
+
+
+def summary_sql(source: str, money_type: str | None = None) -> str:
+    """The same as a SELECT over a table of facts, given as SQL text."""
+    sums, keys = ", ".join(_sums(money_type)), ", ".join(DIMENSIONS)
+    return f"select {', '.join(_columns())} from (select {keys}, {sums} from {source} group by {keys})"
+
+
+def _sums(money_type: str | None) -> list[str]:
+    return [
+        "count(*) as total_sessions",
+        *[f"count_if({had(stage)}) as {name}" for stage, name in STAGE_COUNTS.items()],
+        f"{total_sql('session_revenue', money_type)} as total_revenue",
+        "count_if(is_engaged_session) as engaged_sessions",
+        "avg(session_duration_seconds) as avg_session_duration_seconds",
+    ]
+
+
+def _columns() -> list[str]:
+    return [
         *DIMENSIONS,
         "total_sessions",
         *STAGE_COUNTS.values(),
@@ -43,4 +57,4 @@ def funnel_summary(facts: DataFrame, money_type: str | None = None) -> DataFrame
         "engaged_sessions",
         "try_divide(engaged_sessions, total_sessions) as engagement_rate",
         "avg_session_duration_seconds",
-    )
+    ]

@@ -80,3 +80,35 @@ def relations_by_prefix(
 ) -> list[Relation]:
     """The same for names that begin with ``prefix``."""
     return relations_by_pattern(spark, schema, prefix + "%", exclude, database)
+
+
+class Described(NamedTuple):
+    """A table as the catalog lists it; ``shape`` tells tables with equal columns apart from
+    others, and is empty where the folder alone is not the table."""
+
+    schema: str
+    name: str
+    location: str
+    shape: str
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.table(f"{quoted(self.schema)}.{quoted(self.name)}")
+
+
+def described_tables(spark: SparkSession, schema: str, prefix: str) -> list[Described]:
+    """Tables and views of a schema whose names begin with ``prefix``, from one listing."""
+    found = []
+    # The catalog reads "|" and "*" as signs, so the prefix is checked again.
+    pattern = re.sub(r"[^A-Za-z0-9_]+", "*", prefix) + "*"
+    listed = spark.sql(f"show table extended in {quoted(schema)} like '{pattern}'")
+    for row in listed.where("not isTemporary").collect():
+        if not row.tableName.lower().startswith(prefix.lower()):
+            continue
+        told, _, columns = row.information.partition("\nSchema: root\n")
+        facts = dict(line.split(": ", 1) for line in told.split("\n") if ": " in line)
+        plain = facts.get("Provider", "").lower() == "parquet" and "Partition Columns" not in facts
+        plain = plain and facts.get("Type") != "VIEW" and "Location" in facts
+        found.append(
+            Described(schema, row.tableName, facts.get("Location", ""), columns if plain else "")
+        )
+    return sorted(found)

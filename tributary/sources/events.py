@@ -8,7 +8,7 @@ from pyspark.sql.types import ArrayType, DataType, StructType
 
 from tributary.operators.columns import quoted
 from tributary.operators.reshape import union_all
-from tributary.sources.catalog import relations_by_prefix
+from tributary.sources.catalog import Described, described_tables
 
 # Only the members that are read: Parquet then skips the rest of the wide records.
 EVENT_SCHEMA = """
@@ -83,14 +83,36 @@ def read_event_tables(
 ) -> DataFrame:
     """The same from daily catalog tables named prefix + ``YYYYMMDD``.
 
-    Records may gain or lose members from day to day.
+    Records may gain or lose members from day to day. One listing tells where the tables lie
+    and what shape they have; all Parquet tables of one shape become one scan of many
+    folders, so thousands of days give as many branches as there are shapes. Views, tables
+    in other formats and partitioned ones are a branch each. A table whose records lack
+    ``event_date`` gets the day of its name.
     """
     days = [
-        conform_events(relation.read(spark))
-        for relation in relations_by_prefix(spark, schema, prefix)
-        if relation.name.lower().startswith(prefix.lower())
-        and start <= relation.name[len(prefix) :] <= end
+        table
+        for table in described_tables(spark, schema, prefix)
+        if table.name.lower().startswith(prefix.lower())
+        and start <= table.name[len(prefix) :] <= end
     ]
     if not days:
         raise ValueError(f"no tables {prefix}* in {schema} between {start} and {end}")
-    return union_all(days)
+    shapes: dict[str, list[Described]] = {}
+    for table in days:
+        shapes.setdefault(table.shape or table.name, []).append(table)
+    return union_all([_one_shape(spark, tables, prefix) for tables in shapes.values()])
+
+
+def _one_shape(spark: SparkSession, tables: list[Described], prefix: str) -> DataFrame:
+    first = tables[0].read(spark)
+    dated = any(name.lower() == "event_date" for name in first.columns)
+    if dated and tables[0].shape:
+        paths = [table.location for table in tables]
+        return conform_events(spark.read.schema(first.schema).parquet(*paths))
+    if dated:
+        return conform_events(first)
+    named = [
+        table.read(spark).withColumn("event_date", F.lit(table.name[len(prefix) :]))
+        for table in tables
+    ]
+    return union_all([conform_events(table) for table in named])

@@ -15,10 +15,19 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, else one inside the warehouse.
 
     The warehouse is shared by the driver and all executors wherever tables can be
-    saved, so nothing ever goes to a folder of one machine.
+    saved. Where neither is set it would be a folder of the driver's machine, which no
+    executor elsewhere can read, so outside local mode that is an error.
     """
     root = spark.conf.get(_SETTING, None)
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(
+            f"{_SETTING} is not set and the warehouse, {warehouse}, lies on this machine alone; "
+            "name a folder that all executors share"
+        )
+    return f"{warehouse}/_scratch".rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -9,8 +9,17 @@ from pyspark.sql import functions as F
 
 from tributary.checks import funnel_order
 from tributary.operators import column_values
-from tributary.plans import flatten_events, publish_view, read_mart, refresh_marts, reports
+from tributary.functions import total
+from tributary.plans import (
+    create_model_views,
+    flatten_events,
+    publish_view,
+    read_mart,
+    refresh_marts,
+    reports,
+)
 from tributary.plans.sessions import FIRST_TOUCH
+from tributary.plans.views import STEPS_VIEW
 from tributary.sources import read_event_tables, read_events, scratch_path
 from workloads import models
 from workloads.models import EVENTS_SQL, FACTS_SQL, SESSION_TIMES_SQL, SESSIONS_SQL, SUMMARY_SQL
@@ -71,24 +80,63 @@ def event_scan_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY 1, 2""",
 )
 def event_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily tables of all days, of which seven are read; records change their shape."""
+    """Daily tables of all days, of which seven are read; records change their shape.
+
+    Days of one shape are written by one job, partitioned by day, and each day's folder is
+    then registered as a table of its own.
+    """
     schema = f"daily_{uuid4().hex}"
     spark.sql(f"create database {schema} location '{scratch_path(spark, schema)}'")
-    records = models.records(spark, sf_dir)
-    for day in column_values(records.where("event_date is not null"), "event_date", MOST_DAYS):
-        own = records.where(F.col("event_date") == day)
-        if day == "20240110":  # one more member inside a record
-            term = F.col("traffic_source").withField("term", F.lit("x"))
-            own = own.withColumn("traffic_source", term)
-        if day == "20240111":  # a column less and one more
-            own = own.drop("geo").withColumn("stream_id", F.lit(1))
-        own.write.saveAsTable(f"{schema}.events_{day}")
+    records = models.records(spark, sf_dir).where("event_date is not null")
+    term = F.col("traffic_source").withField("term", F.lit("x"))
+    shapes = {
+        "event_date = '20240110'": records.withColumn("traffic_source", term),  # a member more
+        "event_date = '20240111'":  # a column less and one more
+            records.drop("geo").withColumn("stream_id", F.lit(1)),
+        "event_date not in ('20240110', '20240111')": records,
+    }
+    for days, shape in shapes.items():
+        path, own = scratch_path(spark, "shape"), shape.where(days)
+        day = own.withColumn("day", F.col("event_date"))
+        day.hint("rebalance", "day").write.partitionBy("day").parquet(path)
+        written = spark.read.schema(own.schema).parquet(path)
+        for name in column_values(written, "event_date", MOST_DAYS):
+            spark.catalog.createTable(
+                f"{schema}.events_{name}", f"{path}/day={name}", "parquet", own.schema
+            )
     week = flatten_events(read_event_tables(spark, schema, "20240108", "20240114"))
     return week.groupBy("event_date", "traffic_medium").agg(
         F.count(F.lit(1)).alias("events"), F.count("transaction_id").alias("transactions")
     )
 
 
+@query(
+    "marts_refreshed_twice",
+    f"""{SUMMARY_SQL}
+    SELECT 'before' AS read, CAST(session_date AS VARCHAR) AS session_date,
+      CAST(sum(total_sessions) AS BIGINT) AS sessions
+    FROM summary WHERE session_date < DATE '2024-01-16' GROUP BY ALL
+    UNION ALL
+    SELECT 'after', CAST(session_date AS VARCHAR), CAST(sum(total_sessions) AS BIGINT)
+    FROM summary GROUP BY ALL""",
+)
+def marts_refreshed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart of the first days, read; then one of all days takes its place, while the plan
+    made before goes on reading the old files."""
+    steps, target = scratch_path(spark, "steps"), scratch_path(spark, "summary")
+    records = models.records(spark, sf_dir)
+    reads = {}
+    for name, rows in {"before": records.where("event_date < '20240116'"), "after": records}.items():
+        refresh_marts(rows, steps, target, money_type=models.MONEY)
+        reads[name] = read_mart(spark, target)
+    before, after = (
+        mart.groupBy("session_date").agg(F.sum("total_sessions").alias("sessions"))
+        .select(F.lit(name).alias("read"), "session_date", "sessions")
+        for name, mart in reads.items()
+    )
+    return before.unionByName(after)
+
+
 @query("sessions", f"{SESSIONS_SQL} SELECT * REPLACE ({SESSION_TIMES_SQL}) FROM sess")
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.sessions(spark, sf_dir)
@@ -119,6 +167,28 @@ def sessions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """)
 
 
+@query(
+    "model_views",
+    f"""{FACTS_SQL}
+    SELECT channel_group, max_funnel_stage, count(*) AS sessions,
+      CAST(sum(CAST(session_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+      CAST(max(session_date) AS VARCHAR) AS last_day
+    FROM facts GROUP BY ALL""",
+)
+def model_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views kept by the catalog, made in this session and read in another."""
+    schema, path = f"models_{uuid4().hex}", scratch_path(spark, "records")
+    models.records(spark, sf_dir).write.parquet(path)
+    spark.sql(f"create database {schema} location '{scratch_path(spark, schema)}'")
+    create_model_views(spark, schema, f"parquet.`{path}`", models.MONEY)
+    steps = spark.newSession().table(f"{schema}.{STEPS_VIEW}")
+    return steps.groupBy("channel_group", "max_funnel_stage").agg(
+        F.count(F.lit(1)).alias("sessions"),
+        total("session_revenue", models.MONEY).alias("revenue"),
+        F.max("session_date").alias("last_day"),
+    )
+
+
 @query("funnel_steps", f"{FACTS_SQL} SELECT * REPLACE ({SESSION_TIMES_SQL}) FROM facts")
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.facts(spark, sf_dir)
