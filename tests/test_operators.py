@@ -79,6 +79,49 @@ def test_pivot_options(table):
     assert df.groupBy("g").agg(*op.pivot("k", [1], alias=False)).columns[1].startswith("sum(")
 
 
+@pytest.mark.parametrize("agg", ["sum", "count", "min", "max"])
+@pytest.mark.parametrize("otherwise", [0, None])
+def test_wide_pivot_is_the_pivot(table, agg, otherwise):
+    rows = [("a", 1, 5), ("a", 2, -5), ("a", 2, 7), ("b", 1, None), ("b", 1, None), ("c", 3, 4),
+            (None, 2, 1), ("d", None, 2), ("e", 2, None), ("e", 3, 1), ("f", 1, -2)]
+    df = table("`my key` string, k int, v int", *rows)
+    columns = op.pivot("k", [1, 2, 9], agg=agg, prefix="p.", suffix="`s", then_value="v",
+                       else_value="null" if otherwise is None else otherwise)
+    plain = df.groupBy("my key").agg(*columns)
+    wide = op.wide_pivot(df, ["my key"], "k", [1, 2, 9], agg, "p.", "`s", "v", otherwise)
+    assert wide.columns == plain.columns
+    assert [kind for _, kind in wide.dtypes] == [kind for _, kind in plain.dtypes]
+    assert sorted(map(repr, wide.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_wide_pivot_of_thousands_of_values(spark):
+    df = spark.range(20_000).selectExpr("id % 3 as g", "cast(id % 5003 as string) as k", "id as v")
+    wide = op.wide_pivot(df, ["g"], "k", range(5000), then_value="v", prefix="n ", quote_identifiers=False)
+    assert wide.columns == ["g", *(f"n_{i}" for i in range(5000))]
+    rows = {r[0]: r[1:] for r in wide.collect()}
+    for g in range(3):
+        wanted = [0] * 5003
+        for i in range(g, 20_000, 3):
+            wanted[i % 5003] += i
+        assert list(rows[g]) == wanted[:5000]
+    plans = [
+        op.wide_pivot(df, ["g"], "k", range(n), then_value="v")._jdf.queryExecution().executedPlan().toString()
+        for n in (3, 300)
+    ]
+    assert len({text.count("Exchange") for text in plans}) == 1
+
+
+def test_wide_pivot_options(table):
+    df = table("g string, k string", ("a", "x y"), ("a", "z"))
+    out = op.wide_pivot(df, ["g"], "upper(k)", ["X Y"], quote_identifiers=False)
+    assert out.columns == ["g", "x_y"] and values(out) == [("a", 1)]
+    assert values(op.wide_pivot(df, ["g"], "k", [])) == [("a",)]
+    with pytest.raises(ValueError, match="agg"):
+        op.wide_pivot(df, ["g"], "k", ["z"], agg="avg")
+    with pytest.raises(ValueError, match="else_value"):
+        op.wide_pivot(df, ["g"], "k", ["z"], else_value=3)
+
+
 def test_unpivot(table):
     df = table(
         "customer_id int, created_at string, status string, segment string, name string",

@@ -32,10 +32,12 @@ from tributary.checks.rows import (
     not_null,
 )
 from tributary.checks.sequences import mutually_exclusive_ranges, sequential_values
-from tributary.checks.violations import RowViolations, Violations
+from tributary.checks.violations import GroupViolations, RowCounts, RowViolations, Violations
 
 __all__ = [
     "Check",
+    "GroupViolations",
+    "RowCounts",
     "RowViolations",
     "Violations",
     "accepted_range",

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.checks.violations import Violations, subset
+from tributary.checks.violations import GroupViolations, Violations, subset
 from tributary.functions._args import as_column, as_value
 from tributary.functions.dates import add_parts
 from tributary.operators.columns import quoted
@@ -21,9 +21,14 @@ def _columns(names: Sequence[str]) -> list[Column]:
     return [as_column(name) for name in names]
 
 
-def _listed(values: Iterable, quote: bool) -> Column:
-    """Condition that ``value_field`` is in the list; unquoted values are SQL expressions."""
-    return F.col("value_field").isin([v if quote else F.expr(str(v)) for v in values])
+def _rows() -> dict[str, Column]:
+    """What most rules need to know of a group."""
+    return {"n": F.count(F.lit(1))}
+
+
+def _listed(field: Column, values: Iterable, quote: bool) -> Column:
+    """Condition that the field is in the list; unquoted values are SQL expressions."""
+    return field.isin([v if quote else F.expr(str(v)) for v in values])
 
 
 def at_least_one(
@@ -36,8 +41,14 @@ def at_least_one(
     rows, value = subset(df, where), as_column(column)
     if group_by_columns:
         counts = rows.groupBy(*_columns(group_by_columns)).agg(F.count(value).alias("n_values"))
-    else:
-        counts = rows.where(value.isNotNull()).limit(1).agg(F.count(F.lit(1)).alias("n_values"))
+        return GroupViolations(
+            counts.where("n_values = 0"),
+            table=None if where else df,
+            keys=tuple(_columns(group_by_columns)),
+            sums={"n": F.count(value)},
+            broken=lambda _, sums: sums["n"] == 0,
+        )
+    counts = rows.where(value.isNotNull()).limit(1).agg(F.count(F.lit(1)).alias("n_values"))
     return Violations(counts.where("n_values = 0"))
 
 
@@ -55,7 +66,13 @@ def not_constant(
         .agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
     )
     constant = ends.where(F.col("__low") == F.col("__high")).drop("__low", "__high")
-    return Violations(constant.withColumn("n_distinct", F.lit(1).cast("bigint")))
+    return GroupViolations(
+        constant.withColumn("n_distinct", F.lit(1).cast("bigint")),
+        table=None if where else df,
+        keys=tuple(_columns(group_by_columns)),
+        sums={"low": F.min(value), "high": F.max(value)},
+        broken=lambda _, sums: sums["low"] == sums["high"],
+    )
 
 
 def not_null_proportion(
@@ -74,7 +91,13 @@ def not_null_proportion(
         .agg(share.alias("not_null_proportion"))
     )
     outside = (F.col("not_null_proportion") < at_least) | (F.col("not_null_proportion") > at_most)
-    return Violations(shares.where(outside))
+    return GroupViolations(
+        shares.where(outside),
+        table=None if where else df,
+        keys=tuple(_columns(group_by_columns)),
+        sums={"share": share},
+        broken=lambda _, sums: (sums["share"] < at_least) | (sums["share"] > at_most),
+    )
 
 
 def recency(
@@ -99,7 +122,14 @@ def recency(
         .agg(newest.alias("most_recent"))
         .withColumn("threshold", add_parts(datepart, -interval, now).cast(kind))
     )
-    return Violations(result.where(F.col("most_recent") < F.col("threshold")))
+    threshold = add_parts(datepart, -interval, now).cast(kind)
+    return GroupViolations(
+        result.where(F.col("most_recent") < F.col("threshold")),
+        table=None if where else df,
+        keys=tuple(_columns(group_by_columns)),
+        sums={"newest": newest},
+        broken=lambda _, sums: sums["newest"] < threshold,
+    )
 
 
 def unique(df: DataFrame, column: str, where: str | None = None) -> Violations:
@@ -111,7 +141,13 @@ def unique(df: DataFrame, column: str, where: str | None = None) -> Violations:
         .groupBy(value.alias("unique_field"))
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
-    return Violations(counts.where("n_records > 1"))
+    return GroupViolations(
+        counts.where("n_records > 1"),
+        table=None if where else df,
+        keys=(value,),
+        sums=_rows(),
+        broken=lambda keys, sums: keys[0].isNotNull() & (sums["n"] > 1),
+    )
 
 
 def unique_combination_of_columns(
@@ -123,7 +159,13 @@ def unique_combination_of_columns(
     """
     keys = [F.col(quoted(name)) for name in columns] if quote_columns else _columns(columns)
     counts = subset(df, where).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return Violations(counts.where("__n > 1").drop("__n"))
+    return GroupViolations(
+        counts.where("__n > 1").drop("__n"),
+        table=None if where else df,
+        keys=tuple(keys),
+        sums=_rows(),
+        broken=lambda _, sums: sums["n"] > 1,
+    )
 
 
 def accepted_values(
@@ -135,7 +177,14 @@ def accepted_values(
         .groupBy(as_column(column).alias("value_field"))
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
-    return Violations(counts.where(~_listed(values, quote)))
+    allowed = list(values)
+    return GroupViolations(
+        counts.where(~_listed(F.col("value_field"), allowed, quote)),
+        table=None if where else df,
+        keys=(as_column(column),),
+        sums=_rows(),
+        broken=lambda keys, _: ~_listed(keys[0], allowed, quote),
+    )
 
 
 def not_accepted_values(
@@ -143,4 +192,11 @@ def not_accepted_values(
 ) -> Violations:
     """A value is in the list of forbidden ones; one row for each such value."""
     found = subset(df, where).select(as_column(column).alias("value_field")).distinct()
-    return Violations(found.where(_listed(values, quote)))
+    forbidden = list(values)
+    return GroupViolations(
+        found.where(_listed(F.col("value_field"), forbidden, quote)),
+        table=None if where else df,
+        keys=(as_column(column),),
+        sums=_rows(),
+        broken=lambda keys, _: _listed(keys[0], forbidden, quote),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.checks.violations import RowViolations, Violations, subset
+from tributary.checks.violations import RowCounts, RowViolations, Violations, subset
 from tributary.functions._args import as_column, as_value
 from tributary.operators.columns import quoted
 
@@ -74,8 +74,10 @@ def funnel_order(facts: DataFrame, where: str | None = None) -> Violations:
         "negative_revenue_on_purchase": "had_purchase and session_revenue < 0",
     }
     broken = ", ".join(f"if({rule}, '{name}', null)" for name, rule in rules.items())
-    return Violations(
+    return RowCounts(
         subset(facts, where).selectExpr(
             "session_id", f"explode(array_compact(array({broken}))) as violation_type"
-        )
+        ),
+        table=None if where else facts,
+        per_row=F.expr(f"size(array_compact(array({broken})))"),
     )

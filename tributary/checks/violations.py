@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 
@@ -37,5 +38,28 @@ class RowViolations:
         return found.select(*self.shown) if self.shown else found
 
 
+@dataclass(frozen=True)
+class RowCounts(Violations):
+    """The same for a rule that one row can break several times, ``per_row`` times."""
+
+    table: DataFrame | None = None
+    per_row: Column | None = None
+
+
+@dataclass(frozen=True)
+class GroupViolations(Violations):
+    """The same for a rule about groups of rows.
+
+    It keeps the table, the keys, the aggregates and the condition on a group apart, so that
+    a report can evaluate many such rules in one pass over the table. ``broken`` gets the keys
+    and the aggregates by name. ``table`` is missing if the rule holds for some rows only.
+    """
+
+    table: DataFrame | None = None
+    keys: tuple[Column, ...] = ()
+    sums: Mapping[str, Column] = field(default_factory=dict)
+    broken: Callable[[Sequence[Column], Mapping[str, Column]], Column] | None = None
+
+
 def subset(df: DataFrame, where: str | None) -> DataFrame:
     return df.where(where) if where else df

@@ -8,7 +8,7 @@ from tributary.operators.columns import (
     star,
 )
 from tributary.operators.dedupe import deduplicate
-from tributary.operators.reshape import pivot, union_relations, unpivot
+from tributary.operators.reshape import pivot, union_relations, unpivot, wide_pivot
 from tributary.operators.results import (
     column_value_counts,
     column_values,
@@ -33,4 +33,5 @@ __all__ = [
     "star",
     "union_relations",
     "unpivot",
+    "wide_pivot",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType
 
@@ -47,6 +47,75 @@ def pivot(
     return aggregates
 
 
+def wide_pivot(
+    df: DataFrame,
+    group_by: Iterable[str],
+    column: str,
+    values: Iterable,
+    agg: str = "sum",
+    prefix: str = "",
+    suffix: str = "",
+    then_value=1,
+    else_value: int | None = 0,
+    quote_identifiers: bool = True,
+) -> DataFrame:
+    """The table that ``groupBy(...).agg(*pivot(...))`` gives, for thousands of values.
+
+    Rows are first combined by key and value, and the finished numbers are then put in their
+    places, two aggregations that do not grow with the number of values; one CASE for each
+    value would soon exceed what can be compiled. Values are compared as text. ``agg`` is
+    sum, count, min or max, and ``else_value`` 0 or ``None``.
+    """
+    if agg not in ("sum", "count", "min", "max"):
+        raise ValueError(f"agg must be sum, count, min or max, got {agg}")
+    if else_value not in (0, None):
+        raise ValueError(f"else_value must be 0 or None, got {else_value}")
+    keys, texts = list(group_by), list(dict.fromkeys(str(value) for value in values))
+    names = [f"{prefix}{text}{suffix}" for text in texts]
+    if not quote_identifiers:
+        names = [slugify(name) for name in names]
+    if not texts:
+        return df.select(*[F.col(quoted(key)) for key in keys]).distinct()
+    own = [F.col(quoted(key)).alias(key) for key in keys]
+    key = [F.col(quoted(name)) for name in keys]
+    narrowed = df.select(
+        *own, F.expr(column).cast("string").alias("__value"), F.expr(str(then_value)).alias("__then")
+    )
+    parts = narrowed.groupBy(*key, "__value").agg(
+        F.expr(f"{agg}(__then)").alias("__part"), F.count(F.lit(1)).alias("__rows")
+    )
+    part, others, none = F.col("__part"), F.col("__all") - F.col("__rows"), F.lit(0)
+    if else_value is None:
+        met, unmet = part, none if agg == "count" else F.lit(None)
+    elif agg == "count":  # rows of other values count too
+        met, unmet = part + others, F.col("__all")
+    else:
+        with_else = {"sum": F.coalesce(part, none), "min": F.least(part, none), "max": F.greatest(part, none)}
+        met, unmet = F.when(others == 0, part).otherwise(with_else[agg]), none
+    kind = parts.schema["__part"].dataType
+    places = df.sparkSession.createDataFrame(
+        list(zip(texts, range(len(texts)), strict=True)), "__value string, __place int"
+    )  # the caller's list, one row for each column asked for
+    counted = parts.withColumn("__all", F.sum("__rows").over(Window.partitionBy(*key)))
+    found = counted.join(F.broadcast(places), "__value").select(
+        *key, "__place", "__all", met.cast(kind).alias("__met"), F.lit(1).alias("__known")
+    )
+    every = F.explode(F.sequence(F.lit(0), F.lit(len(texts) - 1))).alias("__place")
+    asked = counted.groupBy(*key).agg(F.first("__all").alias("__all")).select(
+        *key, every, "__all", F.lit(None).cast(kind).alias("__met"), F.lit(0).alias("__known")
+    )
+    placed = (
+        found.union(asked)
+        .groupBy(*key, "__place")
+        .agg(*[F.max(name).alias(name) for name in ("__all", "__met", "__known")])
+        .withColumn("__number", F.when(F.col("__known") == 1, F.col("__met")).otherwise(unmet.cast(kind)))
+        .groupBy(*key)
+        .agg(F.sort_array(F.collect_list(F.struct("__place", "__number")))["__number"].alias("__row"))
+    )
+    columns = [f"__row[{i}] as {quoted(name)}" for i, name in enumerate(names)]
+    return placed.selectExpr(*[quoted(name) for name in keys], *columns)
+
+
 def unpivot(
     df: DataFrame,
     cast_to: str | DataType = "string",

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
+    # Only for tables read with ``sources.read_footers``; others are planned without it.
+    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
 }
 

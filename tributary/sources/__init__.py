@@ -9,6 +9,7 @@ from tributary.sources.catalog import (
     relations_by_prefix,
 )
 from tributary.sources.events import EVENT_SCHEMA, read_event_tables, read_events
+from tributary.sources.footers import read_footers
 from tributary.sources.scratch import clear_scratch, scratch_path, stored
 from tributary.sources.seeds import read_seed
 from tributary.sources.versions import (
@@ -38,6 +39,7 @@ __all__ = [
     "published_versions",
     "read_event_tables",
     "read_events",
+    "read_footers",
     "read_seed",
     "read_version",
     "relations_by_pattern",

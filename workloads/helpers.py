@@ -88,6 +88,20 @@ def column_values_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "pivot_days",
+    """PIVOT (SELECT o_orderpriority, strftime(o_orderdate, '%Y%m%d') AS day FROM orders)
+    ON day USING count(*) GROUP BY o_orderpriority""",
+)
+def pivot_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by priority, a column for each day of some years."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderpriority", F.date_format("o_orderdate", "yyyyMMdd").alias("day")
+    )
+    days = op.column_values(orders, "day", 10_000)
+    return op.wide_pivot(orders, ["o_orderpriority"], "day", days)
+
+
 @query(
     "unpivot_part",
     """SELECT p_partkey, 'p_name' AS attribute, p_name AS value FROM part

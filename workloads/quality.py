@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tributary import checks
 from tributary.checks import run_checks
 from tributary.plans import funnel_steps, funnel_summary, model_checks
-from tributary.sources import stored
+from tributary.sources import read_footers, stored
 from workloads import models
 from workloads.models import EVENTS_SQL, FACTS_SQL, SESSIONS_SQL, SUMMARY_SQL
 from workloads.registry import query, table
@@ -171,6 +171,70 @@ def chk_equality_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).rows
 
 
+@query(
+    "chk_equality_precision_prices",
+    _equality_sql(
+        "SELECT l_orderkey, l_linenumber, round(l_extendedprice, 0) AS price FROM lineitem",
+        "SELECT l_orderkey, l_linenumber, round(l_extendedprice * CAST(1.00001 AS DOUBLE), 0)"
+        " AS price FROM lineitem",
+    ),
+)
+def chk_equality_precision_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices and slightly higher ones: equal where both round to the same whole number."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price")
+    )
+    higher = lines.withColumn("price", F.col("price") * F.lit(1.00001))
+    return checks.equality(lines, higher, precision=0).rows
+
+
+_LINES_SQL = "SELECT l_orderkey, l_linenumber, l_shipdate, l_tax FROM lineitem"
+
+
+@query(
+    "chk_equality_digests",
+    _equality_sql(
+        f"SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate)"
+        f" FROM ({_LINES_SQL})",
+        f"""SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate,
+              CASE WHEN l_orderkey % 1000 = 0 THEN NULL ELSE l_tax END AS l_tax)
+            FROM ({_LINES_SQL}) WHERE l_orderkey % 1000 <> 1""",
+    ),
+)
+def chk_equality_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables that differ in few rows; most of both are compared by digests alone."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_tax"
+    )
+    other = lines.where("l_orderkey % 1000 <> 1").withColumn(
+        "l_tax", F.expr("if(l_orderkey % 1000 = 0, null, l_tax)")
+    )
+    return checks.equality(lines, other, by_digests=True).rows
+
+
+@query(
+    "chk_counts_from_footers",
+    """SELECT 'rows' AS rule, a AS ours, b AS theirs FROM
+      (SELECT count(*) AS a FROM orders), (SELECT count(*) AS b FROM lineitem)
+    UNION ALL
+    SELECT 'newest key', max(o_orderkey), (SELECT max(l_orderkey) FROM lineitem) FROM orders""",
+)
+def chk_counts_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and greatest keys of whole tables, of which only the footers are read."""
+    orders, lines = (
+        read_footers(spark, f"{sf_dir}/{name}.parquet") for name in ("orders", "lineitem")
+    )
+    rows = checks.equal_rowcount(orders, lines).rows.select(
+        F.lit("rows").alias("rule"), F.col("count_a").alias("ours"), F.col("count_b").alias("theirs")
+    )
+    newest = orders.agg(F.max("o_orderkey").alias("ours"), F.lit(None).cast("bigint").alias("theirs"))
+    newest = newest.union(
+        lines.agg(F.max("l_orderkey").alias("theirs")).select(F.lit(None).cast("bigint"), "theirs")
+    )
+    newest = newest.agg(F.max("ours").alias("ours"), F.max("theirs").alias("theirs"))
+    return rows.union(newest.select(F.lit("newest key"), "ours", "theirs"))
+
+
 @query(
     "chk_expression_is_true",
     """SELECT l_orderkey, l_linenumber, l_quantity, l_discount FROM lineitem
@@ -305,6 +369,21 @@ def chk_not_empty_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.not_empty_string(lines, "line").rows
 
 
+@query(
+    "chk_not_empty_string_tags",
+    """SELECT page_id, trim(piece) AS piece FROM (
+      SELECT page_id, unnest(string_split(html, '>')) AS piece FROM pages)
+    WHERE trim(piece) = ''""",
+)
+def chk_not_empty_string_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What follows each tag of a page, the last of them included, after which nothing comes."""
+    pieces = table(spark, sf_dir, "pages").select(
+        "page_id", F.explode(F.split("html", ">")).alias("piece")
+    )
+    found = checks.not_empty_string(pieces, "piece")
+    return found.table.where(found.broken).select("page_id", F.trim("piece").alias("piece"))
+
+
 @query(
     "chk_not_null",
     f"""{EVENTS_SQL}
