@@ -81,7 +81,7 @@ def test_a_third_of_all_rows_is_one_vector(spark, monkeypatch):
 def test_isolated_queries_beside_a_dense_cluster(spark, monkeypatch):
     """Nobody is near them, so their buckets are empty; they are compared with all vectors."""
     monkeypatch.setattr(neighbours, "BOUND_ROWS", 20)
-    monkeypatch.setattr(neighbours, "tune", lambda *_: (12, 1))
+    monkeypatch.setattr(neighbours, "tune", lambda *_: neighbours.Setting(4, 12, 1.4, 1))
     rng = np.random.default_rng(5)
     x = rng.normal(size=(1200, 16)) * 0.02 + np.eye(16)[0]
     x[::100] = rng.normal(size=(12, 16))
@@ -120,3 +120,55 @@ def test_probes_come_by_rising_cost():
     grid = np.array(np.meshgrid(*[[-1, 0, 1]] * 5)).reshape(5, -1).T
     every = (np.where(grid < 0, inside**2, 0) + np.where(grid > 0, (1 - inside) ** 2, 0)).sum(1)
     assert np.allclose(np.sort(every)[:60], cost)
+
+
+def work_of(x, setting, seed=42):
+    """Mean of the rows that a query meets in its buckets, and of the neighbours among them."""
+    met = hits = 0
+    queries = range(0, len(x), 50)
+    own = neighbours.Hasher(x.shape[1], setting, seed)
+    cells = [own.cells(x, t) for t in range(setting.tables)]
+    keys = [own.keys(c, t) for t, c in enumerate(cells)]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in queries:
+        seen = np.zeros(len(x), bool)
+        for t in range(setting.tables):
+            probed = own.keys(np.floor(cells[t][q]) + neighbours.probes(cells[t][q], setting.probes), t)
+            here = np.isin(keys[t], probed)
+            met += here.sum()
+            seen |= here
+        near = unit @ unit[q]
+        near[q] = -2
+        hits += seen[np.argsort(-near)[:5]].sum()
+    return met / len(queries), hits / (5 * len(queries))
+
+
+@pytest.mark.parametrize("kind", ["random", "clusters", "one cluster"])
+def test_the_setting_meets_less_than_a_scan(spark, kind):
+    """Work and recall of the chosen setting, on vectors it was not measured on."""
+    rng = np.random.default_rng(6)
+    if kind == "random":
+        x = rng.normal(size=(2500, 64))
+    elif kind == "clusters":
+        x = rng.normal(size=(80, 64))[rng.integers(0, 80, 2500)] + 0.3 * rng.normal(size=(2500, 64))
+    else:
+        x = np.concatenate([rng.normal(size=(1600, 64)), np.eye(64)[0] + 0.02 * rng.normal(size=(900, 64))])
+    table = spark.createDataFrame(rows_of(x), SCHEMA)
+    packed = neighbours.vectors(table).select("vec", F.array("vec_id").alias("ids")).cache()
+    setting = neighbours.tune(packed, 5, neighbours.RECALL, 42)
+    met, recall = work_of(x, setting)
+    assert recall >= 0.9
+    assert met <= len(x)
+    if kind == "clusters":
+        assert met <= 0.2 * len(x)
+
+
+def test_the_coarsest_setting_meets_all_rows(spark, monkeypatch):
+    """Where no other setting would do, each query still meets its neighbours."""
+    monkeypatch.setattr(neighbours, "GRID", neighbours.GRID[-1:])
+    x = np.random.default_rng(7).normal(size=(400, 6)).astype("f")
+    rows = rows_of(x)
+    got = found(neighbours.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0))
+    assert {q: [i for i, _ in near] for q, near in got.items()} == {
+        q: [i for i, _ in near] for q, near in plain(rows, 20).items()
+    }

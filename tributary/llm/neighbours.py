@@ -6,9 +6,13 @@ and then into those where some projections move to a neighbouring cell, in the o
 chance that a near vector fell there (the squared distances to the cell borders, added up).
 Candidates of all tables are ranked by exact cosine in double precision.
 
-How many buckets are probed is measured, not guessed: the true neighbours of ``TUNING_QUERIES``
-sampled vectors are found among all vectors, and probes are added until the wanted share of
-them is met. If ``MOST_PROBES`` do not suffice, buckets are made coarser.
+Tables, projections, the width of cells and the number of probes are measured, not guessed.
+The true neighbours of ``TUNING_QUERIES`` sampled vectors are found among all vectors. For each
+setting of a grid, probes are added until the wanted share of them is met, and what is then
+met in these buckets is counted on ``COUNTED_ROWS`` sampled vectors, repeats in other tables
+included. The setting with the least work is taken. The coarsest one has cells so wide that
+its probes meet all vectors once: no setting compares more than a scan would, and none is
+taken that misses the wanted share.
 
 Equal vectors are indexed once, with the few smallest ids that can matter. Buckets are matched
 block by block: both sides of a bucket are cut into blocks of bounded size, and a pair of
@@ -28,6 +32,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -38,19 +43,34 @@ from pyspark.sql import functions as F
 
 from tributary.llm.tables import batches, pick, sampled, stored
 
-TABLES = 4
-WIDTH = 1.4
 RECALL = 0.96
-TUNING_QUERIES = 100
+TUNING_QUERIES = 80
+COUNTED_ROWS = 2048
 #: Vectors that every query is compared with first.
 BOUND_ROWS = 1000
 MOST_PROBES = 200
 #: Rows of a block of a bucket.
 BLOCK_ROWS = 2048
-#: Buckets are made about so large, if recall allows.
-BUCKET_ROWS = 1000
-#: Bits that one projection tells about a random direction at this width.
-_BITS_EACH = 1.56
+#: What a probe costs, in comparisons.
+PROBE_COST = 4
+
+
+@dataclass(frozen=True)
+class Setting:
+    """Tables, projections in each, width of the cells, and buckets probed in a table."""
+
+    tables: int
+    projections: int
+    width: float
+    probes: int = 0
+
+
+#: Settings that are tried. On the last, a unit vector's projection leaves its cell at most
+#: for the next one.
+GRID = (
+    *(Setting(2, k, w) for w in (1.4, 2.0, 2.8) for k in (2, 4, 6, 8, 10, 12, 16, 20)),
+    Setting(1, 1, 16.0),
+)
 
 
 def unpack(packed: Iterator[bytes]) -> np.ndarray:
@@ -77,18 +97,19 @@ def vectors(table: DataFrame) -> DataFrame:
 class Hasher:
     """Projections of all tables for vectors of one length."""
 
-    def __init__(self, size: int, tables: int, projections: int, seed: int) -> None:
+    def __init__(self, size: int, setting: Setting, seed: int) -> None:
+        tables, projections = setting.tables, setting.projections
         rng = np.random.default_rng([seed, size, projections])
-        self.tables = tables
+        self.width = setting.width
         self.at = rng.standard_normal((tables, size, projections))
-        self.shift = rng.uniform(0, WIDTH, (tables, projections))
+        self.shift = rng.uniform(0, setting.width, (tables, projections))
         self.mix = rng.integers(1, 1 << 62, (tables, projections)) * 2 + 1
         self.start = rng.integers(0, 1 << 62, tables) + size
 
     def cells(self, x: np.ndarray, table: int) -> np.ndarray:
         """Places in units of the cell width; their floors are the cells."""
         unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-        return (unit @ self.at[table] + self.shift[table]) / WIDTH
+        return (unit @ self.at[table] + self.shift[table]) / self.width
 
     def keys(self, cells: np.ndarray, table: int) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -96,8 +117,8 @@ class Hasher:
 
 
 @lru_cache(maxsize=64)
-def hasher(size: int, tables: int, projections: int, seed: int) -> Hasher:
-    return Hasher(size, tables, projections, seed)
+def hasher(size: int, setting: Setting, seed: int) -> Hasher:
+    return Hasher(size, setting, seed)
 
 
 def probes(place: np.ndarray, most: int) -> np.ndarray:
@@ -145,8 +166,9 @@ def _best(queries: np.ndarray, rows: np.ndarray, most: int) -> Iterator[tuple[in
             yield at + i, near, cosines(queries[at + i], rows[near])
 
 
-def _with_keys(rows: DataFrame, projections: int, tables: int, seed: int) -> DataFrame:
+def _with_keys(rows: DataFrame, setting: Setting, seed: int) -> DataFrame:
     """Adds the table and the bucket; every row once for each table."""
+    tables = setting.tables
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         packed = part.column("vec").to_pylist()
@@ -155,7 +177,7 @@ def _with_keys(rows: DataFrame, projections: int, tables: int, seed: int) -> Dat
         for size in np.unique(sizes):
             at = np.flatnonzero(sizes == size)
             x = unpack(packed[i] for i in at)
-            own = hasher(int(size) // 8, tables, projections, seed)
+            own = hasher(int(size) // 8, setting, seed)
             for t in range(tables):
                 out[t, at] = own.keys(own.cells(x, t), t)
         repeated = part.take(pa.array(np.tile(np.arange(len(packed)), tables)))
@@ -171,19 +193,17 @@ def _with_keys(rows: DataFrame, projections: int, tables: int, seed: int) -> Dat
     return batches(rows, work, _schema(rows, "tab int, bucket bigint"))
 
 
-def _with_probes(
-    rows: DataFrame, projections: int, tables: int, most: int, seed: int
-) -> DataFrame:
+def _with_probes(rows: DataFrame, setting: Setting, seed: int) -> DataFrame:
     """Adds table and bucket; every row once for each bucket that it looks into."""
 
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         index, tab, bucket = [], [], []
         for i, packed in enumerate(part.column("vec").to_pylist()):
             x = unpack([packed])
-            own = hasher(x.shape[1], tables, projections, seed)
-            for t in range(tables):
+            own = hasher(x.shape[1], setting, seed)
+            for t in range(setting.tables):
                 place = own.cells(x, t)[0]
-                moved = np.unique(own.keys(np.floor(place) + probes(place, most), t))
+                moved = np.unique(own.keys(np.floor(place) + probes(place, setting.probes), t))
                 index += [i] * len(moved)
                 tab += [t] * len(moved)
                 bucket += moved.tolist()
@@ -350,38 +370,67 @@ def _truth(different: DataFrame, sample: list[bytes], most: int) -> list[tuple[i
     return [(row.asked, bytes(row.vec)) for row in near.select("asked", "vec").collect()]
 
 
-def tune(
-    different: DataFrame, most: int, tables: int, recall: float, seed: int
-) -> tuple[int, int]:
-    """(projections, probes) that meet the wanted share of true neighbours of a sample."""
-    rows = different.count()
-    start = int(np.log2(max(rows, 1) / BUCKET_ROWS) / _BITS_EACH) if rows > BUCKET_ROWS else 2
-    chosen = sampled(different.select("vec"), F.xxhash64(F.lit(seed), "vec"), TUNING_QUERIES)
-    sample = [bytes(row.vec) for row in chosen.collect()]
-    truth = _truth(different, sample, most)
-    for projections in range(max(start, 2), 1, -1):
-        need = []  # probes until a neighbour is met
-        for asked, near in truth:
-            x = unpack([sample[asked], near])
-            own = hasher(x.shape[1], tables, projections, seed)
-            ranks = []
-            for t in range(tables):
-                place = own.cells(x, t)
-                wanted = own.keys(place[1], t)
-                keys = own.keys(np.floor(place[0]) + probes(place[0], MOST_PROBES), t)
-                ranks += np.flatnonzero(keys == wanted)[:1].tolist()
-            need.append(min(ranks, default=MOST_PROBES) + 1)
-        enough = int(np.quantile(need, recall, method="higher")) if need else 1
-        if enough <= MOST_PROBES or projections == 2:
-            return projections, min(enough, MOST_PROBES)
-    raise AssertionError
+def _measured(
+    setting: Setting,
+    queries: list[bytes],
+    truth: list[tuple[int, bytes]],
+    rows: list[bytes],
+    recall: float,
+    seed: int,
+) -> tuple[int, float] | None:
+    """Probes until the wanted share of true neighbours is met, and the share of all rows that
+    a query meets then; None if ``MOST_PROBES`` do not suffice."""
+    near: list[list[bytes]] = [[] for _ in queries]
+    for asked, vec in truth:
+        near[asked].append(vec)
+    need, met = [], np.zeros(MOST_PROBES)
+    for n, query in enumerate(queries):
+        alike = [vec for vec in rows if len(vec) == len(query)]
+        x = unpack([query, *near[n], *alike])
+        own = hasher(x.shape[1], setting, seed)
+        first = np.full(len(near[n]), MOST_PROBES)
+        for t in range(setting.tables):
+            place = own.cells(x, t)
+            keys = own.keys(np.floor(place[0]) + probes(place[0], MOST_PROBES), t)
+            order = np.argsort(keys, kind="stable")
+            wanted = own.keys(place[1:], t)
+            at = order[np.minimum(np.searchsorted(keys, wanted, sorter=order), len(keys) - 1)]
+            rank = np.where(keys[at] == wanted, at, MOST_PROBES)
+            first = np.minimum(first, rank[: len(first)])
+            met += np.bincount(rank[len(first) :], minlength=MOST_PROBES + 1)[:MOST_PROBES]
+        need += first.tolist()
+        if n == 15 and np.mean(np.array(need) == MOST_PROBES) > 3 * (1 - recall):
+            return None  # far from it
+    last = int(np.quantile(need, recall, method="higher")) if need else 0
+    if last == MOST_PROBES:
+        return None
+    return last + 1, float(met[: last + 1].sum()) / max(len(rows) * len(queries), 1)
+
+
+def tune(different: DataFrame, most: int, recall: float, seed: int) -> Setting:
+    """The setting of ``GRID`` with the least work that meets the wanted share of true
+    neighbours of a sample."""
+    n = different.count()
+    vecs = different.select("vec")
+    chosen = sampled(vecs, F.xxhash64(F.lit(seed), "vec"), TUNING_QUERIES).collect()
+    queries = [bytes(row.vec) for row in chosen]
+    truth = _truth(different, queries, most)
+    counted = sampled(vecs, F.xxhash64(F.lit(seed + 2), "vec"), COUNTED_ROWS).collect()
+    rows = [bytes(row.vec) for row in counted]
+    best = (float("inf"), replace(GRID[-1], probes=3))
+    for setting in GRID:
+        found = _measured(setting, queries, truth, rows, recall, seed)
+        if found:
+            probed, share = found
+            work = share * n + setting.tables * PROBE_COST * probed
+            best = min(best, (work, replace(setting, probes=probed)), key=lambda x: x[0])
+    return best[1]
 
 
 def nearest(
     table: DataFrame,
     is_query: Column,
     neighbours: int = 5,
-    tables: int = TABLES,
     recall: float = RECALL,
     seed: int = 42,
 ) -> DataFrame:
@@ -400,7 +449,7 @@ def nearest(
         .agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     )
     different = stored(different, "different")
-    projections, looks = tune(different, neighbours, tables, recall, seed)
+    setting = tune(different, neighbours, recall, seed)
     queries = rows.where(is_query).distinct()
     asking = (
         queries.groupBy("vec")
@@ -413,8 +462,8 @@ def nearest(
     at_once = asking.select("qid", "qhash", F.inline("best"))
     asking = asking.drop("best")
     query = ["qid", "qhash"]
-    indexed = _with_keys(different, projections, tables, seed)
-    probing = _with_probes(asking, projections, tables, looks, seed)
+    indexed = _with_keys(different, setting, seed)
+    probing = _with_probes(asking, setting, seed)
     cells = _cells(indexed, probing)
 
     def nearest_met(rows: DataFrame) -> DataFrame:
@@ -427,7 +476,7 @@ def nearest(
     counts = near.groupBy(*query).agg(F.count("*").alias("n"))
     few_near = asking.join(counts, query, "left").where(F.coalesce("n", F.lit(0)) < most).drop("n")
     enough = (
-        _with_probes(few_near.select("vec", *query), projections, tables, looks, seed)
+        _with_probes(few_near.select("vec", *query), setting, seed)
         .select(*query, *_KEY)
         .join(cells, _KEY)
         .groupBy(*query, "tab")
