@@ -94,6 +94,58 @@ def test_thresholds_come_from_rows_outside_the_sample_too(spark, docs):
     assert not any(judged[i] for i in order[::8])
 
 
+def plain_depth(forest, tree, row, node=0):
+    """Cuts until the row is alone or the tree ends, and what a full tree would take from there."""
+    if forest.feature[tree, node] < 0:
+        return forest.path[tree, node]
+    right = row[forest.feature[tree, node]] >= forest.cut[tree, node]
+    return plain_depth(forest, tree, row, 2 * node + 1 + right)
+
+
+def test_scores_are_those_of_a_plain_isolation_forest():
+    """Path lengths by recursion, scored as two to the minus mean depth over the usual depth."""
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(200, 4)), 1)
+    x[:, 3] = 0  # a constant column is never cut
+    forest = quality.fit_forest(x, trees=30, rows=64)
+    usual = 2 * (np.log(63) + 0.5772156649015329) - 2 * 63 / 64
+    probe = np.concatenate([x[:40], rng.normal(size=(20, 4)) * 5])
+    depths = np.array([[plain_depth(forest, t, row) for t in range(30)] for row in probe])
+    assert forest.scores(probe) == pytest.approx(2.0 ** (-depths.mean(axis=1) / usual), abs=2e-3)
+    assert not (forest.feature == 3).any()
+    # Each cut lies inside what reaches it, and leaves rows on both sides.
+    for t in range(30):
+        for node in np.flatnonzero(forest.feature[t] >= 0):
+            assert forest.path[t, 2 * node + 1] > 0 and forest.path[t, 2 * node + 2] > 0
+
+
+def test_one_id_repeated_changes_nothing_else(spark, docs, corpus):
+    """Twenty thousand copies of one good document, and as many texts under one id."""
+    rows, labels = corpus
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    alone = quality.fit_rules(docs(rows), known, sample_rows=50)
+    many = docs(rows).union(docs([rows[1]]).crossJoin(spark.range(20_000)).drop("id"))
+    others = spark.range(20_000).selectExpr(
+        "cast(2 as long) as doc_id", "repeat(concat('word', id, ' and more of it. '), 30) as text",
+        "'en' as lang", "'a' as source", "0L as n_chars",
+    )
+    wanted = {r.doc_id: r.kept for r in quality.judge(docs(rows), alone).collect()}
+    assert sum(not kept for kept in wanted.values()) == 50
+    for table in (many, docs(rows).union(others)):
+        rules = quality.fit_rules(table, known, sample_rows=50)
+        assert rules.parts
+        got = {r.doc_id: r.kept for r in quality.judge(docs(rows), rules).collect()}
+        assert got == wanted
+
+
+def test_letter_case_of_columns(spark, docs, corpus):
+    rows, labels = corpus
+    rules = quality.fit_rules(docs(rows), spark.createDataFrame(labels, "doc_id long, quality int"))
+    upper = docs(rows).withColumnsRenamed({"text": "TEXT", "doc_id": "Doc_Id"})
+    kept = quality.keep_good(upper, rules)
+    assert kept.columns == upper.columns and kept.count() == 350
+
+
 def test_edge_rows(spark, docs, corpus):
     rows, labels = corpus
     labels = [*labels, (None, 0), (7, None), (99_999, 1), (4, 1), (4, 1)]

@@ -1,12 +1,14 @@
 """Each query over the smallest tables, and the pipeline against its stages told plainly."""
 
+import random
+import zlib
 from collections import Counter
 
 import corpus_pipeline
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from samples import SF
+from samples import SF, docs, edge_rows, sentence  # noqa: F401  (docs is a fixture)
 from tokenizers import Tokenizer
 
 from tributary.llm import mixing, packing, personal, quality, queries, simhash
@@ -106,6 +108,70 @@ def test_pipeline(spark, texts):
     assert len(used) <= 1.05 * sum(used.values()) / packing.LENGTH + 1
 
 
+def test_stages_on_edge_rows(spark, docs, tmp_path):
+    """Nulls, empties, very long texts, ties, repeats, clashing columns; and no rows at all."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(i, f"{i} " + sentence(random.Random(i), 120) + f" {i}", "en", "a", 1) for i in range(20, 40)]
+    table = docs([*edge_rows(), *rows], clash=True)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, str(tmp_path))
+        assert out.columns == table.columns, name
+        found = out.collect()
+        texts = [r[1] for r in found]
+        if name == "quality_rules":  # all that is short goes; repeats stay together
+            assert not {None, "", "ein"} & set(texts)
+            assert sum(r[0] == 4 for r in found) in (0, 2)
+        if name == "near_dedup":
+            assert len(found) == len({(r[0], r[1]) for r in found})
+            assert {r[0] for r in found} >= set(range(20, 40))
+            assert sum(not (t or "").split() for t in texts) == 1
+        if name == "pii":
+            assert len(found) == len(rows) + len(edge_rows())
+        if name == "mixing":
+            assert found and all((t or "").split() for t in texts)
+        upper = docs(rows).toDF("DOC_ID", "Text", "LANG", "Source", "n_Chars")
+        assert stage(spark, upper, str(tmp_path)).columns == upper.columns
+        none = docs([])
+        assert stage(spark, none, str(tmp_path)).collect() == []
+    packed = corpus_pipeline.STAGES[-1][1](spark, table, str(tmp_path)).collect()
+    assert sum(r.piece == 0 for r in packed) == len(rows) + len(edge_rows())
+    assert corpus_pipeline.STAGES[-1][1](spark, docs([]), str(tmp_path)).collect() == []
+
+
+def test_what_the_queries_add(spark, texts):
+    """Columns that are made in the queries and not by the operators."""
+    run = {name.split("_")[0]: rows for name, rows in ((n, q(spark, SF)) for n, q in queries.QUERIES.items()
+           if n.split("_")[0] in ("op1", "op2", "op6", "op8", "op9"))}
+    for r in run["op1"].collect():
+        assert r.over_limit == (r.n_tokens > 2048) and r.n_bytes == len((texts[r.doc_id]["text"] or "").encode())
+    for r in run["op2"].collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1
+    for r in run["op6"].collect():
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < 16
+        assert r["size"] == len((texts[r.doc_id]["text"] or "").encode()) + 1
+    for r in run["op8"].collect():
+        assert r.fingerprint == f"{simhash.fingerprint(texts[r.doc_id]['text']):016x}"
+    taken, target, sizes = Counter(), {}, {}
+    for r in run["op9"].collect():
+        words = len((texts[r.doc_id]["text"] or "").encode().split())
+        assert r["size"] == words and r.taken % max(words, 1) == 0 and r.taken <= 3 * words
+        source = texts[r.doc_id]["source"]
+        taken[source] += r.taken
+        target[source] = r.target
+        sizes.setdefault(source, []).append(words)
+    for source, own in sizes.items():
+        whole = sum(own)
+        full = min(int(target[source] // whole), 3)
+        reached = 1  # a bit for each sum of some documents
+        for words in own:
+            reached |= reached << words
+        budget = min(round(target[source] - full * whole), whole)
+        best = (reached & ((1 << budget + 1) - 1)).bit_length() - 1
+        assert taken[source] == full * whole + best
+
+
 def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -132,6 +132,42 @@ def test_one_document_of_each_component_stays(docs):
     )
 
 
+@pytest.mark.parametrize("seen", [1, 1 << 40])
+def test_crowded_variants(spark, monkeypatch, seen):
+    """Prints around one template, more than may meet: found in time and dealt, or met first."""
+    monkeypatch.setattr(simhash, "_SEEN", seen)
+    rng = random.Random(9)
+    base = rng.getrandbits(64)
+    prints = {base}
+    while len(prints) < 700:
+        own = base
+        for _ in range(rng.randint(1, 6)):
+            own ^= 1 << rng.randrange(32, 64)
+        prints.add(own)
+    prints |= {rng.getrandbits(64) for _ in range(50)}
+    table = spark.createDataFrame([(int(np.uint64(p).astype(np.int64)),) for p in prints], "print long")
+    known = simhash._crowded_keys(table, 40).count()
+    assert known > 0 if seen == 1 else known == 0
+    links = {(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash.links(table, 3, 40).collect()}
+    assert len(links) < 64 * len(prints)
+    parent = {p: p for p in prints}
+
+    def root(p):
+        while parent[p] != p:
+            p = parent[p]
+        return p
+
+    for a, b in links:
+        parent[root(a)] = root(b)
+    ordered = sorted(prints)
+    wanted = plain_groups(ordered, 3)
+    groups = {}
+    for p, group in zip(ordered, wanted, strict=True):
+        groups.setdefault(group, set()).add(root(p))
+    assert all(len(roots) == 1 for roots in groups.values())
+    assert len({root(p) for p in ordered}) == len(groups)
+
+
 def test_ids_may_be_null_or_repeated_and_tables_empty(docs):
     a, b = "one two three four", "five six seven eight"
     rows = [(None, a, None, None, None), (None, a, None, None, None), (1, b, "x", "y", 2),

@@ -115,6 +115,44 @@ def test_archives_of_others(spark, tmp_path, suffix):
     assert [bytes(r.payload)[-6:] for r in some.collect()] == [b"body 3"]
 
 
+def with_http(n, length=None, kind=b"application/http; msgtype=response"):
+    body = b"HTTP/1.1 200 OK\r\nX: %s\r\n\r\nbody %d\r\n\r\n" % (b"y" * 5000, n)
+    told = b"%d" % len(body) if length is None else length
+    return (
+        b"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: %s\r\nWARC-Record-ID: <urn:x:%d>\r\n"
+        b"Content-Length: %s\r\n\r\n%s\r\n\r\n" % (kind, n, told, body)
+    )
+
+
+@pytest.mark.parametrize("suffix", ["warc", "warc.gz"])
+def test_http_headers_and_bad_lengths(spark, tmp_path, suffix):
+    data = [
+        with_http(0), with_http(1, b"5x"), with_http(2, b""), with_http(3, kind=b"text/plain"), with_http(4),
+        b"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http\r\nWARC-Record-ID: <urn:x:5>\r\n"
+        b"Content-Length: 8\r\n\r\nno http!\r\n\r\n",
+    ]
+    (tmp_path / f"a.{suffix}").write_bytes(b"".join(data if suffix == "warc" else map(gzip.compress, data)))
+    rows = {r.record_id[-1]: r for r in warc.read(spark, str(tmp_path)).collect()}
+    assert set(rows) == set("012345")
+    for n in "04":
+        assert bytes(rows[n].payload) == b"body %s\r\n\r\n" % n.encode() and rows[n].payload_length == 10
+    for n in "12":
+        assert rows[n].payload is None and rows[n].payload_length is None
+    assert rows["3"].payload_length == len(rows["3"].payload) > 5000
+    assert bytes(rows["5"].payload) == b"no http!"
+    assert warc.read(spark, str(tmp_path), payload=False).where("payload_length = 10").count() == 2
+
+
+def test_headers_that_others_ask_for(spark, tmp_path):
+    warc.write(warc.page_records(pages_of(spark)), f"{tmp_path}/out")
+    heads = b""
+    for path in (tmp_path / "out").glob("*.warc.gz"):
+        heads += gzip.decompress(path.read_bytes())
+    revisits = heads.count(b"WARC-Type: revisit\r\n")
+    assert heads.count(b"WARC-Profile: " + warc.PROFILE.encode()) == revisits > 0
+    assert heads.count(b"Content-Type: text/html") == heads.count(b"WARC-Type: response\r\n")
+
+
 def test_empty_table(spark, tmp_path):
     warc.write(warc.page_records(spark.createDataFrame([], PAGES)), f"{tmp_path}/out")
     assert warc.read(spark, f"{tmp_path}/out").count() == 0

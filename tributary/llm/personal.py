@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.llm.crf import KINDS, LABELS, Tagger, tokens, train
-from tributary.llm.tables import batches, each_row, pick
+from tributary.llm.tables import batches, each_row, pick, place
 
 Span = tuple[str, int, int]
 
@@ -311,9 +311,12 @@ def hidden(text: str, spans: list[Span]) -> str:
 def redact(docs: DataFrame, tagger: Tagger) -> DataFrame:
     """The documents with personal data replaced; ``n_chars`` follows where there is one."""
     names = docs.columns
+    text_at = int(place(docs, "text")[1:])
+    counted = "n_chars" in [name.lower() for name in names]
+    chars_at = int(place(docs, "n_chars")[1:]) if counted else -1
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        old = part.column(names.index("text"))
+        old = part.column(text_at)
         texts = [x.as_py() for x in old]
         found = all_spans([text or "" for text in texts], tagger)
         new = [
@@ -321,9 +324,9 @@ def redact(docs: DataFrame, tagger: Tagger) -> DataFrame:
             for text, (_, spans) in zip(texts, found, strict=True)
         ]
         columns = list(part.columns)
-        columns[names.index("text")] = pa.array(new, old.type)
-        if "n_chars" in names:
-            at = names.index("n_chars")
+        columns[text_at] = pa.array(new, old.type)
+        if counted:
+            at = chars_at
             counts = [
                 len(text) if spans else n.as_py()
                 for text, (_, spans), n in zip(new, found, columns[at], strict=True)

@@ -8,7 +8,8 @@ halves meet everywhere. Fingerprints that meet are compared bit by bit.
 Equal fingerprints are merged first, so copies cost nothing. The pairs under one variant are
 compared in numpy and only a spanning star of what is linked leaves a task, never all pairs. A
 variant with more than ``MEET`` fingerprints is dealt out again by variants of the quarters
-of the other half, under which at most 2**18 different fingerprints can meet.
+of the other half, under which at most 2**18 different fingerprints can meet. The most crowded
+ones, found on a part of the fingerprints, are dealt out before they ever meet in one task.
 
 Defined results: null and empty texts have no words and the fingerprint zero, which links like
 any other; a text of fewer than three words is one shingle; repeated rows are linked to each
@@ -34,6 +35,9 @@ SHINGLE = 3
 MAX_BITS = 3
 MEET = 2048
 _SLICE = 1 << 15
+# Crowded keys are looked for among one print in so many; so many keys at most are dealt out
+# before their prints meet, each over so many tasks.
+_SEEN, _KEYS, _DEALS = 64, 4096, 64
 _NO_ID = -(2**63)
 
 
@@ -178,11 +182,17 @@ def _meet(
     max_bits: int,
     most: int | None,
 ) -> DataFrame:
-    """(a, b, crowded): links, or with ``crowded`` the key and print of a crowded key's rows."""
+    """(a, b, crowded): links, or with ``crowded`` the key and print of a crowded key's rows.
+
+    ``keyed`` has (key, print) and maybe ``dealt``, true for keys known to be crowded: their
+    rows go to many tasks, and all of them are passed on as crowded.
+    """
+    if "dealt" not in keyed.columns:
+        keyed = keyed.withColumn("dealt", F.lit(False))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets()
-        keys, prints = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []  # rows of the last key so far
 
         def rows(a: np.ndarray, b: np.ndarray, crowded: bool) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -199,27 +209,52 @@ def _meet(
             some = (size > 1) & ~many
             _compare(keys[some], prints[some], wiped(keys[some]), max_bits, sets)
 
+        def settled() -> Iterator[pa.RecordBatch]:
+            if waiting:
+                yield from settle(*(np.concatenate(column) for column in zip(*waiting, strict=True)))
+                waiting.clear()
+
         for part in parts:
-            keys = np.concatenate([keys, part.column("key").to_numpy()])
-            prints = np.concatenate([prints, part.column("print").to_numpy().view(np.uint64)])
+            keys = part.column("key").to_numpy()
+            prints = part.column("print").to_numpy().view(np.uint64)
+            dealt = part.column("dealt").to_numpy(zero_copy_only=False).astype(bool)
+            if dealt.any():
+                yield rows(keys[dealt], prints[dealt].view(np.int64), True)
+                keys, prints = keys[~dealt], prints[~dealt]
             if not len(keys):
                 continue
             last = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
-            yield from settle(keys[:last], prints[:last])
-            keys, prints = keys[last:], prints[last:]
-        yield from settle(keys, prints)
+            if last or (waiting and waiting[0][0][0] != keys[0]):
+                waiting.append((keys[:last], prints[:last]))
+                yield from settled()
+            waiting.append((keys[last:], prints[last:]))
+        yield from settled()
         nodes = np.fromiter(sets.parent, np.uint64, len(sets.parent))
         roots = np.fromiter(map(sets.root, sets.parent), np.uint64, len(sets.parent))
         own = nodes != roots
         yield rows(nodes[own].view(np.int64), roots[own].view(np.int64), False)
 
+    deal = F.when(F.col("dealt"), F.pmod(F.xxhash64("print"), F.lit(_DEALS))).otherwise(0)
     return (
-        keyed.repartition("key")
+        keyed.repartition("key", deal)
         .sortWithinPartitions("key")
         .mapInArrow(run, "a bigint, b bigint, crowded boolean")
     )
 
 
+def _crowded_keys(prints: DataFrame, meet: int) -> DataFrame:
+    """Keys of halves that many prints share, seen in one print of ``_SEEN``: the most crowded
+    ``_KEYS`` of those with over ``meet`` prints or so.
+
+    It only tells whose rows to deal out before they meet; keys that it misses are found
+    crowded when they do.
+    """
+    some = prints.where(F.pmod(F.xxhash64(F.lit(7), "print"), F.lit(_SEEN)) == 0)
+    counts = batches(some, _halves, "key bigint, print bigint").groupBy("key").count()
+    many = counts.where(F.col("count") > max(meet / _SEEN, 1))
+    return many.orderBy(F.desc("count"), "key").limit(_KEYS).select("key", F.lit(True).alias("dealt"))
+
+
 def links(prints: DataFrame, max_bits: int = MAX_BITS, meet: int = MEET) -> DataFrame:
     """(a, b): links that join up all different prints within ``max_bits`` (at most 3) bits."""
     if not 0 <= max_bits <= MAX_BITS:
@@ -228,7 +263,12 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, meet: int = MEET) -> Data
     partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     prints = prints.repartition(partitions, "print")
     pair = "key bigint, print bigint"
-    found = stored(_meet(batches(prints, _halves, pair), _wiped_of_halves, max_bits, meet), "links")
+    keyed = batches(prints, _halves, pair)
+    known = stored(_crowded_keys(prints, meet), "crowded")
+    if not known.isEmpty():
+        dealt = keyed.join(F.broadcast(known), "key", "left")
+        keyed = dealt.withColumn("dealt", F.coalesce("dealt", F.lit(False)))
+    found = stored(_meet(keyed, _wiped_of_halves, max_bits, meet), "links")
     near = found.where("not crowded").select("a", "b")
     crowded = found.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("print"))
     if crowded.isEmpty():

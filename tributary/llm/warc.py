@@ -12,6 +12,12 @@ Writing. Each task writes its own files, a new one after ``file_bytes``, every r
 member of its own. Only when all tasks are done a list of their files is written, and readers
 go by that list, so files of failed or repeated attempts are never read.
 
+Archives of others. A block whose ``Content-Type`` is ``application/http`` is an HTTP message:
+its header is no part of the payload, nor of ``payload_length`` unless the record tells that
+itself; chunked or compressed bodies stay as they are. Where ``Content-Length`` is no number
+the length and the payload are null, and reading goes on at the next gzip member, or in a
+plain file at the next line that opens a record.
+
 Paths go through ``pyarrow.fs``, so any store that it reaches will do; nothing is read or
 written beside the path. Line breaks in header values are percent-encoded, null values are left out
 and read as null. An empty table gives an archive without records.
@@ -22,7 +28,7 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import IO, Any
 from uuid import uuid4
@@ -74,6 +80,15 @@ _BRACKETED = ("record_id", "refers_to")
 _END = b"\r\n\r\n"
 
 
+# What is written of a payload, and why a revisit holds none.
+CONTENT_TYPE = "text/html; charset=utf-8"
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Media type of blocks that hold an HTTP message; their payload is its body.
+_HTTP = "application/http"
+#: Most bytes of a block that are searched for the end of an HTTP header.
+_HTTP_HEAD = 1 << 20
+
+
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     if path.startswith("file:") and not path.startswith("file://"):
         path = "file://" + path[len("file:") :]
@@ -91,6 +106,10 @@ def encode(record: dict[str, Any], date: str) -> bytes:
         if value is not None:
             value = str(value).replace("\r", "%0D").replace("\n", "%0A")
             lines.append(f"{header}: <{value}>" if name in _BRACKETED else f"{header}: {value}")
+    if record["record_type"] == "revisit":
+        lines.append(f"WARC-Profile: {PROFILE}")
+    else:
+        lines.append(f"Content-Type: {CONTENT_TYPE}")
     lines.append(f"Content-Length: {len(payload)}")
     return b"".join(["\r\n".join(lines).encode(), _END, payload, _END])
 
@@ -108,7 +127,8 @@ def gzip_member(data: bytes, level: int) -> bytes:
 
 
 def decode(head: bytes) -> dict[str, Any]:
-    """Columns of the headers, and the length of the block as ``content``."""
+    """Columns of the headers, the length of the block as ``content``, None if the header
+    does not tell it, and whether the block is an HTTP message as ``http``."""
     found: dict[str, str] = {}
     for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
         name, colon, value = line.partition(":")
@@ -119,12 +139,34 @@ def decode(head: bytes) -> dict[str, Any]:
         value = out[name]
         if value and value[0] == "<" and value[-1] == ">":
             out[name] = value[1:-1]
-    out["content"] = int(found.get("content-length") or 0)
-    length = out["payload_length"]
-    out["payload_length"] = int(length) if length else out["content"]
+    out["content"] = _number(found.get("content-length", "0"))
+    out["http"] = found.get("content-type", "").lower().startswith(_HTTP)
+    told = _number(out["payload_length"] or "")
+    out["payload_length"] = out["content"] if told is None else told
+    # Who told the payload's length did not count an HTTP header.
+    out["told"] = told is not None
     return out
 
 
+def _number(text: str) -> int | None:
+    return int(text) if text.isascii() and text.isdigit() else None
+
+
+def _past_http(row: dict[str, Any], read: Callable[[int], bytes]) -> int:
+    """Length of the HTTP header at the start of a block, which is no part of the payload;
+    ``read(n)`` gives the first n bytes of the block or all there are."""
+    if not row["http"] or row["content"] is None:
+        return 0
+    most = min(row["content"], _HTTP_HEAD)
+    asked = min(4096, most)
+    while (end := (head := read(asked)).find(_END)) < 0 and asked < most and len(head) >= asked:
+        asked = min(2 * asked, most)
+    skip = end + len(_END) if end >= 0 else 0
+    if not row["told"]:
+        row["payload_length"] = row["content"] - skip
+    return skip
+
+
 def accepts(filters: list[Filter], row: dict[str, Any]) -> bool:
     return all(_holds(f, row) is True for f in filters)
 
@@ -222,13 +264,22 @@ def _gzip_records(
             data += more
         head, _, body = data.partition(_END)
         row = decode(head)
+        parts = [body]
+
+        def first(n: int, member=member, parts=parts) -> bytes:
+            while sum(map(len, parts)) < n and (more := member.read(1 << 16)):
+                parts.append(more)
+            return b"".join(parts)[:n]
+
+        skip = _past_http(row, first)
         if accepts(filters, row):
-            if payload:
-                parts, size = [body], len(body)
+            # A record of unknown length has no payload; the member tells where it ends.
+            if payload and row["content"] is not None:
+                size = sum(map(len, parts))
                 while size < row["content"] and (more := member.read(1 << 16)):
                     parts.append(more)
                     size += len(more)
-                row["payload"] = b"".join(parts)[: row["content"]]
+                row["payload"] = b"".join(parts)[skip : row["content"]]
             yield row
         start = member.end()
 
@@ -247,12 +298,35 @@ def _plain_records(
         head, _, _ = data.partition(_END)
         row = decode(head)
         begin = start + len(head) + len(_END)
+
+        def first(n: int, begin=begin) -> bytes:
+            file.seek(begin)
+            return file.read(n)
+
+        skip = _past_http(row, first)
         if accepts(filters, row):
-            if payload:
-                file.seek(begin)
-                row["payload"] = file.read(row["content"])
+            if payload and row["content"] is not None:
+                file.seek(begin + skip)
+                row["payload"] = file.read(row["content"] - skip)
             yield row
-        start = begin + row["content"] + len(_END)
+        if row["content"] is None:
+            start = _next_record(file, begin)
+        else:
+            start = begin + row["content"] + len(_END)
+
+
+def _next_record(file: IO[bytes], start: int) -> int:
+    """Where the next line begins that opens a record, after one of unknown length."""
+    file.seek(start)
+    kept = b""
+    while more := file.read(1 << 16):
+        data = kept + more
+        at = data.find(b"\nWARC/")
+        if at >= 0:
+            return start + at + 1
+        kept = data[-5:]
+        start += len(data) - len(kept)
+    return start + len(kept)
 
 
 @dataclass
