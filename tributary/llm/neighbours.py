@@ -51,8 +51,9 @@ BOUND_ROWS = 1000
 MOST_PROBES = 200
 #: Rows of a block of a bucket.
 BLOCK_ROWS = 2048
-#: What a probe costs, in comparisons.
-PROBE_COST = 4
+#: What a probe costs, in comparisons: a row to shuffle and a small table to rank, where a
+#: comparison is one of many in a product of matrices.
+PROBE_COST = 100
 
 
 @dataclass(frozen=True)
@@ -151,19 +152,31 @@ def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
-def _best(queries: np.ndarray, rows: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, rows, cosines) of at least the ``most`` nearest rows of each query."""
+def _best(
+    queries: np.ndarray, rows: np.ndarray, most: int, least: np.ndarray | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query, rows, cosines) of at least the ``most`` nearest rows of each query, without rows
+    below the query's ``least`` cosine and without queries that have none."""
     unit = rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     own = queries / np.sqrt((queries * queries).sum(axis=1, keepdims=True))
     for at in range(0, len(queries), 512):
         rough = own[at : at + 512] @ unit.T
+        bound = np.full(len(rough), -2.0)
         if len(rows) > most:
-            least = np.partition(rough, -most, axis=1)[:, -most]
-        else:
-            least = np.full(len(rough), -2.0)
-        for i in range(len(rough)):
-            near = np.flatnonzero(rough[i] >= least[i] - 1e-9)
-            yield at + i, near, cosines(queries[at + i], rows[near])
+            bound = np.partition(rough, -most, axis=1)[:, -most]
+        if least is not None:
+            bound = np.maximum(bound, least[at : at + 512])
+        # What is near by the product is looked at exactly; rounding is far below the margin.
+        ask, near = np.nonzero(rough >= bound[:, None] - 1e-9)
+        starts = np.searchsorted(ask, np.arange(len(rough) + 1))
+        for i in np.flatnonzero(np.diff(starts)):
+            chosen = near[starts[i] : starts[i + 1]]
+            scores = cosines(queries[at + i], rows[chosen])
+            if least is not None:
+                enough = scores >= least[at + i]
+                chosen, scores = chosen[enough], scores[enough]
+            if len(chosen):
+                yield at + i, chosen, scores
 
 
 def _with_keys(rows: DataFrame, setting: Setting, seed: int) -> DataFrame:
@@ -265,33 +278,23 @@ def _match(indexed: DataFrame, asking: DataFrame, cells: DataFrame, most: int) -
     kind = "qid bigint, qhash bigint, vec_id bigint, score double"
 
     def match(ask: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        out: list[pd.DataFrame] = []
+        found: dict[str, list] = {"qid": [], "qhash": [], "vec_id": [], "score": []}
         if len(ask) and len(own):
-            x = unpack(own["vec"])
-            ids = own["ids"].to_numpy()
-            for i, near, scores in _best(unpack(ask["vec"]), x, most):
-                least = ask["least"].iloc[i]
+            ids = own["ids"].tolist()
+            qids, hashes = ask["qid"].tolist(), ask["qhash"].tolist()
+            least = ask["least"].to_numpy()
+            for i, near, scores in _best(unpack(ask["vec"]), unpack(own["vec"]), most, least):
                 rows = [
                     (-score, vec_id)
-                    for n, score in zip(near, scores, strict=True)
-                    if score >= least
+                    for n, score in zip(near.tolist(), scores.tolist(), strict=True)
                     for vec_id in ids[n]
                 ]
                 best = heapq.nsmallest(most, rows)
-                if not best:
-                    continue
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "qid": ask["qid"].iloc[i],
-                            "qhash": ask["qhash"].iloc[i],
-                            "vec_id": [vec_id for _, vec_id in best],
-                            "score": [-score for score, _ in best],
-                        }
-                    )
-                )
-        empty = pd.DataFrame({"qid": [], "qhash": [], "vec_id": [], "score": []})
-        return pd.concat(out) if out else empty
+                found["qid"] += [qids[i]] * len(best)
+                found["qhash"] += [hashes[i]] * len(best)
+                found["vec_id"] += [vec_id for _, vec_id in best]
+                found["score"] += [-score for score, _ in best]
+        return pd.DataFrame(found)
 
     return (
         dealt(asking, "ask_block", "row_block")
