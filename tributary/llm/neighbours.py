@@ -53,7 +53,7 @@ MOST_PROBES = 200
 BLOCK_ROWS = 2048
 #: What a probe costs, in comparisons: a row to shuffle and a small table to rank, where a
 #: comparison is one of many in a product of matrices.
-PROBE_COST = 100
+PROBE_COST = 30
 
 
 @dataclass(frozen=True)
