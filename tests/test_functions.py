@@ -65,6 +65,7 @@ def test_safe_divide(table):
         (0, None, None), (None, 9, None), (0, 5, 0.0),
     )
     assert all(row[0] == row[1] for row in df.select(fn.safe_divide("n", "d"), "expected").collect())
+    # Fixed values: (factors, denominator, quotient).
     expressions = table(
         "a int, b int, d int, expected double",
         (0, 5, 9, 0.0), (2, 3, 0, None), (0, 0, 0, None), (3, 4, None, None), (None, 6, 14, None),
@@ -72,6 +73,7 @@ def test_safe_divide(table):
     )
     pairs = expressions.select(fn.safe_divide("a * b", "d"), "expected").collect()
     assert all(row[0] == row[1] for row in pairs)
+    # Fixed values: (numerator, factors of the denominator, quotient).
     below = table(
         "n int, d int, e int, expected double",
         (None, 0, 4, None), (6, 3, 2, 1.0), (0, 2, 6, 0.0), (0, None, 8, None), (5, None, 2, None),
