@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import glob
+import os
+import time
 from datetime import date
 
 import pyarrow.parquet as pq
@@ -14,6 +16,7 @@ from tributary.plans import (
     build_sessions,
     create_model_views,
     flatten_events,
+    fresh_mart,
     funnel_steps,
     funnel_summary,
     read_mart,
@@ -34,6 +37,8 @@ from tributary.sources import (
     scratch,
     scratch_path,
     table_versions,
+    version_age,
+    write_event_tables,
     to_event_records,
     write_version,
 )
@@ -277,3 +282,48 @@ def test_an_empty_refresh_keeps_the_columns(spark, records, tmp_path):
     assert full.count() > 0
     refresh_marts(records.where("false"), steps, summary)
     assert read_mart(spark, summary, schema=full.schema).count() == 0
+
+
+def test_a_mart_is_rebuilt_when_it_is_old(spark, tmp_path):
+    path, made = str(tmp_path / "mart"), []
+
+    def refresh():
+        made.append(len(made))
+        write_funnel_steps(facts(spark, 10 * len(made)), path)
+
+    assert version_age(spark, path) is None
+    assert fresh_mart(spark, path, refresh).count() == 10
+    assert 0 <= version_age(spark, path) < 600
+    kept = fresh_mart(spark, path, refresh)
+    assert kept.count() == 10 and made == [0]
+    assert fresh_mart(spark, path, refresh, max_age=0).count() == 20
+    assert kept.count() == 10
+    (pointer,) = glob.glob(f"{path}/_published/*2.*")
+    os.utime(pointer, (time.time() - 3700,) * 2)
+    assert version_age(spark, path) > 3600
+    assert fresh_mart(spark, path, refresh, max_age=4000).count() == 20
+    assert fresh_mart(spark, path, refresh).count() == 30 and made == [0, 1, 2]
+
+
+def test_a_failed_rebuild_of_an_old_mart_is_told(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    write_funnel_steps(facts(spark, 60), path)
+    with pytest.raises(PySparkException, match="killed midway"):
+        fresh_mart(spark, path, lambda: write_funnel_steps(failing(facts(spark, 100)), path), 0)
+    assert read_mart(spark, path).count() == 60
+
+
+def test_a_table_is_written_for_each_day(spark, records, tmp_path):
+    spark.sql("create database if not exists written_days")
+    days = [F.lit(f"2024010{i}") for i in (1, 2, 3)]
+    rows = records.limit(4).withColumn("event_date", F.explode(F.array(*days)))
+    rows = rows.withColumn("odd name`s", F.lit(1))
+    made = write_event_tables(rows, "written_days", str(tmp_path / "it's"))
+    assert made == ["events_20240101", "events_20240102", "events_20240103"]
+    assert read_event_tables(spark, "written_days", "20240102", "20240103").count() == 8
+    assert spark.table("written_days.events_20240101").schema.names == rows.schema.names
+    assert write_event_tables(rows.where("false"), "written_days", str(tmp_path / "none")) == []
+    odd = rows.withColumn("event_date", F.lit(None).cast("string"))
+    with pytest.raises(ValueError, match="no day"):
+        write_event_tables(odd, "written_days", str(tmp_path / "odd"), "odd_")
+    assert described_tables(spark, "written_days", "odd_") == []

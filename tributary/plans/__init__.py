@@ -7,6 +7,7 @@ chain as one query and prunes columns and partitions through all of it.
 from tributary.plans.events import flatten_events
 from tributary.plans.funnel import channel_group, funnel_steps
 from tributary.plans.marts import (
+    fresh_mart,
     publish_view,
     read_mart,
     refresh_marts,
@@ -24,6 +25,7 @@ __all__ = [
     "channel_group",
     "create_model_views",
     "flatten_events",
+    "fresh_mart",
     "funnel_steps",
     "funnel_summary",
     "model_checks",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -20,11 +21,14 @@ from tributary.sources.versions import (
     publish,
     publish_table,
     read_version,
+    version_age,
     write_table_version,
     write_version,
 )
 
 DAY = "session_date"
+#: Reports show stored data for this long before they ask for newer.
+REPORT_SECONDS = 3600.0
 CLUSTERING = ("attributed_medium", "attributed_source", "device_category")
 
 
@@ -143,6 +147,27 @@ def read_mart(
     return _read(spark, source, False, schema)  # a plain folder
 
 
+def fresh_mart(
+    spark: SparkSession,
+    source: str,
+    refresh: Callable[[], None],
+    max_age: float = REPORT_SECONDS,
+    schema: StructType | None = None,
+) -> DataFrame:
+    """A stored mart published at most ``max_age`` seconds ago, as ``read_mart`` reads it.
+
+    An older one, or one never published, is first rebuilt by ``refresh``, which must publish
+    ``source`` and should make its plans anew, so that input that has come since is seen. All
+    sessions that share the folder share its age. If ``refresh`` fails the error is raised,
+    and the old rows stay readable with ``read_mart``; two sessions that find a mart too old
+    at once both rebuild it, and readers see the one that ended last.
+    """
+    age = version_age(spark, source)
+    if age is None or age >= max_age:
+        refresh()
+    return read_mart(spark, source, schema=schema)
+
+
 def _read(
     spark: SparkSession, source: str, as_table: bool, schema: StructType | None
 ) -> DataFrame:

@@ -8,7 +8,12 @@ from tributary.sources.catalog import (
     relations_by_pattern,
     relations_by_prefix,
 )
-from tributary.sources.events import EVENT_SCHEMA, read_event_tables, read_events
+from tributary.sources.events import (
+    EVENT_SCHEMA,
+    read_event_tables,
+    read_events,
+    write_event_tables,
+)
 from tributary.sources.footers import read_footers
 from tributary.sources.scratch import clear_scratch, scratch_path, stored
 from tributary.sources.seeds import read_seed
@@ -22,6 +27,7 @@ from tributary.sources.versions import (
     release_tables,
     release_versions,
     table_versions,
+    version_age,
     write_table_version,
     write_version,
 )
@@ -50,6 +56,8 @@ __all__ = [
     "stored",
     "table_versions",
     "to_event_records",
+    "version_age",
+    "write_event_tables",
     "write_table_version",
     "write_version",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
@@ -9,6 +11,7 @@ from pyspark.sql.types import ArrayType, DataType, StructType
 from tributary.operators.columns import quoted
 from tributary.operators.reshape import union_all
 from tributary.sources.catalog import Described, described_tables
+from tributary.sources.versions import folder_names
 
 # Only the members that are read: Parquet then skips the rest of the wide records.
 EVENT_SCHEMA = """
@@ -29,6 +32,10 @@ EVENT_SCHEMA = """
 """
 
 
+_FOLDER = "_day"
+_DAY = re.compile(r"\d{8}")
+
+
 def read_events(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
     """Event records of a date range from a Parquet folder partitioned by ``event_date``.
 
@@ -103,6 +110,32 @@ def read_event_tables(
     return union_all([_one_shape(spark, tables, prefix) for tables in shapes.values()])
 
 
+def write_event_tables(
+    records: DataFrame, schema: str, path: str, prefix: str = "events_"
+) -> list[str]:
+    """Writes records of one shape as a catalog table for each day, and returns their names.
+
+    One job writes all days below ``path``, a folder that does not exist yet; each day's
+    folder is then a table named prefix + ``event_date``. Records without a day are an error,
+    found before any table is made, and so is a day that has a table already. No records give
+    no tables.
+    """
+    spark = records.sparkSession
+    by_day = records.withColumn(_FOLDER, F.col("event_date"))
+    by_day.hint("rebalance", _FOLDER).write.partitionBy(_FOLDER).parquet(path)
+    folders = [name for name in folder_names(spark, path) if name.startswith(f"{_FOLDER}=")]
+    days = sorted(name.partition("=")[2] for name in folders)
+    odd = [day for day in days if not _DAY.fullmatch(day)]
+    if odd:
+        raise ValueError(f"event_date is no day in some records: {odd[:5]}")
+    tables = [f"{quoted(schema)}.{quoted(prefix + day)}" for day in days]
+    columns = records.schema.toDDL()
+    for table, day in zip(tables, days, strict=True):
+        place = f"{path.rstrip('/')}/{_FOLDER}={day}".replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"create table {table} ({columns}) using parquet location '{place}'")
+    return [prefix + day for day in days]
+
+
 def _one_shape(spark: SparkSession, tables: list[Described], prefix: str) -> DataFrame:
     first = tables[0].read(spark)
     dated = any(name.lower() == "event_date" for name in first.columns)

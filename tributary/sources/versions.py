@@ -12,6 +12,7 @@ know by name is a view on it, replaced by one change in the catalog.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from typing import NamedTuple
 from uuid import uuid4
@@ -37,13 +38,18 @@ def _folder(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right below a path; none if there is no such path."""
     files, place = _folder(spark, path)
     if not files.exists(place):
         return []
     return [status.getPath().getName() for status in files.listStatus(place)]
 
 
+def _pointer(target: str, version: Version) -> str:
+    return f"{target.rstrip('/')}/{_PUBLISHED}/{version.number:012d}.{version.name}"
+
+
 def published_versions(spark: SparkSession, target: str) -> list[Version]:
     """The published versions of a table, the oldest first.
 
@@ -52,7 +58,7 @@ def published_versions(spark: SparkSession, target: str) -> list[Version]:
     """
     root = target.rstrip("/")
     found = []
-    for entry in _names(spark, f"{root}/{_PUBLISHED}"):
+    for entry in folder_names(spark, f"{root}/{_PUBLISHED}"):
         number, _, name = entry.partition(".")
         if number.isdigit() and name:
             found.append(Version(int(number), name, f"{root}/{_VERSIONS}/{name}"))
@@ -64,6 +70,16 @@ def current_version(spark: SparkSession, target: str) -> Version | None:
     return max(published_versions(spark, target), default=None)
 
 
+def version_age(spark: SparkSession, target: str) -> float | None:
+    """Seconds since the current version was published, by the clock of the file system that
+    holds it; ``None`` if nothing was ever published."""
+    version = current_version(spark, target)
+    if version is None:
+        return None
+    files, place = _folder(spark, _pointer(target, version))
+    return max(0.0, time.time() - files.getFileStatus(place).getModificationTime() / 1000)
+
+
 def write_version(spark: SparkSession, target: str, write: Callable[[str], None]) -> Version:
     """Writes a version with ``write(path)``, without showing it to readers; see ``publish``."""
     name = uuid4().hex
@@ -75,11 +91,10 @@ def write_version(spark: SparkSession, target: str, write: Callable[[str], None]
 def publish(spark: SparkSession, target: str, version: Version) -> Version:
     """Makes a written version the one that readers see."""
     latest = current_version(spark, target)
-    number = latest.number + 1 if latest else 1
-    root = target.rstrip("/")
-    files, place = _folder(spark, f"{root}/{_PUBLISHED}/{number:012d}.{version.name}")
+    shown = Version(latest.number + 1 if latest else 1, version.name, version.path)
+    files, place = _folder(spark, _pointer(target, shown))
     files.create(place, False).close()
-    return Version(number, version.name, version.path)
+    return shown
 
 
 def read_version(
@@ -107,10 +122,10 @@ def release_versions(
     gone = published[:-keep]
     root = target.rstrip("/")
     for version in gone:
-        files, place = _folder(spark, f"{root}/{_PUBLISHED}/{version.number:012d}.{version.name}")
+        files, place = _folder(spark, _pointer(target, version))
         files.delete(place, False)
     left = {version.name for version in published} if unfinished else set()
-    lost = [name for name in _names(spark, f"{root}/{_VERSIONS}") if unfinished and name not in left]
+    lost = [name for name in folder_names(spark, f"{root}/{_VERSIONS}") if unfinished and name not in left]
     for path in [*(version.path for version in gone), *(f"{root}/{_VERSIONS}/{n}" for n in lost)]:
         files, place = _folder(spark, path)
         files.delete(place, True)

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.checks import funnel_order
-from tributary.operators import column_values
 from tributary.functions import total
+from tributary.operators.reshape import union_all
 from tributary.plans import (
     create_model_views,
     flatten_events,
+    fresh_mart,
     publish_view,
     read_mart,
     refresh_marts,
@@ -20,14 +21,11 @@ from tributary.plans import (
 )
 from tributary.plans.sessions import FIRST_TOUCH
 from tributary.plans.views import STEPS_VIEW
-from tributary.sources import read_event_tables, read_events, scratch_path
+from tributary.sources import read_event_tables, read_events, scratch_path, write_event_tables
 from workloads import models
 from workloads.models import EVENTS_SQL, FACTS_SQL, SESSION_TIMES_SQL, SESSIONS_SQL, SUMMARY_SQL
 from workloads.registry import query
 
-#: Days of which daily tables are made, at most; more are an error.
-MOST_DAYS = 4000
-
 
 @query(
     "channel_overview",
@@ -82,8 +80,7 @@ def event_scan_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily tables of all days, of which seven are read; records change their shape.
 
-    Days of one shape are written by one job, partitioned by day, and each day's folder is
-    then registered as a table of its own.
+    Days of one shape are written by one job.
     """
     schema = f"daily_{uuid4().hex}"
     spark.sql(f"create database {schema} location '{scratch_path(spark, schema)}'")
@@ -96,14 +93,7 @@ def event_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_date not in ('20240110', '20240111')": records,
     }
     for days, shape in shapes.items():
-        path, own = scratch_path(spark, "shape"), shape.where(days)
-        day = own.withColumn("day", F.col("event_date"))
-        day.hint("rebalance", "day").write.partitionBy("day").parquet(path)
-        written = spark.read.schema(own.schema).parquet(path)
-        for name in column_values(written, "event_date", MOST_DAYS):
-            spark.catalog.createTable(
-                f"{schema}.events_{name}", f"{path}/day={name}", "parquet", own.schema
-            )
+        write_event_tables(shape.where(days), schema, scratch_path(spark, "shape"))
     week = flatten_events(read_event_tables(spark, schema, "20240108", "20240114"))
     return week.groupBy("event_date", "traffic_medium").agg(
         F.count(F.lit(1)).alias("events"), F.count("transaction_id").alias("transactions")
@@ -137,6 +127,47 @@ def marts_refreshed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return before.unionByName(after)
 
 
+@query(
+    "mart_refreshed_when_old",
+    f"""{SUMMARY_SQL},
+    first_days AS (
+      SELECT CAST(session_date AS VARCHAR) AS session_date, CAST(sum(total_sessions) AS BIGINT)
+        AS sessions
+      FROM summary WHERE session_date < DATE '2024-01-16' GROUP BY ALL)
+    SELECT 'missing' AS read, * FROM first_days
+    UNION ALL
+    SELECT 'young', * FROM first_days
+    UNION ALL
+    SELECT 'old', CAST(session_date AS VARCHAR), CAST(sum(total_sessions) AS BIGINT)
+    FROM summary GROUP BY ALL""",
+)
+def mart_refreshed_when_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart over a folder of days, to which later days are added after the first read. They
+    are not seen while the mart is young, and seen as soon as it counts as old."""
+    path = scratch_path(spark, "arriving")
+    steps, target = scratch_path(spark, "steps"), scratch_path(spark, "summary")
+    records = models.records(spark, sf_dir)
+
+    def refresh() -> None:
+        rows = read_events(spark, path, "00000000", "99999999")
+        refresh_marts(rows, steps, target, money_type=models.MONEY)
+
+    def arrive(days: str) -> None:
+        rows = records.where(days).hint("rebalance", "event_date")
+        rows.write.mode("append").partitionBy("event_date").parquet(path)
+
+    arrive("event_date < '20240116'")
+    reads = {"missing": fresh_mart(spark, target, refresh)}
+    arrive("event_date >= '20240116'")
+    reads["young"] = fresh_mart(spark, target, refresh)
+    reads["old"] = fresh_mart(spark, target, refresh, max_age=0)
+    return union_all([
+        mart.groupBy("session_date").agg(F.sum("total_sessions").alias("sessions"))
+        .select(F.lit(name).alias("read"), "session_date", "sessions")
+        for name, mart in reads.items()
+    ])
+
+
 @query("sessions", f"{SESSIONS_SQL} SELECT * REPLACE ({SESSION_TIMES_SQL}) FROM sess")
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.sessions(spark, sf_dir)

@@ -8,9 +8,9 @@ from tributary.functions.keys import NULL_TEXT
 from tributary.plans import (
     build_sessions,
     flatten_events,
+    fresh_mart,
     funnel_steps,
     funnel_summary,
-    read_mart,
     refresh_marts,
 )
 from tributary.sources import scratch_path, to_event_records
@@ -40,18 +40,20 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel_summary(facts(spark, sf_dir), MONEY)
 
 
-# Summary marts by application and table folder.
-_marts: dict[tuple[str, str], str] = {}
+# Paths of facts and summary by application and table folder.
+_marts: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def stored_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The summary mart, refreshed once for each session and table folder."""
+    """The summary mart of a session and table folder, refreshed when it is an hour old."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _marts:
-        steps, target = scratch_path(spark, "steps"), scratch_path(spark, "summary")
-        refresh_marts(records(spark, sf_dir), steps, target, money_type=MONEY)
-        _marts[key] = target
-    return read_mart(spark, _marts[key])
+        _marts[key] = scratch_path(spark, "steps"), scratch_path(spark, "summary")
+    steps, target = _marts[key]
+    return fresh_mart(
+        spark, target,
+        lambda: refresh_marts(records(spark, sf_dir), steps, target, money_type=MONEY),
+    )
 
 
 _EVENTS = f"""
