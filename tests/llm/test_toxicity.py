@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -60,9 +61,9 @@ def test_score_is_noisy_or_of_the_sentences(corpus, scorer):
 
 
 def test_length_alone_makes_nothing_toxic(docs, scorer):
-    base = 1 / (1 + np.exp(-toxicity.CONSTANT))
+    base = 1 / (1 + np.exp(-scorer.constant))
     clean = "table\n" * 20_000
-    weak = toxicity.Scorer({"dolt$": 1.0})
+    weak = toxicity.Scorer({"dolt$": 1.0}, scorer.constant)
     assert scorer.score(clean) == pytest.approx(base)
     assert weak.score(clean + "dolt") < 4 * base + base
     chances = [p for _, _, p in weak.sentence_scores(clean + "dolt")]
@@ -81,15 +82,82 @@ def test_training_goes_downhill_to_the_labels():
     columns = np.where((np.arange(120) % 3 == 0) & toxic[document], 0, 1)
     rows = np.arange(120)
     keep = (columns == 0) | (rng.random(120) < 0.5)
-    w = toxicity.train(rows[keep], columns[keep], toxic, document, 2)
-    assert w[0] > 8 and w[1] < 2
+    rest = np.bincount(document[~keep], minlength=40) / 3
+    w, constant = toxicity.train(rows[keep], columns[keep], toxic, document, 2, rest)
+    assert w[0] + constant > 0 and w[1] + constant < -3
+
+
+def plain_loss(bags, toxic, rest, clean_weight, w, constant, penalty):
+    """Minus the log likelihood of noisy-or over sentences, one after another."""
+    loss = penalty / 2 * (sum(x * x for x in w) + (constant - toxicity.CONSTANT) ** 2)
+    for bag, label, share in zip(bags, toxic, rest):
+        clean = math.exp(-1e-3) * (1 - 1 / (1 + math.exp(-constant))) ** share
+        for features in bag:
+            clean *= 1 - 1 / (1 + math.exp(-constant - sum(w[i] for i in features)))
+        loss -= math.log(1 - clean) if label else clean_weight * math.log(clean)
+    return loss
+
+
+@pytest.mark.parametrize("clean_weight", [1.0, 4.0])
+def test_training_ends_where_a_plain_likelihood_is_least(clean_weight):
+    rng = random.Random(7)
+    toxic = [i % 3 == 0 for i in range(90)]
+    bags = [
+        [[j for j in range(4) if rng.random() < (0.3 if label and j == 0 else 0.15)] for _ in range(3)]
+        for label in toxic
+    ]
+    bags = [[features for features in bag if features] for bag in bags]
+    rest = [1 - len(bag) / 3 for bag in bags]
+    flat = [(n, features) for n, bag in enumerate(bags) for features in bag]
+    w, constant = toxicity.train(
+        np.repeat(np.arange(len(flat)), [len(features) for _, features in flat]),
+        np.concatenate([features for _, features in flat]), np.array(toxic),
+        np.array([n for n, _ in flat]), 4, np.array(rest), clean_weight, rounds=3000, rate=0.02,
+    )
+    at = [*w.tolist(), constant]
+    assert constant > toxicity.CONSTANT + 1  # documents toxic without a known word raise it
+
+    def loss(point):
+        return plain_loss(bags, toxic, rest, clean_weight, point[:4], point[4], 0.05)
+
+    for i in range(5):
+        for step in (-0.05, 0.05):
+            assert loss(at) <= loss([x + step * (i == j) for j, x in enumerate(at)]) + 1e-4
+
+
+def test_words_of_clean_text_cannot_enter(spark, corpus, scorer):
+    """A word that clean documents have as often gets no weight, though toxic ones have it too."""
+    rows, labels, _ = corpus
+    rows = [(i, f"{text} Gardens and barns.", *rest) for i, text, *rest in rows]
+    rows = [(i, f"Meadow. {text}" if i % 10 == 0 or i % 7 == 1 else text, *rest) for i, text, *rest in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n long")
+    found = toxicity.fit_scorer(docs, spark.createDataFrame(labels[:400], "doc_id long, toxic int"))
+    assert any(word.startswith("dolt") for word in found.weights)
+    for word in ("gardens", "and", "barns", "meadow"):
+        assert not set(toxicity.names(word)) & set(found.weights)
+    clean = {w for i, text, *_ in rows[400:] if i % 5 for w in toxicity.words_of(text)}
+    weighted = {w for w in clean if any(n in found.weights for n in toxicity.names(w))}
+    hits = [sum(w in toxicity.words_of(text) for i, text, *_ in rows[400:] if i % 5) for w in weighted]
+    assert all(n <= 0.02 * 300 for n in hits)
+
+
+def test_clean_documents_left_out_of_the_sample_count(spark, corpus, monkeypatch):
+    rows, labels, _ = corpus
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n long")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    asked, plain = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda *a: asked.append(a[-1]) or plain(*a))
+    toxicity.fit_scorer(docs, known)
+    toxicity.fit_scorer(docs, known, sample_rows=70)
+    assert asked[0] == pytest.approx(1)
+    assert asked[1] == pytest.approx(4, rel=0.5)
 
 
 def test_edge_rows(spark, docs, corpus, scorer):
     out = toxicity.score(docs(edge_rows(), clash=True), scorer).collect()
     assert len(out) == len(edge_rows())
     assert all(0 <= r.score <= 1 for r in out)
-    base = 1 / (1 + np.exp(-toxicity.CONSTANT))
+    base = 1 / (1 + np.exp(-scorer.constant))
     assert all(r.score == pytest.approx(base) for r in out if r.doc_id in (1, 2))
     assert toxicity.score(docs([]), scorer).count() == 0
     labels = spark.createDataFrame([(i, 0) for i in range(50)], "doc_id long, toxic int")

@@ -3,9 +3,10 @@
 A sentence scores by its words: the logistic of a constant plus the weights of the words in
 it. A word is known by itself and by its first letters, so that inflected forms share a
 weight. Sentences without any known word share one constant among them, so that length alone
-adds nothing to a score. A document scores by noisy-or, one minus the chance that no sentence is toxic, and
-the weights are trained so that these document scores fit the labels of documents. Afterwards
-the sentence scores say where a document offends.
+adds nothing to a score. A document scores by noisy-or, one minus the chance that no sentence
+is toxic, and the weights and the constant are trained so that these document scores fit the
+labels of documents, clean ones counting as often as they are among all labels. Afterwards the
+sentence scores say where a document offends.
 
 Training reads a bounded sample of labelled rows (``SAMPLE_ROWS`` of each label, by a hash of
 the id) and keeps a bounded number of words (``MOST_FEATURES``). Scoring reads every text whole.
@@ -13,7 +14,7 @@ the id) and keeps a bounded number of words (``MOST_FEATURES``). Scoring reads e
 Defined results: a null or empty text has one empty sentence; labels without an id, for an
 unknown id or without a value take no part, and a document with several labels counts as toxic
 if one of them says so; repeated rows get equal scores; an empty table gives an empty result.
-Without labelled rows of both kinds every document scores the constant. Columns beside the ones
+Without labelled rows of both kinds every document scores ``CONSTANT``. Columns beside the ones
 named are ignored.
 """
 
@@ -33,8 +34,8 @@ from tributary.llm.words import Memory
 SAMPLE_ROWS = 3000
 MOST_FEATURES = 20_000
 THRESHOLD = 0.7
-#: The constant of a sentence with known words, and of all those without any in a document
-#: together: one in some thousands.
+#: Where training begins with the constant of a sentence with known words, and of all those
+#: without any in a document together, and where it is drawn to: one in some thousands.
 CONSTANT = -9.0
 #: A word is kept if so large a share of toxic sample documents has it (and at least
 #: three of them), and if it is so many times likelier there than in the others.
@@ -116,47 +117,59 @@ def train(
     toxic: np.ndarray,
     document: np.ndarray,
     size: int,
+    rest: np.ndarray,
+    clean_weight: float = 1.0,
     rounds: int = 300,
     rate: float = 0.2,
     penalty: float = 0.05,
-) -> np.ndarray:
-    """Weights from sentences with known words.
+) -> tuple[np.ndarray, float]:
+    """Weights of features, and the constant.
 
     ``rows`` and ``columns`` pair a sentence with a feature in it; ``document`` is the
     document of each sentence and ``toxic`` the label of each document. Sentences without
-    features take no part; what they share is far below the 0.001 that every document has.
+    features share one constant; ``rest`` tells which share of a document's sentences they
+    are. A clean document counts ``clean_weight`` times. Every document has 0.001 beside its
+    sentences, so that a wrong label is no infinite loss.
     """
-    w = np.full(size, 1.0)
-    mean, square = np.zeros(size), np.zeros(size)
+    w = np.append(np.full(size, 1.0), CONSTANT)  # the constant comes last
+    mean, square = np.zeros(size + 1), np.zeros(size + 1)
+    drawn_to = np.append(np.zeros(size), CONSTANT)
     for step in range(1, rounds + 1):
-        z = CONSTANT + np.bincount(rows, w[columns], len(document))
+        z = w[size] + np.bincount(rows, w[columns], len(document))
         odds = np.bincount(document, np.logaddexp(0, z), len(toxic)) + 1e-3
-        chance = 1 / (1 + np.exp(-z))
+        odds += rest * np.logaddexp(0, w[size])
         # Toxic: minus log of noisy-or; clean: the sum of all sentences' log odds.
-        slope = np.where(toxic[document], -1 / np.expm1(np.minimum(odds[document], 500)), 1.0) * chance
-        g = np.bincount(columns, slope[rows], size) + penalty * w
+        by_document = np.where(toxic, -1 / np.expm1(np.minimum(odds, 500)), clean_weight)
+        slope = by_document[document] / (1 + np.exp(-z))
+        alone = (by_document * rest).sum() / (1 + np.exp(-w[size]))
+        g = np.append(np.bincount(columns, slope[rows], size), slope.sum() + alone)
+        g += penalty * (w - drawn_to)
         mean += 0.1 * (g - mean)
         square += 0.01 * (g * g - square)
         w -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    return w
+    return w[:size], float(w[size])
 
 
 #: Weights below this are dropped once trained.
 LEAST_WEIGHT = 1.0
 
 
-def _sample(docs: DataFrame, labels: DataFrame, sample_rows: int, seed: int) -> DataFrame:
-    """(doc_id, toxic, text): at most ``sample_rows`` documents of each label.
-
-    Of rows that repeat an id one is taken, so they leave room for other documents.
-    """
-    order = F.xxhash64(F.lit(seed), "doc_id")
-    known = (
+def _labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic), one row an id."""
+    return (
         pick(labels, doc_id="bigint", toxic="int")
         .where("doc_id is not null and toxic is not null")
         .groupBy("doc_id")
         .agg((F.max("toxic") > 0).alias("toxic"))
     )
+
+
+def _sample(docs: DataFrame, known: DataFrame, sample_rows: int, seed: int) -> DataFrame:
+    """(doc_id, toxic, text): at most ``sample_rows`` documents of each label.
+
+    Of rows that repeat an id one is taken, so they leave room for other documents.
+    """
+    order = F.xxhash64(F.lit(seed), "doc_id")
     texts = pick(docs, doc_id="bigint", text="string")
     parts = []
     for label in ("toxic", "not toxic"):
@@ -175,7 +188,8 @@ def fit_scorer(
 ) -> Scorer:
     """A scorer from a bounded sample of labelled documents."""
     spark = docs.sparkSession
-    sample = stored(_sample(docs, labels, sample_rows, seed), "sample")
+    known = stored(_labelled(labels), "labels")
+    sample = stored(_sample(docs, known, sample_rows, seed), "sample")
     sample = sample.repartition(spark.sparkContext.defaultParallelism, F.xxhash64("text"))
 
     def features_of(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -208,33 +222,40 @@ def fit_scorer(
 
     def evidence(part: pa.RecordBatch) -> pa.RecordBatch:
         """Features of each sentence that has any, sentence by sentence, for each document."""
-        found = []
+        found, rest = [], []
         for text in part.column("text"):
             text = text.as_py() or ""
-            own = (
+            own = [
                 sorted(index[n] for word in words_of(text[a:b]) for n in names(word) if n in index)
                 for a, b in sentences(text)
-            )
+            ]
             found.append([features for features in own if features])
+            rest.append(1 - len(found[-1]) / len(own))
         kind = pa.list_(pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), part.column("toxic"), pa.array(found, kind)],
-            ["doc_id", "toxic", "sentences"],
+            [part.column("doc_id"), part.column("toxic"), pa.array(found, kind), pa.array(rest)],
+            ["doc_id", "toxic", "sentences", "rest"],
         )
 
-    rows = batches(sample, evidence, "doc_id bigint, toxic boolean, sentences array<array<int>>")
-    bags = sorted((r.toxic, r.doc_id, r.sentences) for r in rows.collect())
-    flat = [(n, features) for n, (_, _, bag) in enumerate(bags) for features in bag]
+    rows = batches(
+        sample, evidence, "doc_id bigint, toxic boolean, sentences array<array<int>>, rest double"
+    )
+    bags = sorted((r.toxic, r.doc_id, r.sentences, r.rest) for r in rows.collect())
+    flat = [(n, features) for n, (_, _, bag, _) in enumerate(bags) for features in bag]
     if not flat:
         return Scorer({})
-    w = train(
+    all_labels = {row.toxic: row["count"] for row in known.groupBy("toxic").count().collect()}
+    w, constant = train(
         np.repeat(np.arange(len(flat)), [len(features) for _, features in flat]),
         np.concatenate([features for _, features in flat]),
-        np.array([label for label, _, _ in bags]),
+        np.array([label for label, *_ in bags]),
         np.array([n for n, _ in flat]),
         len(index),
+        np.array([rest for *_, rest in bags]),
+        (all_labels[False] / clean) / (all_labels[True] / toxic),
     )
-    return Scorer({name: float(w[i]) for name, i in index.items() if w[i] >= LEAST_WEIGHT})
+    weights = {name: float(w[i]) for name, i in index.items() if w[i] >= LEAST_WEIGHT}
+    return Scorer(weights, constant)
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
