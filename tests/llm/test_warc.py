@@ -178,3 +178,25 @@ def test_query_matches_its_sql(spark, tmp_path):
     wanted = con.sql(queries.ORACLE["op10_warc"])
     assert got.columns == wanted.columns
     assert rows_of(got) == sorted(wanted.fetchall(), key=str)
+
+
+def test_payloads_stay_where_they_were_read_while_few_repeat(spark, monkeypatch):
+    pages = spark.range(3000).selectExpr(
+        "id as page_id", "'http://a.example/' as url", "repeat(cast(id % 1000 as string), 200) as html"
+    )
+    wide = warc.page_records(pages)
+    assert "Exchange hashpartitioning" not in plan(wide)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "1000")
+    try:
+        shuffled = warc.page_records(pages)
+        assert "Exchange hashpartitioning" in plan(shuffled)
+        assert sorted(shuffled.collect()) == sorted(wide.collect())
+    finally:
+        spark.conf.set(threshold, before)
+    assert wide.where("record_type = 'revisit'").count() == 2000
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -59,7 +59,7 @@ from pyspark.sql.datasource import (
     StringStartsWith,
     WriterCommitMessage,
 )
-from tributary.llm.tables import pick
+from tributary.llm.tables import pick, stored
 
 #: Header of each column that has one.
 HEADERS = {
@@ -469,11 +469,14 @@ def page_records(pages: DataFrame) -> DataFrame:
     A null html is an empty payload. Rows without a page id revisit a page that has one, and
     are all responses if none has; rows that repeat the response's id and payload are
     responses too.
+
+    Digests that repeat are written to a table first. While that is below Spark's limit for
+    broadcasts, payloads stay where they were read; beyond, they are joined by a shuffle.
     """
     rows = pick(pages, page_id="bigint", url="string", html="string").select(
         "page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")
     )
-    rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn(
+    rows = rows.withColumn("digest", F.unhex(F.sha2("payload", 256))).withColumn(
         "length", F.octet_length("payload").cast("bigint")
     )
     shared = (
@@ -483,7 +486,7 @@ def page_records(pages: DataFrame) -> DataFrame:
         .where("n > 1 and first is not null")
         .select("digest", "first")
     )
-    rows = rows.join(shared, "digest", "left")
+    rows = rows.join(stored(shared, "shared"), "digest", "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     urn = lambda column: F.concat(F.lit("urn:page:"), F.col(column).cast("string"))
     return rows.select(
@@ -491,7 +494,7 @@ def page_records(pages: DataFrame) -> DataFrame:
         F.when(again, "revisit").otherwise("response").alias("record_type"),
         F.col("url").alias("target_uri"),
         F.when(again, urn("first")).alias("refers_to"),
-        F.concat(F.lit("sha256:"), "digest").alias("payload_digest"),
+        F.concat(F.lit("sha256:"), F.lower(F.hex("digest"))).alias("payload_digest"),
         F.col("length").alias("payload_length"),
         F.when(~again, F.col("payload")).alias("payload"),
     )
