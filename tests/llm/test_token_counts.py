@@ -1,10 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
 from samples import docs, edge_rows, sentence  # noqa: F401  (docs is a fixture)
 from tokenizers import Tokenizer
 
-from tributary.llm import token_counts
+from tributary.llm import token_counts, words
 from tributary.llm.words import Memory, Words
 
 ODD = [
@@ -28,6 +29,40 @@ def test_ids_are_those_of_the_tokenizer(of):
         assert list(memoryview(of.ids(text)).cast("I")) == ids, text
 
 
+@pytest.mark.parametrize("together", [1, 50, 4_000_000])
+def test_ids_of_many_texts(of, monkeypatch, together):
+    monkeypatch.setattr(words, "TOGETHER", together)
+    rng = random.Random(3)
+    letters = "aZé'ßÀ9 \n<|_.-Ώ \x1d'sllñ"
+    made = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    plain = ["It's plain, IT'S PLAIN!", " two\tlines\nÀÉÑ ", "x" * 300, ""]
+    for texts in ([None, *ODD, *made, None, *plain], plain, [None], [""], ODD[:1], []):
+        array = pa.array(["cut off", *texts], pa.string())[1:]
+        found = [list(memoryview(ids).cast("I")) for ids in of.ids_of_texts(array)]
+        assert found == [of.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_pretokens_are_given_to_the_model_once(monkeypatch):
+    of, asked = words.Words(token_counts.TOKENIZER), []
+    monkeypatch.setattr(of.remembered_pretokens, "find", lambda x: asked.append(x) or b"")
+    texts = ["Word, word. (WORD) ward", "word; ward's " + "w" * 100, "WORD!"]
+    for text in texts * 2:
+        list(of.ids_of_texts(pa.array([text])))
+    assert [asked.count(x) for x in ("word", "ward", "w" * 100)] == [1, 1, 2]
+
+
+def test_memory_of_many_is_bounded_and_forgets_the_oldest():
+    asked: list[bytes] = []
+    memory = Memory(lambda key: asked.append(key) or len(asked), 3)
+    assert memory.of_all([b"a", b"b"]) == {b"a": 1, b"b": 2}
+    assert memory.of_all([b"c", b"a", b"d"]) == {b"c": 3, b"a": 1, b"d": 4}
+    assert memory.of_all([b"b"]) == {b"b": 2}
+    assert memory.of_all([bytes([x]) for x in range(9)]) == {bytes([x]): 5 + x for x in range(9)}
+    assert len(memory) <= 3
+    assert memory.of_all([b"a", b"x" * 100]) == {b"a": 14, b"x" * 100: 15}
+    assert b"x" * 100 not in memory
+
+
 def test_memory_forgets_what_was_not_asked_for_lately():
     asked = []
     memory = Memory(lambda key: asked.append(key) or len(asked), 3)

@@ -52,13 +52,11 @@ def pieces(
         key = count(TaskContext.get().partitionId() << 33)
         of = words(tokenizer)
         for part in parts:
+            every = of.ids_of_texts(part.column("text"))
             for at in range(0, part.num_rows, 500):
                 rows: list[tuple] = []
-                some = part.slice(at, 500)
-                for doc_id, text in zip(
-                    some.column("doc_id").to_pylist(), some.column("text"), strict=True
-                ):
-                    ids = of.ids(text.as_py()) + tail
+                for doc_id in part.column("doc_id").slice(at, 500).to_pylist():
+                    ids = next(every) + tail
                     for i in range(0, len(ids), 4 * length):
                         own = ids[i : i + 4 * length]
                         rows.append(
